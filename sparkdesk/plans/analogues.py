@@ -103,3 +103,44 @@ FROM orders
 
 PAYMENT_VALUES_SQL = ("(VALUES (1, 'Credit card'), (2, 'Cash'), (3, 'No charge'), (4, 'Dispute'), "
                       "(5, 'Unknown'), (6, 'Voided trip')) AS p(id, name)")
+
+
+PAGE_SIZE = 20
+
+
+def conversation_pages(conversations: DataFrame) -> DataFrame:
+    """Conversations as landed API pages of ``PAGE_SIZE`` locations.
+
+    A location is one conversation: id = conv_id, name = 'conversation <id>',
+    type = role of the first turn, dimension = role of the last turn,
+    residents = one 'turn/<n>' entry per turn.  Page n holds ids with
+    ``id div PAGE_SIZE = n - 1`` in id order.  Both collects are bounded: the
+    turns of one conversation, and ``PAGE_SIZE`` locations per page.
+    """
+    turns = conversations.groupBy("conv_id").agg(
+        F.array_sort(F.collect_list(F.struct("turn", "role"))).alias("t"))
+    loc = turns.select(
+        (F.floor(F.col("conv_id") / PAGE_SIZE) + 1).cast("int").alias("page"),
+        F.col("conv_id"),
+        F.struct(F.col("conv_id").alias("id"),
+                 F.concat(F.lit("conversation "), F.col("conv_id").cast("string")).alias("name"),
+                 F.element_at("t", 1)["role"].alias("type"),
+                 F.element_at("t", -1)["role"].alias("dimension"),
+                 F.transform("t", lambda x: F.concat(F.lit("turn/"), x["turn"].cast("string")))
+                  .alias("residents")).alias("loc"))
+    pages = loc.groupBy("page").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("conv_id", "loc"))),
+                    lambda x: x["loc"]).alias("results"))
+    return pages
+
+
+CONVERSATION_LOCATIONS_SQL = f"""
+SELECT CAST(floor(conv_id / {PAGE_SIZE}) + 1 AS INTEGER) AS page,
+       CAST(row_number() OVER (PARTITION BY floor(conv_id / {PAGE_SIZE}) ORDER BY conv_id) - 1 AS INTEGER) AS pos,
+       conv_id AS id,
+       'conversation ' || CAST(conv_id AS VARCHAR) AS name,
+       arg_min(role, turn) AS type,
+       arg_max(role, turn) AS dimension,
+       CAST(count(*) AS INTEGER) AS residents_cnt
+FROM conversations GROUP BY conv_id
+"""

@@ -48,7 +48,8 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
-# Shape of one page of the paged location API: ``info.pages`` plus a list of locations.
+# Shape of one landed page of the paged location API: the page number it was
+# requested with, ``info`` (``count`` locations, ``pages`` in total) and the locations.
 LOCATION_SCHEMA = T.StructType([
     T.StructField("id", T.LongType()),
     T.StructField("name", T.StringType()),
@@ -57,8 +58,9 @@ LOCATION_SCHEMA = T.StructType([
     T.StructField("residents", T.ArrayType(T.StringType())),
 ])
 PAGE_SCHEMA = T.StructType([
-    T.StructField("info", T.StructType([T.StructField("pages", T.IntegerType()),
-                                        T.StructField("page", T.IntegerType())])),
+    T.StructField("page", T.IntegerType()),
+    T.StructField("info", T.StructType([T.StructField("count", T.LongType()),
+                                        T.StructField("pages", T.IntegerType())])),
     T.StructField("results", T.ArrayType(LOCATION_SCHEMA)),
 ])
 
