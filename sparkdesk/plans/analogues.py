@@ -42,8 +42,9 @@ def _code_of(event_type: Column) -> Column:
     return expr
 
 
-def trip_lines(spark: SparkSession, events: DataFrame) -> DataFrame:
-    """Raw taxi-style CSV lines (column ``value``), one per event plus a header."""
+def trip_lines(spark: SparkSession, events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Raw taxi-style CSV lines (column ``value``), one per event plus a header.
+    ``keep`` carries extra event columns along (NULL on the header line)."""
     pts = F.when(_every(OTHER_YEAR_EVERY), F.col("ts") - F.expr("INTERVAL 1 YEAR")).otherwise(F.col("ts"))
     stamp = F.date_format(pts, "yyyy-MM-dd HH:mm:ss")
     code = (F.when(_every(CODE_X_EVERY), "x").when(_every(CODE_7_EVERY), "7")
@@ -61,8 +62,11 @@ def trip_lines(spark: SparkSession, events: DataFrame) -> DataFrame:
     short = F.concat_ws(",", *fields[:8])
     line = (F.when(_every(BLANK_EVERY), F.lit("")).when(_every(SHORT_EVERY), short)
             .otherwise(F.concat(full, F.when(_every(5), F.lit("\r")).otherwise(F.lit("")))))
+    body = events.select(line.alias("value"), *keep)
     header = spark.createDataFrame([(TAXI_HEADER,)], "value string")
-    return header.unionByName(events.select(line.alias("value")))
+    for c in keep:
+        header = header.withColumn(c, F.lit(None).cast(body.schema[c].dataType))
+    return header.unionByName(body)
 
 
 # SQL twin of trip_lines after parsing: (event_id, pts, code, tip) of kept lines.

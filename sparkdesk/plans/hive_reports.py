@@ -23,6 +23,7 @@ from sparkdesk.session import scratch_path
 from sparkdesk.sinks import writers
 from sparkdesk.sources import files
 from sparkdesk.sources.tables import table
+from sparkdesk.streaming.line_report import run_incremental_tip_report
 
 PAYMENT_DAY = "1996-03-15"
 EVENT_DAY = "2024-01-15"
@@ -93,6 +94,29 @@ def lines_avg(spark, sf_dir):
     return line_ops.avg_tip_by_month_label(parsed, line_ops.payment_dim(spark), mean_fn=exact_avg)
 
 
+LINES_AVG_SQL = f"""
+WITH parsed AS ({an.TRIP_LINES_PARSED_SQL})
+SELECT month, p.name AS payment,
+       CAST(sum(CAST(tip_amount AS DECIMAL(18,2))) AS DOUBLE) / count(tip_amount) AS avg_tip
+FROM parsed JOIN {an.PAYMENT_VALUES_SQL} ON TRY_CAST(parsed.payment_type AS INTEGER) = p.id
+WHERE tip_amount IS NOT NULL
+GROUP BY month, p.name
+"""
+
+
+@query("lines_avg_incremental", sql=LINES_AVG_SQL)
+def lines_avg_incremental(spark, sf_dir):
+    """The same report fed by a landing folder: lines land as one file per
+    event day and a streaming job consumes them in micro-batches."""
+    landing = scratch_path(spark, "trip_landing")
+    ev = table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
+    lines = an.trip_lines(spark, ev, keep=("day",))
+    (lines.withColumn("day", F.coalesce(F.col("day"), F.lit("1970-01-01").cast("date")))
+          .write.partitionBy("day").mode("overwrite").text(landing))
+    return run_incremental_tip_report(spark, landing + "/*", scratch_path(spark, "tip_report"),
+                                      scratch_path(spark, "tip_report_ckpt"), an.LINE_YEAR)
+
+
 @query("payment_totals", sql=f"""
 SELECT p.name, CAST(sum(CAST(t.total_amount AS DECIMAL(18,2))) AS DOUBLE) AS total_sum_amount
 FROM ({an.ORDERS_AS_TRIPS_SQL}) t, {an.PAYMENT_VALUES_SQL}

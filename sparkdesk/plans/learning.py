@@ -58,7 +58,10 @@ def features_vector(spark, sf_dir):
 
 def _fit_predict(spark, sf_dir, kind, label, features, **params):
     train, test = split(spark, sf_dir)
+    # indexer fit, assembler and the tree learner each pass over the training rows
+    train = train.persist(StorageLevel.MEMORY_AND_DISK)
     model = ml.pipeline(CATEGORICAL, features, ml.learner(kind, label, seed=SEED, **params)).fit(train)
+    train.unpersist()
     return model, model.transform(test).select(*IDS, label, "prediction")
 
 
@@ -86,9 +89,10 @@ def _select(spark, sf_dir):
     rf = ml.learner("rf_classifier", CLF_LABEL, seed=SEED, numTrees=10)
     fitted = ml.select_model(ml.pipeline(CATEGORICAL, CLF_FEATURES, rf), rf, TVS_GRID,
                              ml.classifier_evaluator(CLF_LABEL, "f1"), train, seed=SEED)
+    train.unpersist()
     best = fitted.bestModel
     pred = best.transform(test).select(*IDS, CLF_LABEL, "prediction")
-    return best, pred, train
+    return best, pred
 
 
 @query("tvs_select")
@@ -98,9 +102,8 @@ def tvs_select(spark, sf_dir):
 
 @query("train_report")
 def train_report(spark, sf_dir):
-    best, pred, train = _select(spark, sf_dir)
+    best, pred = _select(spark, sf_dir)
     metrics = {r["metric"]: r["value"] for r in ml.classification_metrics(pred, CLF_LABEL).collect()}
-    train.unpersist()
     return ml.model_report(spark, best, metrics, run_id="tvs_rf")
 
 

@@ -26,15 +26,18 @@ def append(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 
 def write_partitioned(df: DataFrame, path: str, part_col: str = "dt", fmt: str = "parquet",
-                      replace_touched: bool = True) -> None:
+                      replace_touched: bool = True, files_per_partition: int = 8) -> None:
     """Write by a partition column.
 
     ``replace_touched=True`` uses dynamic partition overwrite: the partitions
-    present in ``df`` are replaced, all others stay.  No shuffle by the
-    partition column: a day holding a third of the data would land in one
-    task; each task writes its own files, bounded by ``maxRecordsPerFile``.
+    present in ``df`` are replaced, all others stay.  Rows are shuffled by
+    ``(part_col, salt)`` with a deterministic salt of ``files_per_partition``
+    buckets: each day is written by at most that many tasks (few, large
+    files), and a day holding a third of the data still spreads over several
+    tasks.  The salt is a hash of the row, so a retried task gets the same rows.
     """
-    writer = df.write.option("maxRecordsPerFile", 5_000_000)
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_partition))
+    writer = df.repartition(F.col(part_col), salt).write.option("maxRecordsPerFile", 5_000_000)
     if replace_touched:
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     else:

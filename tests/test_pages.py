@@ -13,13 +13,13 @@ def page(n, total, results):
 
 LOCS = [
     page(1, 2, [
-        {"id": 1, "name": "Earth", "type": "Planet", "dimension": "C-137", "residents": ["a", "b", "c"]},
-        {"id": 2, "type": "Planet", "dimension": "D", "residents": ["a"]},                 # no name
-        {"id": 3, "name": "Rick's \"Bar\"", "type": "Bar", "dimension": "D"},              # no residents, quote
+        {"id": 1, "name": "North Yard", "type": "Depot", "dimension": "Z-1", "residents": ["a", "b", "c"]},
+        {"id": 2, "type": "Depot", "dimension": "D", "residents": ["a"]},                 # no name
+        {"id": 3, "name": "Joe's \"Bar\"", "type": "Bar", "dimension": "D"},              # no residents, quote
         {"id": 4, "name": "Void", "type": "Space", "dimension": "D", "residents": None},   # null residents
     ]),
     page(2, 2, [
-        {"id": 5, "name": "Citadel", "type": "Station", "dimension": "X", "residents": ["a", "b", "c"]},
+        {"id": 5, "name": "Harbour", "type": "Station", "dimension": "X", "residents": ["a", "b", "c"]},
         {"id": 6, "name": "Empty", "type": "X", "dimension": "X", "residents": []},
         {"id": 7, "name": "Big", "type": "X", "dimension": "X", "residents": ["a", "b", "c"]},
     ]),
@@ -39,7 +39,7 @@ def test_explode_defaults_and_stable_top3(spark, tmp_dir, multi_line):
     P.assert_complete(pages)
     locs = {r.id: r for r in P.explode_pages(pages).collect()}
     assert locs[2].name == "" and locs[2].residents_cnt == 1
-    assert locs[3].residents_cnt == 0 and locs[3].name == 'Rick\'s "Bar"'
+    assert locs[3].residents_cnt == 0 and locs[3].name == 'Joe\'s "Bar"'
     assert locs[4].residents_cnt == 0
     assert locs[6].residents_cnt == 0
     top = [r.id for r in P.top_locations(P.explode_pages(pages), 3).collect()]
