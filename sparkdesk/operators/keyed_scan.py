@@ -39,9 +39,8 @@ def with_neighbour(df: DataFrame, keys, order, values, out: str, chunk: Column |
         return df.withColumn(out, shift(payload, 1).over(w))
     d = df.withColumn("__chunk", chunk)
     w = Window.partitionBy(*keys, "__chunk").orderBy(*order)
-    d = d.withColumn("__in", shift(payload, 1).over(w)).withColumn(
-        "__edge", (F.row_number().over(w.orderBy(*[F.col(c).desc() for c in order]))
-                   if direction == "next" else F.row_number().over(w)) == 1)
+    # the payload struct itself is never NULL, so a NULL neighbour marks the chunk's edge row
+    d = d.withColumn("__in", shift(payload, 1).over(w)).withColumn("__edge", F.col("__in").isNull())
     pick = F.max_by if direction == "prev" else F.min_by
     per_chunk = d.groupBy(*keys, "__chunk").agg(pick(payload, _ord(order)).alias("__edge_val"))
     wc = Window.partitionBy(*keys).orderBy("__chunk")

@@ -117,21 +117,27 @@ def conversation_pages(conversations: DataFrame) -> DataFrame:
 
     A location is one conversation: id = conv_id, name = 'conversation <id>',
     type = role of the first turn, dimension = role of the last turn,
-    residents = one 'turn/<n>' entry per turn.  Page n holds ids with
-    ``id div PAGE_SIZE = n - 1`` in id order.  Both collects are bounded: the
-    turns of one conversation, and ``PAGE_SIZE`` locations per page.
+    residents = one 'turn/<n>' entry per turn (n = 0 .. turns - 1).  Page n
+    holds ids with ``id div PAGE_SIZE = n - 1`` in id order.
+
+    Per conversation only aggregates are computed (count, ``min_by`` /
+    ``max_by``), so a conversation with a huge number of turns is still a
+    partial aggregate; the page collect holds at most ``PAGE_SIZE`` locations.
     """
-    turns = conversations.groupBy("conv_id").agg(
-        F.array_sort(F.collect_list(F.struct("turn", "role"))).alias("t"))
-    loc = turns.select(
+    conv = conversations.groupBy("conv_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min_by("role", "turn").alias("first_role"),
+        F.max_by("role", "turn").alias("last_role"))
+    loc = conv.select(
         (F.floor(F.col("conv_id") / PAGE_SIZE) + 1).cast("int").alias("page"),
         F.col("conv_id"),
         F.struct(F.col("conv_id").alias("id"),
                  F.concat(F.lit("conversation "), F.col("conv_id").cast("string")).alias("name"),
-                 F.element_at("t", 1)["role"].alias("type"),
-                 F.element_at("t", -1)["role"].alias("dimension"),
-                 F.transform("t", lambda x: F.concat(F.lit("turn/"), x["turn"].cast("string")))
-                  .alias("residents")).alias("loc"))
+                 F.col("first_role").alias("type"),
+                 F.col("last_role").alias("dimension"),
+                 F.transform(F.sequence(F.lit(0).cast("long"), F.col("n") - 1),
+                             lambda i: F.concat(F.lit("turn/"), i.cast("string"))).alias("residents")
+                 ).alias("loc"))
     pages = loc.groupBy("page").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("conv_id", "loc"))),
                     lambda x: x["loc"]).alias("results"))
