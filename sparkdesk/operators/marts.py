@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparkdesk.operators.joins import left_join_nulls_apart
+
 
 def resolve_hierarchy(content: DataFrame, id_col: str, parent_col: str) -> DataFrame:
     """``(id, parent_id, grandparent_id, root_id, level)`` for a hierarchy of depth <= 3
@@ -13,10 +15,11 @@ def resolve_hierarchy(content: DataFrame, id_col: str, parent_col: str) -> DataF
     Two bounded left self joins instead of a recursive walk: the model allows at
     most two parent steps.  ``level`` 0 is a root.  A parent id that is not in
     the table is kept as given; its own parent is then unknown (NULL).
+    Roots (NULL parent) skip the self join, so they never share one shuffle task.
     """
     base = content.select(F.col(id_col).alias("id"), F.col(parent_col).alias("parent_id"))
-    p1 = base.select(F.col("id").alias("__p1"), F.col("parent_id").alias("grandparent_id"))
-    out = base.join(p1, base.parent_id == p1.__p1, "left").drop("__p1")
+    p1 = content.select(F.col(id_col).alias("__p1"), F.col(parent_col).alias("grandparent_id"))
+    out = left_join_nulls_apart(base, p1, "parent_id", "__p1").drop("__p1")
     return out.select(
         "id", "parent_id", "grandparent_id",
         F.coalesce("grandparent_id", "parent_id", "id").alias("root_id"),

@@ -117,15 +117,17 @@ def conversation_pages(conversations: DataFrame) -> DataFrame:
 
     A location is one conversation: id = conv_id, name = 'conversation <id>',
     type = role of the first turn, dimension = role of the last turn,
-    residents = one 'turn/<n>' entry per turn (n = 0 .. turns - 1).  Page n
-    holds ids with ``id div PAGE_SIZE = n - 1`` in id order.
-
-    Per conversation only aggregates are computed (count, ``min_by`` /
-    ``max_by``), so a conversation with a huge number of turns is still a
-    partial aggregate; the page collect holds at most ``PAGE_SIZE`` locations.
+    residents = the distinct roles that spoke in it, sorted.  Page n holds ids
+    with ``id div PAGE_SIZE = n - 1`` in id order.
+
+    Per conversation only aggregates are computed (``collect_set`` of the
+    role, ``min_by`` / ``max_by``), all with map-side partial results.  A
+    location's resident list is bounded by the number of roles, not by the
+    number of turns, and a page holds at most ``PAGE_SIZE`` locations, so no
+    row grows with a conversation's length.
     """
     conv = conversations.groupBy("conv_id").agg(
-        F.count(F.lit(1)).alias("n"),
+        F.array_sort(F.collect_set("role")).alias("speakers"),
         F.min_by("role", "turn").alias("first_role"),
         F.max_by("role", "turn").alias("last_role"))
     loc = conv.select(
@@ -135,8 +137,7 @@ def conversation_pages(conversations: DataFrame) -> DataFrame:
                  F.concat(F.lit("conversation "), F.col("conv_id").cast("string")).alias("name"),
                  F.col("first_role").alias("type"),
                  F.col("last_role").alias("dimension"),
-                 F.transform(F.sequence(F.lit(0).cast("long"), F.col("n") - 1),
-                             lambda i: F.concat(F.lit("turn/"), i.cast("string"))).alias("residents")
+                 F.col("speakers").alias("residents")
                  ).alias("loc"))
     pages = loc.groupBy("page").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("conv_id", "loc"))),
@@ -151,6 +152,6 @@ SELECT CAST(floor(conv_id / {PAGE_SIZE}) + 1 AS INTEGER) AS page,
        'conversation ' || CAST(conv_id AS VARCHAR) AS name,
        arg_min(role, turn) AS type,
        arg_max(role, turn) AS dimension,
-       CAST(count(*) AS INTEGER) AS residents_cnt
+       CAST(count(DISTINCT role) AS INTEGER) AS residents_cnt
 FROM conversations GROUP BY conv_id
 """

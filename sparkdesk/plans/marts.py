@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from sparkdesk.functions.stats import exact_sum
 from sparkdesk.operators import marts
+from sparkdesk.operators.joins import left_join_nulls_apart
 from sparkdesk.plans.registry import query
 from sparkdesk.sources.tables import table
 
@@ -136,8 +137,9 @@ def _mart_payment(spark, sf_dir):
     pay = _payments(spark, sf_dir)
     cont = content(spark, sf_dir).join(_hier(spark, sf_dir), F.col("content_id") == F.col("id"), "left")
     cont = cont.withColumnRenamed("content_id", "c_content_id")
-    fact = (pay.join(_profiles(spark, sf_dir), pay.profile_id == F.col("c_custkey"))
-               .join(cont, pay.content_id == cont.c_content_id, "left"))
+    # subscription payments (no content) skip the content join instead of sharing one task
+    fact = left_join_nulls_apart(pay.join(_profiles(spark, sf_dir), pay.profile_id == F.col("c_custkey")),
+                                 cont, "content_id", "c_content_id")
     return fact.select(
         "dttm", "profile_id", F.col("c_mktsegment").alias("segment"), F.col("n_name").alias("country"),
         F.col("r_name").alias("continent"), "payment_type", "amount", "content_id", "content_name",
