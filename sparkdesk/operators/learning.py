@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
@@ -24,6 +25,35 @@ from pyspark.sql import functions as F
 CLF_METRICS = ("f1", "weightedPrecision", "weightedRecall", "accuracy")
 
 
+def hash_split(df: DataFrame, weights: Sequence[float], seed: int = 42,
+               cols: Sequence[str] | None = None) -> list[DataFrame]:
+    """Split rows by a seeded hash of ``cols`` (default: all columns).
+
+    Unlike ``randomSplit`` there is no per-partition sort, and a row's side
+    depends only on its values: the same on every run, under any partitioning
+    and after a task retry.  Equal rows go to the same side.
+    """
+    cols = list(cols or df.columns)
+    u = F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in cols]), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    total = float(sum(weights))
+    out, lo = [], 0.0
+    for i, w in enumerate(weights):
+        hi = 1.0 if i == len(weights) - 1 else lo + w / total
+        out.append(df.where((u >= F.lit(lo)) & (u < F.lit(hi))) if i < len(weights) - 1
+                   else df.where(u >= F.lit(lo)))
+        lo = hi
+    return out
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give a frame that is about to be cached and scanned many times at least
+    one partition per core.  Fewer partitions than cores only happens for a
+    small input (the scan splits files at ``maxPartitionBytes``), so the
+    shuffle is cheap; a large input is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def indexers(cols: Sequence[str], handle_invalid: str = "error") -> list[StringIndexer]:
     """``<col>_index`` by descending frequency, ties alphabetical.  ``handle_invalid``:
     'error' (unseen label fails), 'keep' (extra index) or 'skip' (drop the row)."""
@@ -63,6 +93,27 @@ def select_model(estimator, model, values: Mapping[str, Sequence], evaluator, tr
     return tvs.fit(train)
 
 
+def select_on_features(feature_stages: Sequence, model, values: Mapping[str, Sequence], evaluator,
+                       train: DataFrame, train_ratio: float = 0.8, seed: int = 42,
+                       parallelism: int = 4):
+    """Grid selection with the feature stages outside the grid.
+
+    The indexers and the assembler are fitted once on ``train``; only the
+    ``(label, features)`` columns are kept and cached, and every candidate
+    fits just the learner on them (TrainValidationSplit caches its own
+    80/20 split of that narrow frame).  Returns ``(pipeline_model, tvs_model)``:
+    the feature stages followed by the best learner, refitted on all of ``train``.
+    """
+    feats = Pipeline(stages=list(feature_stages)).fit(train)
+    narrow = spread(feats.transform(train).select(model.getLabelCol(), "features")) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        tvs = select_model(model, model, values, evaluator, narrow, train_ratio, seed, parallelism)
+    finally:
+        narrow.unpersist()
+    return PipelineModel(stages=[*feats.stages, tvs.bestModel]), tvs
+
+
 def classifier_evaluator(label: str, metric: str = "f1") -> MulticlassClassificationEvaluator:
     return MulticlassClassificationEvaluator(labelCol=label, predictionCol="prediction", metricName=metric)
 

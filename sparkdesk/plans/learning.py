@@ -30,7 +30,7 @@ def frame(spark, sf_dir):
 
 
 def split(spark, sf_dir):
-    train, test = frame(spark, sf_dir).randomSplit([0.8, 0.2], seed=SEED)
+    train, test = ml.hash_split(frame(spark, sf_dir), [0.8, 0.2], seed=SEED)
     return train, test
 
 
@@ -59,7 +59,7 @@ def features_vector(spark, sf_dir):
 def _fit_predict(spark, sf_dir, kind, label, features, **params):
     train, test = split(spark, sf_dir)
     # indexer fit, assembler and the tree learner each pass over the training rows
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    train = ml.spread(train).persist(StorageLevel.MEMORY_AND_DISK)
     model = ml.pipeline(CATEGORICAL, features, ml.learner(kind, label, seed=SEED, **params)).fit(train)
     train.unpersist()
     return model, model.transform(test).select(*IDS, label, "prediction")
@@ -85,12 +85,9 @@ TVS_GRID = {"maxDepth": [2, 4], "maxBins": [16, 32]}
 
 def _select(spark, sf_dir):
     train, test = split(spark, sf_dir)
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
     rf = ml.learner("rf_classifier", CLF_LABEL, seed=SEED, numTrees=10)
-    fitted = ml.select_model(ml.pipeline(CATEGORICAL, CLF_FEATURES, rf), rf, TVS_GRID,
-                             ml.classifier_evaluator(CLF_LABEL, "f1"), train, seed=SEED)
-    train.unpersist()
-    best = fitted.bestModel
+    best, _ = ml.select_on_features([*ml.indexers(CATEGORICAL), ml.assembler(CLF_FEATURES)], rf,
+                                    TVS_GRID, ml.classifier_evaluator(CLF_LABEL, "f1"), train, seed=SEED)
     pred = best.transform(test).select(*IDS, CLF_LABEL, "prediction")
     return best, pred
 

@@ -48,3 +48,16 @@ def test_selection_report(spark):
     assert rep["maxDepth"] in {"2", "4"} and rep["maxBins"] in {"16", "32"}
     assert 0.0 <= float(rep["accuracy"]) <= 1.0
     assert rep["stage_1_inputs"].startswith("l_quantity")
+
+
+def test_hash_split_is_partition_independent_and_complete(spark):
+    from sparkdesk.operators.learning import hash_split
+    df = spark.range(0, 5000).selectExpr("id", "id % 7 AS g")
+    a1, b1 = hash_split(df, [0.8, 0.2], seed=7)
+    a2, b2 = hash_split(df.repartition(13), [0.8, 0.2], seed=7)
+    ids = lambda d: sorted(r.id for r in d.select("id").collect())
+    assert ids(a1) == ids(a2) and ids(b1) == ids(b2)
+    assert sorted(ids(a1) + ids(b1)) == list(range(5000))
+    assert 0.75 < len(ids(a1)) / 5000 < 0.85
+    parts = hash_split(df, [1, 1, 2], seed=3)
+    assert sum(p.count() for p in parts) == 5000
