@@ -1,18 +1,22 @@
 """Previous / next row and carry-forward within a key, split by time chunks.
 
 A plain ``Window.partitionBy(key).orderBy(t)`` puts every row of a key into
-one task; a key holding a third of the table then serialises the job.  These
-helpers add a chunk column (e.g. the day of ``t``): the window runs per
-``(key, chunk)``, in parallel, and the value that crosses a chunk border comes
+one task; a key holding a third of the table then serialises the job.  Here a
+chunk column (e.g. the day of ``t``) is added: the window runs per
+``(key, chunk)``, in parallel, and the values that cross a chunk border come
 from a small per-chunk aggregate (one row per key and chunk) scanned per key.
-With ``chunk=None`` they fall back to the single window.
+With ``chunk=None`` it is the single window.
+
+:func:`keyed_scan` answers every request of one ordered pass at once:
+neighbours before and after, and carry-forward columns share one window, one
+per-chunk aggregate, one window over the chunks and one join back.
 
 Ties in ``order`` must be broken by the caller (append a unique column).
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,49 +30,73 @@ def _ord(order: Sequence[str]) -> Column:
     return F.struct(*[F.col(c) for c in order])
 
 
+def _payload(values: Sequence[str]) -> Column:
+    return F.struct(*[F.col(v) for v in values])
+
+
+def keyed_scan(df: DataFrame, keys, order, prev: Mapping[str, Sequence[str]] | None = None,
+               next: Mapping[str, Sequence[str]] | None = None, fill: Sequence[str] = (),
+               chunk: Column | None = None) -> DataFrame:
+    """One ordered pass per key.
+
+    * ``prev`` / ``next``: ``{out: value columns}``; ``out`` is a struct of the
+      values of the previous / next row of the same key, NULL when there is
+      none (a NULL field inside the struct means the neighbour's value is NULL).
+    * ``fill``: columns replaced by their last non-NULL value up to and
+      including the current row (``last(col, ignorenulls)``).
+    """
+    keys, order = _list(keys), _list(order)
+    prev, next, fill = dict(prev or {}), dict(next or {}), list(fill)
+    part = [*keys, "__chunk"] if chunk is not None else keys
+    d = df.withColumn("__chunk", chunk) if chunk is not None else df
+    w = Window.partitionBy(*part).orderBy(*order)
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inner = {}
+    for out, vals in prev.items():
+        inner[out] = F.lag(_payload(_list(vals)), 1).over(w)
+    for out, vals in next.items():
+        inner[out] = F.lead(_payload(_list(vals)), 1).over(w)
+    for c in fill:
+        inner[c] = F.last(F.col(c), True).over(run)
+    scanned = d.select(*[inner.get(c, F.col(c)).alias(c) for c in d.columns],
+                       *[e.alias(o) for o, e in inner.items() if o not in d.columns])
+    if chunk is None:
+        return scanned
+
+    # per (key, chunk): last row (for the next chunk's first ``prev``), first row
+    # (for the previous chunk's last ``next``), last non-NULL of each fill column
+    edge = []
+    for out, vals in prev.items():
+        edge.append(F.max_by(_payload(_list(vals)), _ord(order)).alias(f"__last_{out}"))
+    for out, vals in next.items():
+        edge.append(F.min_by(_payload(_list(vals)), _ord(order)).alias(f"__first_{out}"))
+    for c in fill:
+        edge.append(F.max_by(F.col(c), F.when(F.col(c).isNotNull(), _ord(order))).alias(f"__l_{c}"))
+    per_chunk = d.groupBy(*keys, "__chunk").agg(*edge)
+    wc = Window.partitionBy(*keys).orderBy("__chunk")
+    before = wc.rowsBetween(Window.unboundedPreceding, -1)
+    carry = per_chunk.select(
+        *keys, "__chunk",
+        *[F.lag(f"__last_{o}", 1).over(wc).alias(f"__c_{o}") for o in prev],
+        *[F.lead(f"__first_{o}", 1).over(wc).alias(f"__c_{o}") for o in next],
+        *[F.last(f"__l_{c}", True).over(before).alias(f"__c_{c}") for c in fill])
+    j = scanned.join(carry, [*keys, "__chunk"], "left")
+    # a neighbour payload struct is never NULL, so a NULL one marks the chunk's edge row
+    fixed = {o: F.coalesce(F.col(o), F.col(f"__c_{o}")) for o in [*prev, *next, *fill]}
+    return j.select(*[fixed.get(c, F.col(c)).alias(c) for c in scanned.columns if c != "__chunk"])
+
+
 def with_neighbour(df: DataFrame, keys, order, values, out: str, chunk: Column | None = None,
                    direction: str = "prev") -> DataFrame:
     """Add ``out``: a struct of ``values`` from the previous (``prev``) or next
-    (``next``) row of the same key in ``order``; NULL when there is none (a
-    NULL field inside the struct means the neighbour's value is NULL)."""
-    keys, order, values = _list(keys), _list(order), _list(values)
-    payload = F.struct(*[F.col(v) for v in values])
-    shift = F.lag if direction == "prev" else F.lead
-    if chunk is None:
-        w = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumn(out, shift(payload, 1).over(w))
-    d = df.withColumn("__chunk", chunk)
-    w = Window.partitionBy(*keys, "__chunk").orderBy(*order)
-    # the payload struct itself is never NULL, so a NULL neighbour marks the chunk's edge row
-    d = d.withColumn("__in", shift(payload, 1).over(w)).withColumn("__edge", F.col("__in").isNull())
-    pick = F.max_by if direction == "prev" else F.min_by
-    per_chunk = d.groupBy(*keys, "__chunk").agg(pick(payload, _ord(order)).alias("__edge_val"))
-    wc = Window.partitionBy(*keys).orderBy("__chunk")
-    carry = per_chunk.select(*keys, "__chunk", shift("__edge_val", 1).over(wc).alias("__carry"))
-    d = d.join(carry, [*keys, "__chunk"], "left")
-    return (d.withColumn(out, F.when(F.col("__edge"), F.col("__carry")).otherwise(F.col("__in")))
-             .drop("__chunk", "__in", "__edge", "__carry"))
+    (``next``) row of the same key in ``order``."""
+    req = {out: _list(values)}
+    if direction == "prev":
+        return keyed_scan(df, keys, order, prev=req, chunk=chunk)
+    return keyed_scan(df, keys, order, next=req, chunk=chunk)
 
 
 def carry_forward(df: DataFrame, keys, order, cols, chunk: Column | None = None) -> DataFrame:
     """Replace each of ``cols`` by its last non-NULL value up to and including
     the current row of the same key (``last(col, ignorenulls)``)."""
-    keys, order, cols = _list(keys), _list(order), _list(cols)
-    run = (Window.partitionBy(*keys, *(["__chunk"] if chunk is not None else []))
-           .orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    if chunk is None:
-        return df.select(*[F.last(c, True).over(run).alias(c) if c in cols else F.col(c)
-                           for c in df.columns])
-    d = df.withColumn("__chunk", chunk)
-    per_chunk = d.groupBy(*keys, "__chunk").agg(
-        *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), _ord(order))).alias(f"__l_{c}")
-          for c in cols])
-    prior = (Window.partitionBy(*keys).orderBy("__chunk")
-             .rowsBetween(Window.unboundedPreceding, -1))
-    carry = per_chunk.select(*keys, "__chunk",
-                             *[F.last(f"__l_{c}", True).over(prior).alias(f"__p_{c}") for c in cols])
-    d = d.select(*[F.last(c, True).over(run).alias(c) if c in cols else F.col(c) for c in d.columns])
-    d = d.join(carry, [*keys, "__chunk"], "left")
-    for c in cols:
-        d = d.withColumn(c, F.coalesce(F.col(c), F.col(f"__p_{c}")))
-    return d.drop("__chunk", *[f"__p_{c}" for c in cols])
+    return keyed_scan(df, keys, order, fill=_list(cols), chunk=chunk)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkdesk.functions.keys import hash_key
-from sparkdesk.operators.keyed_scan import carry_forward, with_neighbour
+from sparkdesk.operators.keyed_scan import keyed_scan, with_neighbour
 
 
 def _meta(df: DataFrame, load_dttm: str, source_id: str) -> DataFrame:
@@ -79,7 +79,7 @@ def pit_table(hk: str, satellites: Mapping[str, DataFrame], ts: str = "load_dttm
     Change points are the union of all satellites' load times per key; for each
     point and satellite the latest load time at or before it (carry-forward of
     the satellite's own load time), plus ``valid_to`` = next point.  No range
-    join: one union, one keyed scan.
+    join: one union, one aggregate, one keyed scan.
     """
     names = list(satellites)
     points = None
@@ -92,9 +92,9 @@ def pit_table(hk: str, satellites: Mapping[str, DataFrame], ts: str = "load_dttm
     # one row per (key, point): the max per satellite of the rows at that point
     points = points.groupBy(hk, pit_ts).agg(*[F.max(c).alias(c) for c in cols])
     chunk = chunk_of(F.col(pit_ts)) if chunk_of else None
-    filled = carry_forward(points, hk, pit_ts, cols, chunk)
-    nxt = with_neighbour(filled, hk, pit_ts, [pit_ts], "__next", chunk, "next")
-    return nxt.withColumn("valid_to_dttm", F.col(f"__next.{pit_ts}")).drop("__next")
+    # carry-forward of every satellite and the next point: one keyed scan
+    scanned = keyed_scan(points, hk, pit_ts, next={"__next": [pit_ts]}, fill=cols, chunk=chunk)
+    return scanned.withColumn("valid_to_dttm", F.col(f"__next.{pit_ts}")).drop("__next")
 
 
 def bridge(base: DataFrame, steps: Sequence[tuple[DataFrame, str, str]]) -> DataFrame:

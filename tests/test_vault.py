@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from sparkdesk.functions.keys import hash_key
 from sparkdesk.operators import anchor, vault
-from sparkdesk.operators.keyed_scan import carry_forward, with_neighbour
+from sparkdesk.operators.keyed_scan import carry_forward, keyed_scan, with_neighbour
 from tests.conftest import rows
 
 T0 = dt.datetime(2024, 1, 1)
@@ -98,6 +98,27 @@ def test_chunked_carry_forward_equals_brute_force(spark, raw):
         assert got == expected
 
 
+@settings(max_examples=15, deadline=None)
+@given(hist_rows)
+def test_one_keyed_scan_answers_prev_next_and_fill(spark, raw):
+    data = [(k, ts(h), i, v) for i, (k, h, v) in enumerate(raw)]
+    df = spark.createDataFrame(data, HIST).withColumn("f", F.col("v"))
+    neighbours = brute_prev_next(data)
+    filled, last = {}, {}
+    for r in sorted(data, key=lambda r: (r[0], r[1], r[2])):
+        if r[3] is not None:
+            last[r[0]] = r[3]
+        filled[r[2]] = last.get(r[0])
+    for chunk in (None, F.to_date("ts"), F.date_trunc("hour", "ts")):
+        d = keyed_scan(df, "k", ["ts", "id"], prev={"p": ["v"]}, next={"n": ["v", "ts"]},
+                       fill=["f"], chunk=chunk)
+        assert d.columns == ["k", "ts", "id", "v", "f", "p", "n"]
+        got = {r.id: ("<none>" if r.p is None else r.p.v, "<none>" if r.n is None else r.n.v)
+               for r in d.collect()}
+        assert got == neighbours
+        assert {r.id: r.f for r in d.collect()} == filled
+
+
 def test_validity_intervals(spark):
     df = spark.createDataFrame([("p", ts(0), 1, "a"), ("p", ts(30), 2, "b"), ("q", ts(5), 3, "c")], HIST)
     out = vault.validity_intervals(df, "k", "ts", chunk=F.to_date("ts"))
