@@ -26,18 +26,30 @@ def append(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 
 def write_partitioned(df: DataFrame, path: str, part_col: str = "dt", fmt: str = "parquet",
-                      replace_touched: bool = True, files_per_partition: int = 8) -> None:
+                      replace_touched: bool = True, rows_per_task: int = 2_000_000) -> None:
     """Write by a partition column.
 
     ``replace_touched=True`` uses dynamic partition overwrite: the partitions
-    present in ``df`` are replaced, all others stay.  Rows are shuffled by
-    ``(part_col, salt)`` with a deterministic salt of ``files_per_partition``
-    buckets: each day is written by at most that many tasks (few, large
-    files), and a day holding a third of the data still spreads over several
-    tasks.  The salt is a hash of the row, so a retried task gets the same rows.
+    present in ``df`` are replaced, all others stay.
+
+    Each partition value gets ``ceil(rows / rows_per_task)`` writer tasks: a
+    first small aggregate counts the rows per value (one row per partition
+    folder, so its broadcast is bounded by the number of folders), then rows
+    are shuffled by ``(part_col, salt)`` with a salt below that bucket count.
+    A day holding a third of the data is written by proportionally many
+    tasks, a small day by one (one file, no small-file spray).  The salt is a
+    hash of the row, so a retried task gets the same rows.
     """
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_partition))
-    writer = df.repartition(F.col(part_col), salt).write.option("maxRecordsPerFile", 5_000_000)
+    counts = df.groupBy(part_col).agg(F.count(F.lit(1)).alias("__rows"))
+    buckets = counts.select(F.col(part_col), F.greatest(
+        F.ceil(F.col("__rows") / F.lit(float(rows_per_task))), F.lit(1)).cast("long").alias("__buckets"))
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.col("__buckets"))
+    spread = (df.join(F.broadcast(buckets), df[part_col].eqNullSafe(buckets[part_col]), "left")
+                .drop(buckets[part_col])
+                .withColumn("__salt", salt)
+                .repartition(F.col(part_col), F.col("__salt"))
+                .drop("__buckets", "__salt"))
+    writer = spread.write.option("maxRecordsPerFile", rows_per_task)
     if replace_touched:
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     else:

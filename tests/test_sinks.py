@@ -82,3 +82,16 @@ def test_write_lines(spark, tmp_dir):
     df = spark.createDataFrame([("2020-01", "Cash", 1.5), ("2020-02", None, 2.0)], "m string, p string, a double")
     W.write_lines(df, tmp_dir + "/out", ["m", "p", "a"])
     assert sorted(r.value for r in spark.read.text(tmp_dir + "/out").collect()) == ["2020-01,Cash,1.5", "2020-02,,2.0"]
+
+
+def test_partitioned_write_spreads_a_hot_day_over_tasks(spark, tmp_dir):
+    from pyspark.sql import functions as F
+    p = os.path.join(tmp_dir, "hot")
+    hot = spark.range(0, 3000).select(F.lit("2020-01-01").cast("date").alias("dt"), F.col("id"))
+    cold = spark.range(3000, 3010).select(F.lit("2020-01-02").cast("date").alias("dt"), F.col("id"))
+    W.write_partitioned(hot.unionByName(cold), p, "dt", rows_per_task=1000)
+    hot_files = [f for f in os.listdir(os.path.join(p, "dt=2020-01-01")) if f.endswith(".parquet")]
+    cold_files = [f for f in os.listdir(os.path.join(p, "dt=2020-01-02")) if f.endswith(".parquet")]
+    assert len(hot_files) >= 2 and len(cold_files) == 1
+    back = spark.read.parquet(p)
+    assert back.count() == 3010 and back.select("id").distinct().count() == 3010
