@@ -8,11 +8,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparkdesk.operators.keyed_scan import Chunks
 from sparkdesk.operators.vault import satellite_changes
 
 
 def split_attributes(history: DataFrame, sk: str, ts: str, attrs: Sequence[str],
-                     tie: Sequence[str] = (), chunk: Column | None = None) -> dict[str, DataFrame]:
+                     tie: Sequence[str] = (), chunk: Column | Chunks | None = None) -> dict[str, DataFrame]:
     """``{attr: (sk, load_dttm, attr)}`` with change-only rows per attribute."""
     out = {}
     for a in attrs:

@@ -5,7 +5,9 @@ one task; a key holding a third of the table then serialises the job.  Here a
 chunk column (e.g. the day of ``t``) is added: the window runs per
 ``(key, chunk)``, in parallel, and the values that cross a chunk border come
 from a small per-chunk aggregate (one row per key and chunk) scanned per key.
-With ``chunk=None`` it is the single window.
+With ``chunk=None`` it is the single window.  :class:`Chunks` cuts hot keys
+finer than the rest, so a key holding a third of the table spreads over
+minutes instead of days.
 
 :func:`keyed_scan` answers every request of one ordered pass at once:
 neighbours before and after, and carry-forward columns share one window, one
@@ -34,9 +36,46 @@ def _payload(values: Sequence[str]) -> Column:
     return F.struct(*[F.col(v) for v in values])
 
 
+class Chunks:
+    """Chunking with a finer cut for hot keys.
+
+    Keys with more than ``hot_rows`` rows are chunked by ``fine`` (e.g. the
+    minute of ``t``), all others by ``coarse`` (e.g. the day).  Both must be
+    non-decreasing in the scan order and of the same type.  The hot keys come
+    from one count aggregate; there are at most ``rows / hot_rows`` of them,
+    which bounds their broadcast.  A sparse key keeps one coarse chunk per
+    day, so the per-chunk table stays small for it.
+    """
+
+    def __init__(self, coarse: Column, fine: Column, hot_rows: int = 1_000_000,
+                 counted: DataFrame | None = None):
+        self.coarse, self.fine, self.hot_rows, self.counted = coarse, fine, hot_rows, counted
+
+    def counted_on(self, history: DataFrame) -> "Chunks":
+        """Take the hot keys from ``history`` (e.g. the raw rows) instead of
+        from each scanned frame: a frame derived from it (change rows, one
+        attribute) has no more rows per key, so the set is safe for it too, and
+        the count stays a scan plus a partial aggregate."""
+        return Chunks(self.coarse, self.fine, self.hot_rows, history)
+
+    def assign(self, df: DataFrame, keys: Sequence[str]) -> DataFrame:
+        src = self.counted if self.counted is not None else df
+        hot = (src.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+                  .where(F.col("__n") > F.lit(self.hot_rows))
+                  .select(*[F.col(k).alias(f"__hot_{i}") for i, k in enumerate(keys)],
+                          F.lit(True).alias("__hot")))
+        on = None
+        for i, k in enumerate(keys):
+            c = df[k].eqNullSafe(hot[f"__hot_{i}"])
+            on = c if on is None else on & c
+        d = df.join(F.broadcast(hot), on, "left")
+        d = d.withColumn("__chunk", F.when(F.col("__hot"), self.fine).otherwise(self.coarse))
+        return d.drop("__hot", *[f"__hot_{i}" for i in range(len(keys))])
+
+
 def keyed_scan(df: DataFrame, keys, order, prev: Mapping[str, Sequence[str]] | None = None,
                next: Mapping[str, Sequence[str]] | None = None, fill: Sequence[str] = (),
-               chunk: Column | None = None) -> DataFrame:
+               chunk: Column | Chunks | None = None) -> DataFrame:
     """One ordered pass per key.
 
     * ``prev`` / ``next``: ``{out: value columns}``; ``out`` is a struct of the
@@ -48,7 +87,10 @@ def keyed_scan(df: DataFrame, keys, order, prev: Mapping[str, Sequence[str]] | N
     keys, order = _list(keys), _list(order)
     prev, next, fill = dict(prev or {}), dict(next or {}), list(fill)
     part = [*keys, "__chunk"] if chunk is not None else keys
-    d = df.withColumn("__chunk", chunk) if chunk is not None else df
+    if isinstance(chunk, Chunks):
+        d = chunk.assign(df, keys)
+    else:
+        d = df.withColumn("__chunk", chunk) if chunk is not None else df
     w = Window.partitionBy(*part).orderBy(*order)
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     inner = {}
@@ -86,7 +128,7 @@ def keyed_scan(df: DataFrame, keys, order, prev: Mapping[str, Sequence[str]] | N
     return j.select(*[fixed.get(c, F.col(c)).alias(c) for c in scanned.columns if c != "__chunk"])
 
 
-def with_neighbour(df: DataFrame, keys, order, values, out: str, chunk: Column | None = None,
+def with_neighbour(df: DataFrame, keys, order, values, out: str, chunk: Column | Chunks | None = None,
                    direction: str = "prev") -> DataFrame:
     """Add ``out``: a struct of ``values`` from the previous (``prev``) or next
     (``next``) row of the same key in ``order``."""
@@ -96,7 +138,7 @@ def with_neighbour(df: DataFrame, keys, order, values, out: str, chunk: Column |
     return keyed_scan(df, keys, order, next=req, chunk=chunk)
 
 
-def carry_forward(df: DataFrame, keys, order, cols, chunk: Column | None = None) -> DataFrame:
+def carry_forward(df: DataFrame, keys, order, cols, chunk: Column | Chunks | None = None) -> DataFrame:
     """Replace each of ``cols`` by its last non-NULL value up to and including
     the current row of the same key (``last(col, ignorenulls)``)."""
     return keyed_scan(df, keys, order, fill=_list(cols), chunk=chunk)

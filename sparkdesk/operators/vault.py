@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkdesk.functions.keys import hash_key
-from sparkdesk.operators.keyed_scan import keyed_scan, with_neighbour
+from sparkdesk.operators.keyed_scan import Chunks, keyed_scan, with_neighbour
 
 
 def _meta(df: DataFrame, load_dttm: str, source_id: str) -> DataFrame:
@@ -46,7 +46,7 @@ def link_rows(staged: DataFrame, parts: Mapping[str, Sequence[str]], hk: str,
 
 
 def satellite_changes(history: DataFrame, hk: str, ts: str, payload: Sequence[str],
-                      tie: Sequence[str] = (), chunk: Column | None = None) -> DataFrame:
+                      tie: Sequence[str] = (), chunk: Column | Chunks | None = None) -> DataFrame:
     """Keep a row only when its payload differs from the previous row of the
     same key (NULL-safe: NULL -> NULL is no change); the first row of a key is kept.
 
@@ -64,7 +64,7 @@ def satellite_changes(history: DataFrame, hk: str, ts: str, payload: Sequence[st
 
 def validity_intervals(sat: DataFrame, hk: str, ts: str, valid_from: str = "valid_from_dttm",
                        valid_to: str = "valid_to_dttm", tie: Sequence[str] = (),
-                       chunk: Column | None = None) -> DataFrame:
+                       chunk: Column | Chunks | None = None) -> DataFrame:
     """``valid_from`` = own load time, ``valid_to`` = next load time of the same
     key (NULL while current)."""
     d = with_neighbour(sat, hk, [ts, *tie], [ts], "__next", chunk, "next")

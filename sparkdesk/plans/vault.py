@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from sparkdesk.functions.keys import hash_key
 from sparkdesk.operators import anchor, vault
+from sparkdesk.operators.keyed_scan import Chunks
 from sparkdesk.plans.registry import query
 from sparkdesk.session import scratch_path
 from sparkdesk.sinks import writers
@@ -23,8 +24,14 @@ def _hk_sql(*cols: str) -> str:
     return "sha256(" + " || '|' || ".join(parts) + ")"
 
 
+# Rows above which one profile counts as hot and is chunked by minute instead of day.
+HOT_KEY_ROWS = 1_000_000
+
+
 def _day(col="ts"):
-    return F.to_date(F.col(col))
+    """Chunking of a profile's history: by day, by minute for a hot profile."""
+    c = F.col(col) if isinstance(col, str) else col
+    return Chunks(F.date_trunc("day", c), F.date_trunc("minute", c), HOT_KEY_ROWS)
 
 
 def _ts(v):
@@ -92,7 +99,7 @@ FROM ({CHANGES_SQL.format(hk=_hk_sql('user_id'), col='event_type')}) c
 def satellite_load(spark, sf_dir):
     h = _profile_history(spark, sf_dir)
     sat = vault.satellite_changes(h, "profile_hk", "ts", ["event_type"], tie=["event_id"],
-                                  chunk=_day())
+                                  chunk=_day().counted_on(h.select("profile_hk")))
     return sat.select("profile_hk", F.col("ts").alias("load_dttm"), "event_type")
 
 
@@ -103,8 +110,9 @@ FROM ({CHANGES_SQL.format(hk=_hk_sql('user_id'), col='value')}) c
 """)
 def scd2_intervals(spark, sf_dir):
     h = _profile_history(spark, sf_dir)
-    sat = vault.satellite_changes(h, "profile_hk", "ts", ["value"], tie=["event_id"], chunk=_day())
-    iv = vault.validity_intervals(sat, "profile_hk", "ts", tie=["event_id"], chunk=_day())
+    chunks = _day().counted_on(h.select("profile_hk"))
+    sat = vault.satellite_changes(h, "profile_hk", "ts", ["value"], tie=["event_id"], chunk=chunks)
+    iv = vault.validity_intervals(sat, "profile_hk", "ts", tie=["event_id"], chunk=chunks)
     return iv.select("profile_hk", "valid_from_dttm", "valid_to_dttm", "value")
 
 
@@ -123,7 +131,8 @@ def pit_build(spark, sf_dir):
     h = _profile_history(spark, sf_dir).withColumn("load_dttm", F.date_trunc("hour", "ts"))
     sats = {name: h.where(F.col("event_type") == name).select("profile_hk", "load_dttm").distinct()
             for name in ("click", "purchase")}
-    pit = vault.pit_table("profile_hk", sats, chunk_of=F.to_date)
+    hot_from = h.select("profile_hk")     # raw rows: never fewer per profile than the points
+    pit = vault.pit_table("profile_hk", sats, chunk_of=lambda c: _day(c).counted_on(hot_from))
     return pit.select("profile_hk", "pit_dttm", "click_load_dttm", "purchase_load_dttm", "valid_to_dttm")
 
 
@@ -147,7 +156,7 @@ def bridge_place(spark, sf_dir):
 def _anchor_tables(spark, sf_dir):
     ev = table(spark, sf_dir, "events")
     return ev, anchor.split_attributes(ev, "user_id", "ts", ["event_type", "value"],
-                                       tie=["event_id"], chunk=_day())
+                                       tie=["event_id"], chunk=_day().counted_on(ev.select("user_id")))
 
 
 @query("anchor_split", sql="""

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from sparkdesk.functions.keys import hash_key
 from sparkdesk.operators import anchor, vault
-from sparkdesk.operators.keyed_scan import carry_forward, keyed_scan, with_neighbour
+from sparkdesk.operators.keyed_scan import Chunks, carry_forward, keyed_scan, with_neighbour
 from tests.conftest import rows
 
 T0 = dt.datetime(2024, 1, 1)
@@ -109,7 +109,8 @@ def test_one_keyed_scan_answers_prev_next_and_fill(spark, raw):
         if r[3] is not None:
             last[r[0]] = r[3]
         filled[r[2]] = last.get(r[0])
-    for chunk in (None, F.to_date("ts"), F.date_trunc("hour", "ts")):
+    hot_keys_by_hour = Chunks(F.date_trunc("day", "ts"), F.date_trunc("hour", "ts"), hot_rows=3)
+    for chunk in (None, F.to_date("ts"), F.date_trunc("hour", "ts"), hot_keys_by_hour):
         d = keyed_scan(df, "k", ["ts", "id"], prev={"p": ["v"]}, next={"n": ["v", "ts"]},
                        fill=["f"], chunk=chunk)
         assert d.columns == ["k", "ts", "id", "v", "f", "p", "n"]
@@ -132,7 +133,8 @@ def test_validity_intervals(spark):
 def test_pit_equals_brute_force_as_of(spark, sat_a, sat_b):
     a = spark.createDataFrame(sorted({(k, ts(h)) for k, h in sat_a}), "hk string, load_dttm timestamp_ntz")
     b = spark.createDataFrame(sorted({(k, ts(h)) for k, h in sat_b}), "hk string, load_dttm timestamp_ntz")
-    pit = vault.pit_table("hk", {"sa": a, "sb": b}, chunk_of=F.to_date)
+    pit = vault.pit_table("hk", {"sa": a, "sb": b},
+                          chunk_of=lambda c: Chunks(F.date_trunc("day", c), F.date_trunc("hour", c), 4))
     got = rows(pit, "hk", "pit_dttm", "sa_load_dttm", "sb_load_dttm", "valid_to_dttm")
     pts = sorted({(k, ts(h)) for k, h in sat_a + sat_b})
     la = [(k, ts(h)) for k, h in sat_a]
