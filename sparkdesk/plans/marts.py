@@ -68,7 +68,7 @@ LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
 """
 
 
-@query("mart_watch", sql=f"""
+MART_WATCH_SQL = f"""
 SELECT l.l_shipdate AS start_time, pr.c_custkey AS profile_id, pr.c_mktsegment AS segment,
        pr.n_name AS country, pr.r_name AS continent,
        s.s_name AS device, l.l_partkey AS content_id, c.content_name,
@@ -82,8 +82,28 @@ JOIN ({PROFILES_SQL}) pr ON o.o_custkey = pr.c_custkey
 LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey
 LEFT JOIN ({CONTENT_SQL}) c ON l.l_partkey = c.content_id
 LEFT JOIN ({HIER_SQL}) h ON l.l_partkey = h.id
-""")
+"""
+
+
+@query("mart_watch", sql=MART_WATCH_SQL)
 def mart_watch(spark, sf_dir):
+    return _mart_watch(spark, sf_dir)
+
+
+@query("mart_watch_questions", sql=f"""
+SELECT continent, segment, device, content_level, count(*) AS watches,
+       CAST(sum(CAST(duration AS DECIMAL(18,2))) AS DOUBLE) AS watched
+FROM ({MART_WATCH_SQL}) m GROUP BY continent, segment, device, content_level
+""")
+def mart_watch_questions(spark, sf_dir):
+    """Which user groups (continent x segment) watch on which device, and
+    which kind of content (level): views and total watched duration."""
+    m = _mart_watch(spark, sf_dir)
+    return m.groupBy("continent", "segment", "device", "content_level").agg(
+        F.count(F.lit(1)).alias("watches"), exact_sum("duration").alias("watched"))
+
+
+def _mart_watch(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey",
                                                 "l_shipdate", "l_quantity")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
