@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkdesk.functions.text import split_field, strip_ws
 
@@ -35,6 +36,11 @@ PAYMENT_TYPES = [
 ]
 
 
+_ROW_TYPE = T.StructType([T.StructField("month", T.StringType()),
+                          T.StructField("payment_type", T.StringType()),
+                          T.StructField("tip_amount", T.DoubleType())])
+
+
 def payment_dim(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(PAYMENT_TYPES, "id int, name string")
 
@@ -60,10 +66,15 @@ def parse_trip_lines(lines: DataFrame, year: str, value_col: str = "value") -> D
             & pickup.isNotNull() & (pickup != "")
             & (F.substring(pickup, 1, 4) == F.lit(year))
             & code.isNotNull() & (code != ""))
-    return f.where(keep).select(
-        F.substring(pickup, 1, 7).alias("month"),
-        code.alias("payment_type"),
-        F.get("f", TIP_FIELD).try_cast("double").alias("tip_amount"))
+    row = F.struct(F.substring(pickup, 1, 7).alias("month"),
+                   code.alias("payment_type"),
+                   F.get("f", TIP_FIELD).try_cast("double").alias("tip_amount"))
+    # A ``where(keep)`` here would be pushed below the projection of ``f``, which
+    # pastes the strip + split into the predicate once per field reference
+    # (about ten times per line).  Emitting 0 or 1 rows from a generator keeps
+    # ``f`` computed once per line, inside the same codegen stage (~4x faster).
+    none = F.array().cast(T.ArrayType(_ROW_TYPE))
+    return f.select(F.inline(F.when(keep, F.array(row)).otherwise(none)))
 
 
 def avg_tip_by_month_label(parsed: DataFrame, labels: DataFrame, mean_fn=F.avg) -> DataFrame:
