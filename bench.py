@@ -29,8 +29,11 @@ def main() -> None:
                           extra={"spark.driver.memory": "16g"})
     qs = all_queries()
     keys = only or sorted(k for k in qs if k not in ML_KEYS) + sorted(k for k in qs if k in ML_KEYS)
-    # warm-up: JVM, parquet footers, codegen caches
-    qs["topk_count"](spark, sf_dir).write.format("noop").mode("overwrite").save()
+    # warm-up (untimed): JVM JIT, parquet footers and codegen for the three plan
+    # shapes (aggregate, keyed window, star join), so the first timed key in
+    # alphabetical order is not charged for them
+    for k in ("topk_count", "satellite_load", "role_join"):
+        qs[k](spark, sf_dir).write.format("noop").mode("overwrite").save()
     times = {}
     for k in keys:
         t0 = time.perf_counter()
