@@ -157,9 +157,11 @@ def _mart_payment(spark, sf_dir):
     pay = _payments(spark, sf_dir)
     cont = content(spark, sf_dir).join(_hier(spark, sf_dir), F.col("content_id") == F.col("id"), "left")
     cont = cont.withColumnRenamed("content_id", "c_content_id")
-    # subscription payments (no content) skip the content join instead of sharing one task
-    fact = left_join_nulls_apart(pay.join(_profiles(spark, sf_dir), pay.profile_id == F.col("c_custkey")),
-                                 cont, "content_id", "c_content_id")
+    # subscription payments (no content) skip the content join instead of sharing one
+    # task; split at the payment scan (the NULL test reaches it as a pushed filter),
+    # so the profile join below runs once on the union
+    with_content = left_join_nulls_apart(pay, cont, "content_id", "c_content_id")
+    fact = with_content.join(_profiles(spark, sf_dir), F.col("profile_id") == F.col("c_custkey"))
     return fact.select(
         "dttm", "profile_id", F.col("c_mktsegment").alias("segment"), F.col("n_name").alias("country"),
         F.col("r_name").alias("continent"), "payment_type", "amount", "content_id", "content_name",
