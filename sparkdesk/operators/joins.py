@@ -27,6 +27,10 @@ def left_join_nulls_apart(left: DataFrame, right: DataFrame, left_keys, right_ke
     NULL right-hand columns, which is what the plain left join gives them.
     The NULL-key rows never enter the shuffle, so they cannot pile up in one
     task.  Output columns: ``left``'s, then ``right``'s (names must not clash).
+
+    ``left`` is read twice with complementary filters, so apply this right
+    above the scan (the NULL test then reaches it as a filter), not above
+    another join, which would run twice.
     """
     lk, rk = _list(left_keys), _list(right_keys)
     if len(lk) != len(rk):
