@@ -13,10 +13,10 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    ckpt = tempfile.mkdtemp(prefix="sparkdesk-test-ckpt-")
+    # spark.checkpoint.dir: the session's own setting when there is one; build_session
+    # creates a local folder only when it is unset
     s = build_session("local[4]", 4, app_name="sparkdesk-tests",
-                      extra={"spark.checkpoint.dir": ckpt,
-                             "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="sparkdesk-wh-")})
+                      extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="sparkdesk-wh-")})
     yield s
     s.stop()
 
