@@ -31,6 +31,13 @@ def test_pushdown_and_pruning(spark):
     assert "PushedFilters: [IsNotNull(l_shipdate), GreaterThanOrEqual(l_shipdate" in p
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_quantity:double,l_shipdate:timestamp_ntz>" in p
     assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts" in plan(QUERIES["day_filter"](spark, SF_SMALL))
+    # the as-of cut is applied before the keyed scan, so it reaches the history scan
+    assert "LessThanOrEqual(ts," in plan(QUERIES["anchor_asof"](spark, SF_SMALL))
+
+
+def test_null_content_payments_are_split_off(spark):
+    # keyed payments join the content; payments without content are a separate branch
+    assert "Union" in plan(QUERIES["mart_payment"](spark, SF_SMALL))
 
 
 def test_top_k_and_broadcast(spark):
