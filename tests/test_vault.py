@@ -163,3 +163,18 @@ def test_bridge_left_joins_keep_missing_levels(spark):
     cont = spark.createDataFrame([(100, "Europe")], "ctid int, continent string")
     out = vault.bridge(base, [(country, "country_id", "cid"), (cont, "continent_id", "ctid")])
     assert rows(out, "code", "country", "continent") == [(1, "NL", "Europe"), (2, None, None)]
+
+
+def test_hot_key_gets_fine_chunks_and_sparse_key_keeps_one(spark):
+    data = [("hot", ts(h), i, "x") for i, h in enumerate(range(0, 10))] + \
+           [("cold", ts(1), 100, "y"), ("cold", ts(7), 101, "z"), (None, ts(2), 102, "n")]
+    df = spark.createDataFrame(data, HIST)
+    chunks = Chunks(F.date_trunc("day", "ts"), F.date_trunc("hour", "ts"), hot_rows=5)
+    got = {r.k: r.n for r in chunks.assign(df, ["k"]).groupBy("k")
+           .agg(F.count_distinct("__chunk").alias("n")).collect()}
+    assert got == {"hot": 10, "cold": 1, None: 1}
+    # the hot set can come from a wider frame: a subset of its rows still counts as hot
+    sub = df.where(F.col("ts") < F.lit(ts(3)))
+    got = {r.k: r.n for r in chunks.counted_on(df).assign(sub, ["k"]).groupBy("k")
+           .agg(F.count_distinct("__chunk").alias("n")).collect()}
+    assert got["hot"] == 3
