@@ -35,6 +35,11 @@ def test_pushdown_and_pruning(spark):
     assert "LessThanOrEqual(ts," in plan(QUERIES["anchor_asof"](spark, SF_SMALL))
 
 
+def test_pit_is_one_keyed_scan(spark):
+    # carry-forward and next point share one (key, chunk) window and one chunk-level window
+    assert plan(QUERIES["pit_build"](spark, SF_SMALL)).count("Window [") == 2
+
+
 def test_null_content_payments_are_split_off(spark):
     # keyed payments join the content; payments without content are a separate branch
     assert "Union" in plan(QUERIES["mart_payment"](spark, SF_SMALL))
