@@ -7,11 +7,11 @@ unset (unit tests, local runs) do we create one ourselves.
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -39,21 +39,35 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; create a local one only if none is configured."""
+    """Return the shared checkpoint folder.
+
+    Only a local master (one machine, tests) may fall back to a folder of its own;
+    on a cluster an unset ``spark.checkpoint.dir`` is an error, since no folder of
+    one machine is visible to the others.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="sparkdesk-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the shared checkpoint dir for an intermediate table."""
-    base = ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    return os.path.join(base, "sparkdesk", f"{name}-{uuid.uuid4().hex[:12]}")
+    """A fresh, unique folder (scheme kept) under the shared checkpoint dir."""
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/sparkdesk/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def write_scratch(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder and read it back: lineage ends there,
+    so a lost executor costs no more than the tasks that read the table."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
