@@ -11,7 +11,6 @@ its histogram to mean something.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,41 +35,31 @@ CLASSES = {"lower": r"\p{Ll}", "space": r"\x20\x09-\x0D", "upper": r"\p{Lu}", "l
 SYMBOLS = r"[#*$%&|<>]+"
 
 
-def _class_rests(text: Column) -> dict[str, Column]:
-    """What is left of the text after each class is taken out, one after another."""
-    rests, left = {"": text}, text
+def _with_classes(d: DataFrame) -> DataFrame:
+    """Adds ``class_hist``, word_chars and n_symbols: one class after another is taken out of
+    the text, and the lengths of what is left give the counts."""
+    left = ["text"]
     for name, cls in CLASSES.items():
-        left = F.regexp_replace(left, f"[{cls}]+", "")
-        rests[name] = left
-    return rests
-
-
-def _class_counts(rests: dict[str, Column]) -> list[Column]:
-    lengths = [F.length(r) for r in rests.values()]
-    return [*(a - b for a, b in zip(lengths, lengths[1:])), lengths[-1]]
-
-
-def _window_hashes(words: Column) -> Column:
-    """A hash of each three-word window, in order."""
-    places = F.when(F.size(words) >= 3, F.sequence(F.lit(0), F.size(words) - 3)).otherwise(F.array().cast("array<int>"))
-    return F.transform(places, lambda i: F.xxhash64(words[i], words[i + 1], words[i + 2]))
+        d = d.withColumn(f"no_{name}", F.regexp_replace(left[-1], f"[{cls}]+", ""))
+        left.append(f"no_{name}")
+    d = d.withColumn("no_symbol", F.regexp_replace("no_digit", SYMBOLS, ""))
+    counts = dict(zip(CLASSES, (F.length(a) - F.length(b) for a, b in zip(left, left[1:]))))
+    d = d.withColumn("word_chars", (F.length("text") - counts["space"]).cast("bigint"))
+    d = d.withColumn("n_symbols", (F.length("no_digit") - F.length("no_symbol")).cast("bigint"))
+    return d.withColumn("class_hist", F.array(*[c.cast("bigint") for c in (*counts.values(), F.length(left[-1]))]))
 
 
 #: Bits of a packed number that hold a window's place; a longer text skips the packing.
 PLACE_BITS = 24
+PLACE_MASK = (1 << PLACE_BITS) - 1
 
 
-def _packed(hashes: Column) -> Column:
-    """Hash and place of each window packed into one number, sorted: equal hashes come
-    together without a window leaving its row."""
-    mask = (1 << PLACE_BITS) - 1
-    return F.sort_array(F.transform(hashes, lambda h, i: h.bitwiseAND(F.lit(~mask)).bitwiseOR(i.cast("bigint"))))
-
-
-def _with_neighbour(sorted_col: str, head: Callable[[Column], Column]) -> Column:
-    """Elements of a sorted array column whose ``head`` equals that of the one before or after."""
-    near = lambda x, i: F.coalesce(head(x) == head(F.get(F.col(sorted_col), i)), F.lit(False))
-    return F.filter(sorted_col, lambda x, i: near(x, i - 1) | near(x, i + 1))
+def _packed(words: Column) -> Column:
+    """A hash of each three-word window and its place, packed into one number and sorted:
+    equal hashes come together without a window leaving its row."""
+    places = F.when(F.size(words).between(4, 1 << PLACE_BITS), F.sequence(F.lit(0), F.size(words) - 3))
+    return F.sort_array(F.transform(places, lambda i: F.xxhash64(words[i], words[i + 1], words[i + 2])
+                                    .bitwiseAND(F.lit(~PLACE_MASK)).bitwiseOR(i.cast("bigint"))))
 
 
 def _keyed(words: Column, places: Column) -> Column:
@@ -82,16 +71,21 @@ def _keyed(words: Column, places: Column) -> Column:
 def _with_repeats(d: DataFrame) -> DataFrame:
     """Adds ``repeats``: the sorted places of windows that occur at another place too.
 
-    Most texts have no equal hashes and are done at once.  In the others, places with an
-    equal hash are suspects, and their words are compared.
+    Places whose hash equals a neighbour's are suspects; the words of suspects are compared.
     """
-    n = F.size("hashes")
-    d = d.withColumn("packed", F.when((n > F.size(F.array_distinct("hashes"))) & (n <= 1 << PLACE_BITS), _packed(F.col("hashes"))))
-    near = F.transform(_with_neighbour("packed", lambda x: F.shiftright(x, PLACE_BITS)),
-                       lambda x: x.bitwiseAND(F.lit((1 << PLACE_BITS) - 1)).cast("int"))
-    d = d.withColumn("suspects", F.when(n > 1 << PLACE_BITS, F.sequence(F.lit(0), n - 1)).otherwise(near))
+    d = d.withColumn("packed", _packed(F.col("words")))
+    packed = F.col("packed")
+    later = F.when(F.size("packed") > 1, F.sequence(F.lit(1), F.size("packed") - 1))
+    d = d.withColumn("second", F.filter(later, lambda i: packed[i].bitwiseXOR(packed[i - 1]).between(0, PLACE_MASK)))
+    place = lambda i: packed[i].bitwiseAND(F.lit(PLACE_MASK)).cast("int")
+    suspects = F.array_distinct(F.concat(F.transform("second", place), F.transform("second", lambda i: place(i - 1))))
+    all_places = F.sequence(F.lit(0), F.size("words") - 3)
+    d = d.withColumn("suspects", F.when(F.size("words") > 1 << PLACE_BITS, all_places)
+                     .when(F.size("second") > 0, suspects))
     d = d.withColumn("keyed", _keyed(F.col("words"), F.col("suspects")))
-    twins = _with_neighbour("keyed", lambda x: F.substring_index(x, " ", 3))
+    text = lambda x: F.substring_index(x, " ", 3)
+    same = lambda x, i: F.coalesce(text(x) == text(F.get(F.col("keyed"), i)), F.lit(False))
+    twins = F.filter("keyed", lambda x, i: same(x, i - 1) | same(x, i + 1))
     return d.withColumn("repeats", F.sort_array(F.transform(
         twins, lambda x: F.conv(F.substring_index(x, " ", -1), 16, 10).cast("int"))))
 
@@ -108,26 +102,20 @@ def histograms(docs: DataFrame, *, common_words: dict[str, list[str]] = COMMON_W
     """One narrow row per row of ``docs``: counts for the base rules and both histograms."""
     listed = sorted({w for ws in common_words.values() for w in ws})
     d = documents(docs, id_col, text_col, docs[lang_col].alias("lang"))
-    d = d.withColumn("words", words_between(F.col("text"), SPACE_RUN))
-    rests = _class_rests(F.col("text"))
-    by_class = dict(zip([*CLASSES, "other"], _class_counts(rests)))
-    before_punct = rests["digit"]
-    counts = lambda cols: F.array(*[c.cast("bigint") for c in cols])
+    d = _with_classes(d).select(
+        "doc_id", "lang", "text", words_between(F.col("text"), SPACE_RUN).alias("words"),
+        F.length("text").cast("bigint").alias("n_chars"), "word_chars", "n_symbols", "class_hist")
     d = d.select(
-        "doc_id", "lang", F.size("words").alias("n"), F.length("text").cast("bigint").alias("n_chars"),
-        (F.length("text") - by_class["space"]).cast("bigint").alias("word_chars"),
-        (F.length(before_punct) - F.length(F.regexp_replace(before_punct, SYMBOLS, ""))).cast("bigint").alias("n_symbols"),
+        "doc_id", "lang", F.size("words").alias("n"), "n_chars", "word_chars", "n_symbols", "class_hist",
         F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("lines"),
-        counts(by_class.values()).alias("class_hist"),
-        "words", _window_hashes(F.col("words")).alias("hashes"),
-        F.filter("words", lambda w: w.isin(listed)).alias("common"))
+        "words", F.filter("words", lambda w: w.isin(listed)).alias("common"))
     d = _with_repeats(d)
     times = [F.size("common") - F.size(F.array_remove("common", w)) for w in listed]
     return d.select(
         "doc_id", "lang", F.col("n").cast("bigint").alias("n_words"), "n_chars", "word_chars", "n_symbols",
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint").alias("n_dup_lines"),
         _covered(F.col("repeats")).alias("n_repeat_words"), "class_hist",
-        counts([*times, F.col("n") - F.size("common")]).alias("word_hist"))
+        F.array(*[c.cast("bigint") for c in (*times, F.col("n") - F.size("common"))]).alias("word_hist"))
 
 
 def _references(hists: DataFrame, langs: list[str]) -> dict[str, dict[str, list[int]]]:
