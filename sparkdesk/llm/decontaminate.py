@@ -137,3 +137,9 @@ def benchmark_overlap(docs: DataFrame, items: DataFrame, *, window: int = 13, hi
                     F.coalesce("spans", F.array().cast("array<struct<start:int,k:int>>")).alias("spans"),
                     F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"),
                     ((n_hit > 0) & (100 * n_hit >= hit_percent * F.col("n_words"))).alias("contaminated")))
+
+
+def drop_contaminated(docs: DataFrame, verdicts: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` whose document is not contaminated; the columns stay as they are."""
+    bad = verdicts.filter("contaminated").select(F.col("doc_id").alias("__id")).distinct()
+    return docs.join(bad, docs[id_col].eqNullSafe(F.col("__id")), "left_anti")

@@ -5,10 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkdesk.llm import decontaminate, quality_rules
+from sparkdesk.llm import byte_bpe, decontaminate, line_chunks, quality_rules, simhash
 from sparkdesk.sources.tables import table
 
 
+def byte_vocabulary() -> tuple[str, str]:
+    """The rank file and the splitting pattern of the byte-level vocabulary."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    deduped = line_chunks.dedup_lines(table(spark, sf_dir, "documents"))
+    return deduped.select("doc_id", "n_lines", "n_chunks", "n_removed_chunks", "n_removed_lines",
+                          F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, pattern = byte_vocabulary()
+    return byte_bpe.encode_documents(table(spark, sf_dir, "documents"), path, pattern)
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.quality_rules(table(spark, sf_dir, "documents"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -19,3 +37,7 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     judged = decontaminate.benchmark_overlap(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return judged.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("bigint").alias("n_items"),
                          F.sha2(F.concat_ws(",", "item_ids"), 256).alias("items_sha256"), "contaminated")
+
+
+def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=3, seed=42)

@@ -12,13 +12,17 @@ from sparkdesk.llm import sql
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_line_dedup": q.op2_line_dedup,
+        "op3_byte_bpe": q.op3_byte_bpe,
         "op8_quality_rules": q.op8_quality_rules,
         "op9_benchmark_decontamination": q.op9_benchmark_decontamination,
+        "op10_simhash_near_dedup": q.op10_simhash_near_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_line_dedup": sql.LINE_DEDUP,
         "op8_quality_rules": sql.quality_rules(),
         "op9_benchmark_decontamination": sql.BENCHMARK_DECONTAMINATION,
     }

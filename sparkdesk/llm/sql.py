@@ -73,3 +73,19 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
     coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN it USING (doc_id)
 """
+
+
+LINE_DEDUP = r"""
+WITH l AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+h AS (SELECT doc_id, i, ls[i] AS line, len(ls) AS n, ('0x' || substr(md5(ls[i]), 1, 8))::BIGINT AS x
+    FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM l)),
+e AS (SELECT *, (i = n OR (x + 31 * coalesce(lag(x) OVER (PARTITION BY doc_id ORDER BY i), 0)) % 4 = 0)::INT AS ends FROM h),
+g AS (SELECT *, coalesce(sum(ends) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS idx FROM e),
+c AS (SELECT doc_id, idx, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS body FROM g GROUP BY doc_id, idx),
+r AS (SELECT *, n >= 2 AND regexp_matches(body, '[^\x20\x09-\x0D]')
+    AND row_number() OVER (PARTITION BY body ORDER BY doc_id, idx) > 1 AS gone FROM c)
+SELECT doc_id, sum(n)::BIGINT AS n_lines, count(*) AS n_chunks, count(*) FILTER (gone) AS n_removed_chunks,
+    coalesce(sum(n) FILTER (gone), 0)::BIGINT AS n_removed_lines,
+    sha256(coalesce(string_agg(body, chr(10) ORDER BY idx) FILTER (NOT gone), '')) AS kept_sha256
+FROM r GROUP BY doc_id
+"""
