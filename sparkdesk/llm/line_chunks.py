@@ -48,7 +48,8 @@ def chunked(docs: DataFrame, *, divisor: int, id_col: str = "doc_id", text_col:
 
 def repeated_chunks(docs: DataFrame, *, divisor: int, min_lines: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, gone): the places of a document's chunks that stand earlier in the corpus."""
-    chunks = (chunked(docs, divisor=divisor, id_col=id_col, text_col=text_col).select("doc_id", F.inline("chunks"))
+    # inline_outer: plain inline would have the chunks made a second time in a filter on their number
+    chunks = (chunked(docs, divisor=divisor, id_col=id_col, text_col=text_col).select("doc_id", F.inline_outer("chunks"))
               .filter((F.col("n") >= min_lines) & F.col("body").rlike(r"[^\x20\x09-\x0D]"))
               .withColumn("hash", F.xxhash64("body")))
     repeated = write_scratch(chunks.groupBy("hash").agg(F.count("*").alias("times")).filter("times > 1")
