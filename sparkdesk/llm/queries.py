@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkdesk.llm import byte_bpe, decontaminate, line_chunks, quality_rules, simhash
+from sparkdesk.llm import (
+    byte_bpe,
+    decontaminate,
+    hmm,
+    host_reputation,
+    line_chunks,
+    quality_rules,
+    secrets,
+    severity,
+    simhash,
+    substrings,
+)
 from sparkdesk.sources.tables import table
 
 
@@ -16,6 +27,12 @@ def byte_vocabulary() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan_secrets(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans",
+                        "n_live", "n_copied")
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     deduped = line_chunks.dedup_lines(table(spark, sf_dir, "documents"))
     return deduped.select("doc_id", "n_lines", "n_chunks", "n_removed_chunks", "n_removed_lines",
@@ -27,6 +44,29 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_documents(table(spark, sf_dir, "documents"), path, pattern)
 
 
+def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = host_reputation.judge_urls(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Grades: 0 not toxic, 1 toxic, 2 toxic and of low quality."""
+    labels = table(spark, sf_dir, "labels")
+    severe = (F.col("toxic") == 1) & (F.col("quality") == 0)
+    graded = labels.select("doc_id", (F.col("toxic") + F.coalesce(severe.cast("int"), F.lit(0))).alias("grade"))
+    judged = severity.predict_severity(table(spark, sf_dir, "documents"), graded)
+    return judged.select("doc_id", "expected_severity", "grade", "toxic")
+
+
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.score_documents(table(spark, sf_dir, "documents"))
+
+
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.remove_repeats(table(spark, sf_dir, "documents"), window=50)
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.quality_rules(table(spark, sf_dir, "documents"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",

@@ -12,8 +12,13 @@ from sparkdesk.llm import sql
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_secret_scans": q.op1_secret_scans,
         "op2_line_dedup": q.op2_line_dedup,
         "op3_byte_bpe": q.op3_byte_bpe,
+        "op4_url_filters": q.op4_url_filters,
+        "op5_toxicity": q.op5_toxicity,
+        "op6_lm_scoring": q.op6_lm_scoring,
+        "op7_substring_dedup": q.op7_substring_dedup,
         "op8_quality_rules": q.op8_quality_rules,
         "op9_benchmark_decontamination": q.op9_benchmark_decontamination,
         "op10_simhash_near_dedup": q.op10_simhash_near_dedup,
@@ -23,6 +28,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_line_dedup": sql.LINE_DEDUP,
+        "op4_url_filters": sql.url_filters(),
+        "op7_substring_dedup": sql.SUBSTRING_DEDUP,
         "op8_quality_rules": sql.quality_rules(),
         "op9_benchmark_decontamination": sql.BENCHMARK_DECONTAMINATION,
     }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from sparkdesk.llm.host_reputation import LEAST_RHO, MOST_RHO, RULES, TWO_LABEL_SUFFIXES
 from sparkdesk.llm.quality_rules import CLASSES, COMMON_WORDS
 
 _AZ = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -89,3 +90,53 @@ SELECT doc_id, sum(n)::BIGINT AS n_lines, count(*) AS n_chunks, count(*) FILTER
     sha256(coalesce(string_agg(body, chr(10) ORDER BY idx) FILTER (NOT gone), '')) AS kept_sha256
 FROM r GROUP BY doc_id
 """
+
+
+SUBSTRING_DEDUP = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+w AS (SELECT doc_id, i, md5(array_to_string(ws[i:i + 49], ' ')) AS g
+    FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM d WHERE len(ws) >= 50)),
+r AS (SELECT doc_id, i FROM w JOIN (SELECT g, min(doc_id) AS first FROM w GROUP BY g) USING (g) WHERE doc_id > first),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS p FROM r),
+kept AS (SELECT doc_id, ws[p] AS word, p FROM (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS p FROM d)
+    ANTI JOIN gone USING (doc_id, p)),
+k AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS body FROM kept GROUP BY doc_id)
+SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(body, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
+"""
+
+
+def _shrunk(units: str, name: str) -> str:
+    """Two CTEs: the level's correlation, and its units with the posterior's a and b."""
+    p, spread = f"(bad / n::DOUBLE)", "(m * (1 - m))"
+    return f"""
+{name}_rho AS (SELECT CASE WHEN sum({spread} * (n - 1)) <> 0 THEN least({MOST_RHO}, greatest({LEAST_RHO},
+    sum(n * ({p} - m) * ({p} - m) - {spread}) / sum({spread} * (n - 1)))) ELSE {MOST_RHO} END AS rho FROM {units} WHERE n > 0),
+{name}_post AS (SELECT *, (1 / rho - 1) * m + bad AS a, (1 / rho - 1) * (1 - m) + n - bad AS b FROM {units}, {name}_rho)"""
+
+
+def url_filters() -> str:
+    lower = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    two = ", ".join(f"'{x}'" for x in TWO_LABEL_SUFFIXES)
+    rules = ", ".join(f"('{v}', '{r}', '{r.partition('/')[0]}', '{r[r.find('/'):]}')" for v, r in RULES)
+    return f"""
+WITH u AS (SELECT page_id, {lower.format("coalesce(regexp_extract(url, '://([^/?#]*)', 1), '')")} AS host,
+    coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+rules(verdict, rule, rh, rp) AS (VALUES {rules}),
+fit AS (SELECT page_id, arg_max(rule, len(rule)) AS rule, arg_max(verdict, len(rule)) AS verdict FROM u, rules
+    WHERE (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY page_id),
+h0 AS (SELECT host, count(quality) AS n, coalesce(sum((quality = 0 OR toxic = 1)::INT), 0) AS bad
+    FROM u LEFT JOIN labels ON page_id = doc_id GROUP BY host),
+h1 AS (SELECT *, string_split(host, '.') AS x, array_to_string(string_split(host, '.')[-2:], '.') IN ({two}) AS wide FROM h0),
+h AS (SELECT host, n, bad, array_to_string(CASE WHEN wide THEN x[-3:] ELSE x[-2:] END, '.') AS domain,
+    array_to_string(CASE WHEN wide THEN x[-2:] ELSE x[-1:] END, '.') AS suffix FROM h1),
+s0 AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad, (SELECT (sum(bad) + 1) / (sum(n) + 2) FROM h) AS m FROM h GROUP BY suffix),
+{_shrunk("s0", "s")},
+d0 AS (SELECT domain, suffix, sum(h.n) AS n, sum(h.bad) AS bad, any_value(a / (a + b)) AS m FROM h JOIN s_post USING (suffix) GROUP BY domain, suffix),
+{_shrunk("d0", "d")},
+host0 AS (SELECT host, h.n, h.bad, a / (a + b) AS m FROM h JOIN d_post USING (domain)),
+{_shrunk("host0", "h_")}
+SELECT u.page_id, u.host, u.path, rule, coalesce(fit.verdict,
+    CASE WHEN a / (a + b) - 1.645 * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) > 0.5 THEN 'block' ELSE 'allow' END) AS verdict
+FROM u JOIN h__post USING (host) LEFT JOIN fit USING (page_id)
+"""
