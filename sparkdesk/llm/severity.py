@@ -1,8 +1,9 @@
 """Toxicity severity by cumulative-link ordinal regression.
 
 P(grade <= k) = 1 / (1 + exp(w.x - t_k)): one weight vector is shared by all thresholds
-t_0 < t_1 < ...  The features are hashed words, log counts scaled to unit length.  The model
-is fitted on a bounded sample of labelled rows and scores every document.
+t_0 < t_1 < ...  The features are log counts of hashed words; an absolute-value penalty keeps
+the weights sparse, so that words of single documents get none.  The model is fitted on a
+bounded sample of labelled rows and scores every document.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ def features(text: str, bits: int) -> tuple[np.ndarray, np.ndarray]:
     index = np.fromiter((zlib.crc32(w) & (1 << bits) - 1 for w in counts), np.int64, len(counts))
     where, inverse = np.unique(index, return_inverse=True)
     values = np.log1p(np.bincount(inverse, np.fromiter(counts.values(), np.float64, len(counts))))
-    return where.astype(np.int32), (values / np.sqrt((values * values).sum())).astype(np.float32)
+    return where.astype(np.int32), values.astype(np.float32)
 
 
 class Model:
@@ -46,9 +47,10 @@ class Model:
         return np.diff(upto, axis=1)
 
 
-def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], bits: int, n_grades: int, *, rounds: int = 200,
-        rate: float = 0.5, l2: float = 1e-5) -> Model:
-    """Maximum likelihood by full-batch gradient steps with per-weight scaling (AdaGrad)."""
+def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], bits: int, n_grades: int, *, rounds: int = 300,
+        rate: float = 0.5, l1: float = 3e-4) -> Model:
+    """Penalised maximum likelihood by full-batch gradient steps with per-weight scaling
+    (AdaGrad), each followed by a step of all weights towards zero."""
     size = 1 << bits
     thresholds = np.arange(n_grades - 1, dtype=float) + 1.0
     if not rows:
@@ -66,10 +68,12 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], bits: int, n_grades: int
         high[y == n_grades - 1], low[y == 0] = 1.0, 0.0
         p = np.maximum(high - low, 1e-9)
         d_high, d_low = high * (1 - high) / p, low * (1 - low) / p
-        step = np.bincount(cols, vals * (d_high - d_low)[at], size) / len(rows) + l2 * w
+        step = np.bincount(cols, vals * (d_high - d_low)[at], size) / len(rows)
         step_t = np.array([d_low[y == k + 1].sum() - d_high[y == k].sum() for k in range(n_grades - 1)]) / len(rows)
         gw, gt = gw + step * step, gt + step_t * step_t
-        w -= rate * step / np.sqrt(gw)
+        pace = rate / np.sqrt(gw)
+        w -= pace * step
+        w = np.sign(w) * np.maximum(np.abs(w) - pace * l1, 0.0)
         thresholds = np.maximum.accumulate(thresholds - rate * step_t / np.sqrt(gt) + np.arange(n_grades - 1) * 1e-9)
     return Model(w.astype(np.float32), thresholds)
 
@@ -93,13 +97,13 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, *, rows: int, bits: int,
             for c, v, g in zip(got.column(0), got.column(1), got.column(2))]
 
 
-def predict_severity(docs: DataFrame, labels: DataFrame, *, n_grades: int = 3, sample_rows: int = 5000, bits: int = 18,
-                     rounds: int = 200, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def predict_severity(docs: DataFrame, labels: DataFrame, *, n_grades: int = 3, sample_rows: int = 10_000, bits: int = 18,
+                     rounds: int = 300, toxic_share: float = 0.3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row of ``docs``: doc_id, expected_severity, p (each grade's probability), grade, toxic.
 
     ``labels`` has (doc_id, grade), grades from 0 to ``n_grades`` - 1; the fit uses at most
     ``sample_rows`` of them.  ``grade`` is the first one whose cumulative probability is a half
-    or more; ``toxic`` is grade > 0.
+    or more; ``toxic`` says that the probability of a grade above 0 is ``toxic_share`` or more.
 
     Null and empty texts have no features and get the thresholds' own grades; labels that are
     null, out of range or without a document are left out; a repeated label counts again;
@@ -118,7 +122,7 @@ def predict_severity(docs: DataFrame, labels: DataFrame, *, n_grades: int = 3, s
             grade = (np.cumsum(p, axis=1)[:, :-1] < 0.5).sum(axis=1)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(p @ np.arange(n_grades)), pa.array(list(p), pa.list_(pa.float64())),
-                 pa.array(grade.astype(np.int32)), pa.array(grade > 0)],
+                 pa.array(grade.astype(np.int32)), pa.array(p[:, 1:].sum(axis=1) >= toxic_share)],
                 ["doc_id", "expected_severity", "p", "grade", "toxic"])
 
     kind = d.schema["doc_id"].dataType.simpleString()
