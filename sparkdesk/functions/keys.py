@@ -5,20 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# NULL marker and part separator inside a hashed business key.
-NULL_MARK = "\\N"
-SEP = "|"
+# Stands for a NULL part; every other part begins with a digit.
+NULL_PART = "N"
 
 
 def key_text(*cols) -> Column:
     """Canonical text of a composite business key.
 
-    Every part is trimmed, upper-cased and NULL becomes an explicit marker, so
-    ``(NULL, 'a')`` and ``('a', NULL)`` give different texts (plain
-    ``concat_ws`` skips NULLs and would collide them).
+    Every part is trimmed and upper-cased, and written as its length, a colon and itself;
+    a NULL part is a mark of its own.  So two keys have the same text only if all parts
+    are equal, whatever characters they hold.
     """
-    parts = [F.coalesce(F.upper(F.trim(F.col(c).cast("string"))), F.lit(NULL_MARK)) for c in cols]
-    return F.concat_ws(SEP, *parts)
+    part = lambda x: F.concat(F.length(x).cast("string"), F.lit(":"), x)
+    texts = [F.upper(F.trim(F.col(c).cast("string"))) for c in cols]
+    return F.concat(*[F.coalesce(part(x), F.lit(NULL_PART)) for x in texts])
 
 
 def hash_key(*cols) -> Column:

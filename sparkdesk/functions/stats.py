@@ -28,17 +28,31 @@ def round_half(col, scale: int = 6) -> Column:
     return F.round(_c(col).cast("double"), scale) + F.lit(0.0)
 
 
-def exact_sum(col, scale: int = 2, precision: int = 18) -> Column:
+def usable(col, scale: int = 6, precision: int = 26) -> Column:
+    """The one rule for numbers in exact sums and means: a value that is NULL, NaN,
+    infinite or of more than ``precision - scale`` whole digits is left out, of the
+    sum *and* of the count."""
+    c = _c(col)
+    whole = c.cast("double")
+    return F.when(~F.isnan(whole) & (F.abs(whole) < F.lit(10.0 ** (precision - scale))), c)
+
+
+def exact_sum(col, scale: int = 6, precision: int = 26) -> Column:
     """Sum through ``decimal(precision, scale)``: exact and order-independent, so the
-    same on every engine and every partitioning (money columns)."""
-    return F.sum(_c(col).cast(f"decimal({precision},{scale})")).cast("double")
+    same on every engine and every partitioning.
+
+    Values are taken to ``scale`` decimals (pass the data's own number if it has more);
+    those outside :func:`usable` are left out.  NULL for an empty group, and where the
+    total itself does not fit in 38 digits.
+    """
+    return F.try_sum(usable(col, scale, precision).cast(f"decimal({precision},{scale})")).cast("double")
 
 
-def exact_avg(col, scale: int = 2, precision: int = 18) -> Column:
-    """Mean as ``exact_sum / count`` (NULLs skipped, NULL for an empty group).
+def exact_avg(col, scale: int = 6, precision: int = 26) -> Column:
+    """Mean as ``exact_sum / count`` over the same values (NULL for an empty group).
 
     A plain double ``avg`` depends on summation order; this one is one IEEE
     division of two exact numbers, so repeated runs and other engines agree
     to the last bit.
     """
-    return F.try_divide(exact_sum(col, scale, precision), F.count(_c(col)).cast("double"))
+    return F.try_divide(exact_sum(col, scale, precision), F.count(usable(col, scale, precision)).cast("double"))

@@ -8,44 +8,45 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkdesk.operators.keyed_scan import Chunks
-from sparkdesk.operators.vault import satellite_changes
+from sparkdesk.operators.keyed_scan import Chunks, with_neighbour
 
 
 def split_attributes(history: DataFrame, sk: str, ts: str, attrs: Sequence[str],
                      tie: Sequence[str] = (), chunk: Column | Chunks | None = None) -> dict[str, DataFrame]:
-    """``{attr: (sk, load_dttm, attr)}`` with change-only rows per attribute."""
+    """``{attr: (sk, load_dttm, *tie, attr)}`` with change-only rows per attribute.
+
+    All attributes are compared with the previous row in one keyed pass.
+    """
+    scanned = with_neighbour(history.select(sk, ts, *tie, *attrs), sk, [ts, *tie], list(attrs), "__prev", chunk, "prev")
     out = {}
     for a in attrs:
-        narrow = history.select(sk, ts, *tie, a)
-        out[a] = (satellite_changes(narrow, sk, ts, [a], tie=tie, chunk=chunk)
-                  .select(F.col(sk), F.col(ts).alias("load_dttm"), F.col(a)))
+        new = F.col("__prev").isNull() | ~F.col(a).eqNullSafe(F.col(f"__prev.{a}"))
+        out[a] = scanned.where(new).select(F.col(sk), F.col(ts).alias("load_dttm"), *tie, F.col(a))
     return out
 
 
-def long_history(tables: dict[str, DataFrame], sk: str) -> DataFrame:
-    """All attribute tables as one ``(attribute, sk, load_dttm, value)`` frame (value as text)."""
-    out = None
-    for a, t in tables.items():
-        x = t.select(F.lit(a).alias("attribute"), F.col(sk), F.col("load_dttm"),
-                     F.col(a).cast("string").alias("value"))
-        out = x if out is None else out.unionByName(x)
-    return out
+def _at_latest(value: str, ts: str, tie: Sequence[str], as_of: str | None) -> Column:
+    """The value at the greatest (ts, *tie), no later than ``as_of``: a partial aggregate,
+    so a key with a long history costs one row per task."""
+    order = F.struct(ts, *tie)
+    if as_of is not None:
+        order = F.when(F.col(ts) <= F.lit(as_of).cast("timestamp_ntz"), order)
+    return F.max_by(F.col(value), order).alias(value)
 
 
-def latest_view(anchor: DataFrame, sk: str, tables: dict[str, DataFrame],
-                as_of: str | None = None) -> DataFrame:
-    """One wide row per anchor key: each attribute's value at its latest load
-    time (at or before ``as_of`` when given).
+def latest_of(history: DataFrame, sk: str, ts: str, attrs: Sequence[str], tie: Sequence[str] = (),
+              as_of: str | None = None) -> DataFrame:
+    """One wide row per key straight from the history: one scan and one shuffle, no change
+    detection.  A key without a row by ``as_of`` stays, with NULLs."""
+    return history.groupBy(sk).agg(*[_at_latest(a, ts, tie, as_of) for a in attrs])
 
-    Each attribute is reduced with ``max_by(value, load_dttm)`` (an aggregate
-    with map-side partial results, so a key with a long history costs one row
-    per task), then left-joined to the anchor on the key.
-    """
+
+def latest_view(anchor: DataFrame, sk: str, tables: dict[str, DataFrame], tie: Sequence[str] = (),
+                as_of: str | None = None) -> DataFrame:
+    """One wide row per anchor key from attribute tables: each attribute's value at its
+    latest (load time, *tie), at or before ``as_of`` when given."""
     out = anchor.select(sk).distinct()
-    for a, t in tables.items():
-        if as_of is not None:
-            t = t.where(F.col("load_dttm") <= F.lit(as_of).cast("timestamp_ntz"))
-        last = t.groupBy(sk).agg(F.max_by(F.col(a), F.col("load_dttm")).alias(a))
-        out = out.join(last, sk, "left")
+    for i, (a, t) in enumerate(tables.items()):
+        last = t.groupBy(F.col(sk).alias(f"__k{i}")).agg(_at_latest(a, "load_dttm", tie, as_of))
+        out = out.join(last, out[sk].eqNullSafe(last[f"__k{i}"]), "left").drop(f"__k{i}")
     return out

@@ -43,7 +43,7 @@ class Chunks:
     minute of ``t``), all others by ``coarse`` (e.g. the day).  Both must be
     non-decreasing in the scan order and of the same type.  The hot keys come
     from one count aggregate; there are at most ``rows / hot_rows`` of them,
-    which bounds their broadcast.  A sparse key keeps one coarse chunk per
+    and the planner broadcasts them if they are small.  A sparse key keeps one coarse chunk per
     day, so the per-chunk table stays small for it.
     """
 
@@ -68,7 +68,7 @@ class Chunks:
         for i, k in enumerate(keys):
             c = df[k].eqNullSafe(hot[f"__hot_{i}"])
             on = c if on is None else on & c
-        d = df.join(F.broadcast(hot), on, "left")
+        d = df.join(hot, on, "left")
         d = d.withColumn("__chunk", F.when(F.col("__hot"), self.fine).otherwise(self.coarse))
         return d.drop("__hot", *[f"__hot_{i}" for i in range(len(keys))])
 
@@ -122,7 +122,11 @@ def keyed_scan(df: DataFrame, keys, order, prev: Mapping[str, Sequence[str]] | N
         *[F.lag(f"__last_{o}", 1).over(wc).alias(f"__c_{o}") for o in prev],
         *[F.lead(f"__first_{o}", 1).over(wc).alias(f"__c_{o}") for o in next],
         *[F.last(f"__l_{c}", True).over(before).alias(f"__c_{c}") for c in fill])
-    j = scanned.join(carry, [*keys, "__chunk"], "left")
+    # NULL keys are a key like any other, so the edge rows are matched NULL-safe
+    edge_key = {c: f"__e{i}" for i, c in enumerate([*keys, "__chunk"])}
+    carry = carry.withColumnsRenamed(edge_key)
+    on = [scanned[c].eqNullSafe(carry[e]) for c, e in edge_key.items()]
+    j = scanned.join(carry, on, "left").drop(*edge_key.values())
     # a neighbour payload struct is never NULL, so a NULL one marks the chunk's edge row
     fixed = {o: F.coalesce(F.col(o), F.col(f"__c_{o}")) for o in [*prev, *next, *fill]}
     return j.select(*[fixed.get(c, F.col(c)).alias(c) for c in scanned.columns if c != "__chunk"])

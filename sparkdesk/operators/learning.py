@@ -45,13 +45,16 @@ def hash_split(df: DataFrame, weights: Sequence[float], seed: int = 42,
     return out
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give a frame that is about to be cached and scanned many times at least
-    one partition per core.  Fewer partitions than cores only happens for a
-    small input (the scan splits files at ``maxPartitionBytes``), so the
-    shuffle is cheap; a large input is left as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+#: Partitions of a training frame: a parameter of the model, since trees depend on it.
+TRAIN_PARTITIONS = 16
+
+
+def spread(df: DataFrame, partitions: int = TRAIN_PARTITIONS) -> DataFrame:
+    """Deal a training frame into a fixed number of partitions by a hash of the row, in a
+    fixed order within each: fitted trees depend on the partitioning, so it must not
+    follow the machine or the input's size.  Pass more ``partitions`` for a larger frame."""
+    row = F.xxhash64(*df.columns)
+    return df.withColumn("__row", row).repartition(partitions, "__row").sortWithinPartitions("__row").drop("__row")
 
 
 def indexers(cols: Sequence[str], handle_invalid: str = "error") -> list[StringIndexer]:
@@ -151,15 +154,11 @@ def classification_metrics(pred: DataFrame, label: str, prediction: str = "predi
         for m in CLF_METRICS[::-1]])).alias("m")).select("m.*")
 
 
-def rmse(pred: DataFrame, label: str, prediction: str = "prediction", money_scale: int = 2,
-         scale: int = 6) -> DataFrame:
-    """One row ``(metric='rmse', value)``; squared errors summed exactly in
-    decimal when both columns carry at most ``money_scale`` decimals."""
-    d = (F.col(label).cast(f"decimal(18,{money_scale})")
-         - F.col(prediction).cast(f"decimal(18,{money_scale})"))
-    sq = F.sum(d * d).cast("double")
-    return pred.agg(F.round(F.sqrt(sq / F.count(F.lit(1)).cast("double")), scale).alias("value")) \
-               .select(F.lit("rmse").alias("metric"), "value")
+def rmse(pred: DataFrame, label: str, prediction: str = "prediction", scale: int = 6) -> DataFrame:
+    """One row ``(metric='rmse', value)`` in double; rows where either side is NULL count
+    neither as an error nor as a row.  NULL without any row."""
+    d = F.col(label).cast("double") - F.col(prediction).cast("double")
+    return pred.agg(F.round(F.sqrt(F.avg(d * d)), scale).alias("value")).select(F.lit("rmse").alias("metric"), "value")
 
 
 def model_report(spark: SparkSession, model: PipelineModel, metrics: Mapping[str, float] | None = None,

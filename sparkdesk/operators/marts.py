@@ -6,25 +6,32 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkdesk.operators.joins import left_join_nulls_apart
+from sparkdesk.session import write_scratch
 
 
-def resolve_hierarchy(content: DataFrame, id_col: str, parent_col: str) -> DataFrame:
-    """``(id, parent_id, grandparent_id, root_id, level)`` for a hierarchy of depth <= 3
-    (episode -> season -> series, trailer -> film).
+def resolve_hierarchy(content: DataFrame, id_col: str, parent_col: str, max_steps: int = 64) -> DataFrame:
+    """``(id, parent_id, grandparent_id, root_id, level)`` (episode -> season -> series,
+    trailer -> film), for any depth.
 
-    Two bounded left self joins instead of a recursive walk: the model allows at
-    most two parent steps.  ``level`` 0 is a root.  A parent id that is not in
-    the table is kept as given; its own parent is then unknown (NULL).
-    Roots (NULL parent) skip the self join, so they never share one shuffle task.
+    Each round moves all rows that still have a parent one step up, by one left join, and
+    ends when no row moved; rows at their root (NULL parent) stay out of the join's shuffle.
+    ``level`` 0 is a root.  A parent id that is not in the table is kept as given and is the
+    root.  A row that has not reached its root after ``max_steps`` is in a cycle: an error.
     """
-    base = content.select(F.col(id_col).alias("id"), F.col(parent_col).alias("parent_id"))
-    p1 = content.select(F.col(id_col).alias("__p1"), F.col(parent_col).alias("grandparent_id"))
-    out = left_join_nulls_apart(base, p1, "parent_id", "__p1").drop("__p1")
-    return out.select(
-        "id", "parent_id", "grandparent_id",
-        F.coalesce("grandparent_id", "parent_id", "id").alias("root_id"),
-        (F.when(F.col("grandparent_id").isNotNull(), 2)
-          .when(F.col("parent_id").isNotNull(), 1).otherwise(0)).alias("level"))
+    up = content.select(F.col(id_col).alias("__id"), F.col(parent_col).alias("__next"))
+    rows = content.select(F.col(id_col).alias("id"), F.col(parent_col).alias("parent_id"),
+                          F.lit(None).cast(content.schema[parent_col].dataType).alias("grandparent_id"),
+                          F.col(id_col).alias("root_id"), F.lit(0).alias("level"), F.col(parent_col).alias("step"))
+    for done in range(max_steps):
+        joined = left_join_nulls_apart(rows, up, "step", "__id")
+        moved = F.col("step").isNotNull()
+        rows = write_scratch(joined.select(
+            "id", "parent_id", (F.col("__next") if done == 0 else F.col("grandparent_id")).alias("grandparent_id"),
+            F.when(moved, F.col("step")).otherwise(F.col("root_id")).alias("root_id"),
+            (F.col("level") + moved.cast("int")).alias("level"), F.col("__next").alias("step")), "hierarchy")
+        if rows.where("step IS NOT NULL").isEmpty():
+            return rows.drop("step")
+    raise ValueError(f"parents form a cycle, or more than {max_steps} levels")
 
 
 def presence_flags(cols: dict[str, str]) -> list[Column]:

@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkdesk.functions.stats import safe_corr
+from sparkdesk.functions.stats import safe_corr, usable
 
 
 def _cols(keys) -> list[str]:
@@ -127,16 +127,16 @@ def conditional_counts_via_dim(fact: DataFrame, fact_key: str, dim: DataFrame, d
     The fact side shrinks to one row per key (partial + final aggregate) and
     only that crosses the join; sums and counts are re-added per label, so a
     duplicated dimension key fans out exactly as the plain join would.
-    ``mean_scale`` sums the mean columns through ``decimal(18, scale)`` (exact).
+    ``mean_scale`` sums the mean columns through ``decimal(26, scale)`` (exact; see ``usable``).
     """
     def as_num(c: Column) -> Column:
-        return c.cast("double") if mean_scale is None else c.cast(f"decimal(18,{mean_scale})")
+        return c.cast("double") if mean_scale is None else usable(c, mean_scale).cast(f"decimal(26,{mean_scale})")
 
     means = dict(means or {})
     parts = [F.count_if(F.coalesce(pred, F.lit(False))).alias(name) for name, pred in flags.items()]
     for name, col in means.items():
         parts += [F.sum(as_num(F.col(col))).alias(f"__s_{name}"),
-                  F.count(F.col(col)).alias(f"__n_{name}")]
+                  F.count(as_num(F.col(col))).alias(f"__n_{name}")]
     pre = fact.groupBy(F.col(fact_key).alias("__k")).agg(*parts)
     joined = pre.join(dim.select(F.col(dim_key).alias("__k"), F.col(dim_label)), "__k", "inner")
     finals = [F.sum(F.col(name)).alias(name) for name in flags]

@@ -24,9 +24,11 @@ def _meta(df: DataFrame, load_dttm: str, source_id: str) -> DataFrame:
 
 def hub_rows(staged: DataFrame, bk_cols: Sequence[str], hk: str, existing: DataFrame | None,
              load_dttm: str, source_id: str) -> DataFrame:
-    """New hub rows: distinct business keys not yet in ``existing`` (left anti
-    join on the hash key).  Loading the same batch twice adds nothing the second time."""
-    keys = staged.select(*bk_cols).dropDuplicates(list(bk_cols)).withColumn(hk, hash_key(*bk_cols))
+    """New hub rows: one for each hash key not yet in ``existing`` (left anti join on the
+    hash key).  Spellings that share a hash key (case, outer blanks) are one key; the
+    smallest spelling is stored.  Loading the same batch twice adds nothing the second time."""
+    keys = (staged.groupBy(hash_key(*bk_cols).alias(hk)).agg(F.min(F.struct(*bk_cols)).alias("__bk"))
+            .select(hk, "__bk.*"))
     if existing is not None:
         keys = keys.join(existing.select(hk), hk, "left_anti")
     return _meta(keys.select(hk, *bk_cols), load_dttm, source_id)
@@ -37,9 +39,8 @@ def link_rows(staged: DataFrame, parts: Mapping[str, Sequence[str]], hk: str,
     """New link rows.  ``parts`` maps each hub hash-key column to its business
     key columns in ``staged``; the link key hashes all of them together."""
     all_bk = [c for cols in parts.values() for c in cols]
-    pairs = staged.select(*all_bk).dropDuplicates(all_bk)
-    pairs = pairs.select(hash_key(*all_bk).alias(hk),
-                         *[hash_key(*cols).alias(name) for name, cols in parts.items()])
+    pairs = staged.select(hash_key(*all_bk).alias(hk),
+                          *[hash_key(*cols).alias(name) for name, cols in parts.items()]).dropDuplicates([hk])
     if existing is not None:
         pairs = pairs.join(existing.select(hk), hk, "left_anti")
     return _meta(pairs, load_dttm, source_id)

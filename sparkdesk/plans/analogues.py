@@ -1,9 +1,8 @@
 """Driver-table stand-ins for the reference's inputs.
 
 Each builder derives its frame from a driver table with Spark expressions, so
-its size grows with the table.  Malformed rows are *added variants* of real
-rows chosen by the row id (every row is still emitted, as a good or a bad
-line); they exercise the reject paths.
+its size grows with the table.  Malformed rows are added beside the good ones, for
+rows chosen by their id; they exercise the reject paths.
 """
 
 from __future__ import annotations
@@ -14,7 +13,7 @@ from pyspark.sql import functions as F
 # Event type -> taxi payment code used by the line stand-in.
 EVENT_PAYMENT_CODE = {"click": "1", "error": "2", "purchase": "3", "signup": "4", "view": "5"}
 
-# Which event ids become which kind of bad line (id divisible by n).
+# Which event ids add which kind of bad line (id divisible by n).
 BLANK_EVERY = 67
 SHORT_EVERY = 71
 OTHER_YEAR_EVERY = 61
@@ -23,8 +22,11 @@ CODE_7_EVERY = 89
 CODE_EMPTY_EVERY = 83
 TIP_TEXT_EVERY = 79
 TIP_EMPTY_EVERY = 73
+TIP_NAN_EVERY = 59
+TIP_HUGE_EVERY = 53
 
 LINE_YEAR = "2024"
+# Fixed value: the header line of the taxi files.
 TAXI_HEADER = ("VendorID,tpep_pickup_datetime,tpep_dropoff_datetime,passenger_count,"
                "trip_distance,RatecodeID,store_and_fwd_flag,PULocationID,DOLocationID,"
                "payment_type,fare_amount,extra,mta_tax,tip_amount,tolls_amount,"
@@ -43,47 +45,58 @@ def _code_of(event_type: Column) -> Column:
 
 
 def trip_lines(spark: SparkSession, events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Raw taxi-style CSV lines (column ``value``), one per event plus a header.
+    """Raw taxi-style CSV lines (column ``value``): a header, one good line per event, and
+    for some event ids one more line that is bad or of another kind.
     ``keep`` carries extra event columns along (NULL on the header line)."""
-    pts = F.when(_every(OTHER_YEAR_EVERY), F.col("ts") - F.expr("INTERVAL 1 YEAR")).otherwise(F.col("ts"))
-    stamp = F.date_format(pts, "yyyy-MM-dd HH:mm:ss")
-    code = (F.when(_every(CODE_X_EVERY), "x").when(_every(CODE_7_EVERY), "7")
-            .when(_every(CODE_EMPTY_EVERY), "").otherwise(_code_of(F.col("event_type"))))
-    tip = (F.when(_every(TIP_TEXT_EVERY), "abc").when(_every(TIP_EMPTY_EVERY), "")
-           .otherwise(F.col("value").cast("string")))
-    fields = [
-        (F.col("user_id") % 2 + 1).cast("string"), stamp, stamp,
-        (F.col("user_id") % 4 + 1).cast("string"), F.lit("1.5"), F.lit("1"), F.lit("N"),
-        F.col("user_id").cast("string"), F.lit("0"), code,
-        F.col("value").cast("string"), F.lit("0"), F.lit("0.5"), tip,
-        F.lit("0"), F.lit("0.3"), F.col("value").cast("string"), F.lit("0"),
+
+    def line(stamp: Column, code: Column, tip: Column) -> Column:
+        fields = [
+            (F.col("user_id") % 2 + 1).cast("string"), stamp, stamp,
+            (F.col("user_id") % 4 + 1).cast("string"), F.lit("1.5"), F.lit("1"), F.lit("N"),
+            F.col("user_id").cast("string"), F.lit("0"), code,
+            F.col("value").cast("string"), F.lit("0"), F.lit("0.5"), tip,
+            F.lit("0"), F.lit("0.3"), F.col("value").cast("string"), F.lit("0"),
+        ]
+        return F.concat(F.concat_ws(",", *fields), F.when(_every(5), F.lit("\r")).otherwise(F.lit("")))
+
+    time_of = lambda ts: F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
+    stamp, code, tip = time_of(F.col("ts")), _code_of(F.col("event_type")), F.col("value").cast("string")
+    short = F.concat_ws(",", F.col("user_id").cast("string"), stamp)
+    extra = [
+        F.when(_every(BLANK_EVERY), F.lit("")), F.when(_every(SHORT_EVERY), short),
+        F.when(_every(OTHER_YEAR_EVERY), line(time_of(F.col("ts") - F.expr("INTERVAL 1 YEAR")), code, tip)),
+        F.when(_every(CODE_X_EVERY), line(stamp, F.lit("x"), tip)),
+        F.when(_every(CODE_7_EVERY), line(stamp, F.lit("7"), tip)),
+        F.when(_every(CODE_EMPTY_EVERY), line(stamp, F.lit(""), tip)),
+        F.when(_every(TIP_TEXT_EVERY), line(stamp, code, F.lit("abc"))),
+        F.when(_every(TIP_EMPTY_EVERY), line(stamp, code, F.lit(""))),
+        F.when(_every(TIP_NAN_EVERY), line(stamp, code, F.lit("nan"))),
+        F.when(_every(TIP_HUGE_EVERY), line(stamp, code, F.lit("1e300"))),
     ]
-    full = F.concat_ws(",", *fields)
-    short = F.concat_ws(",", *fields[:8])
-    line = (F.when(_every(BLANK_EVERY), F.lit("")).when(_every(SHORT_EVERY), short)
-            .otherwise(F.concat(full, F.when(_every(5), F.lit("\r")).otherwise(F.lit("")))))
-    body = events.select(line.alias("value"), *keep)
+    lines = F.filter(F.array(line(stamp, code, tip), *extra), lambda x: x.isNotNull())
+    body = events.select(F.explode(lines).alias("value"), *keep)
     header = spark.createDataFrame([(TAXI_HEADER,)], "value string")
     for c in keep:
         header = header.withColumn(c, F.lit(None).cast(body.schema[c].dataType))
     return header.unionByName(body)
 
 
-# SQL twin of trip_lines after parsing: (event_id, pts, code, tip) of kept lines.
+# SQL twin of trip_lines after parsing: every event's good line, and the extra lines that parse.
 TRIP_LINES_PARSED_SQL = f"""
-WITH e AS (
-  SELECT event_id,
-         CASE WHEN event_id % {OTHER_YEAR_EVERY} = 0 THEN ts - INTERVAL 1 YEAR ELSE ts END AS pts,
-         CASE WHEN event_id % {CODE_X_EVERY} = 0 THEN 'x'
-              WHEN event_id % {CODE_7_EVERY} = 0 THEN '7'
-              WHEN event_id % {CODE_EMPTY_EVERY} = 0 THEN ''
-              ELSE CASE event_type WHEN 'click' THEN '1' WHEN 'error' THEN '2'
-                   WHEN 'purchase' THEN '3' WHEN 'signup' THEN '4' WHEN 'view' THEN '5' END
-         END AS code,
-         CASE WHEN event_id % {TIP_TEXT_EVERY} = 0 OR event_id % {TIP_EMPTY_EVERY} = 0 THEN NULL
-              ELSE value END AS tip
+WITH g AS (
+  SELECT event_id, ts, CASE event_type WHEN 'click' THEN '1' WHEN 'error' THEN '2'
+         WHEN 'purchase' THEN '3' WHEN 'signup' THEN '4' WHEN 'view' THEN '5' END AS code, value AS tip
   FROM events
-  WHERE event_id % {BLANK_EVERY} <> 0 AND event_id % {SHORT_EVERY} <> 0
+), e AS (
+  SELECT ts AS pts, code, tip FROM g
+  UNION ALL SELECT ts - INTERVAL 1 YEAR, code, tip FROM g WHERE event_id % {OTHER_YEAR_EVERY} = 0
+  UNION ALL SELECT ts, 'x', tip FROM g WHERE event_id % {CODE_X_EVERY} = 0
+  UNION ALL SELECT ts, '7', tip FROM g WHERE event_id % {CODE_7_EVERY} = 0
+  UNION ALL SELECT ts, '', tip FROM g WHERE event_id % {CODE_EMPTY_EVERY} = 0
+  UNION ALL SELECT ts, code, NULL FROM g WHERE event_id % {TIP_TEXT_EVERY} = 0
+  UNION ALL SELECT ts, code, NULL FROM g WHERE event_id % {TIP_EMPTY_EVERY} = 0
+  UNION ALL SELECT ts, code, 'nan'::DOUBLE FROM g WHERE event_id % {TIP_NAN_EVERY} = 0
+  UNION ALL SELECT ts, code, 1e300 FROM g WHERE event_id % {TIP_HUGE_EVERY} = 0
 )
 SELECT strftime(pts, '%Y-%m') AS month, code AS payment_type, tip AS tip_amount
 FROM e WHERE strftime(pts, '%Y') = '{LINE_YEAR}' AND code <> ''

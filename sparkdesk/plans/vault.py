@@ -20,8 +20,8 @@ AS_OF = "2024-01-15 12:00:00"
 
 
 def _hk_sql(*cols: str) -> str:
-    parts = [f"coalesce(upper(trim(CAST({c} AS VARCHAR))), '\\N')" for c in cols]
-    return "sha256(" + " || '|' || ".join(parts) + ")"
+    texts = [f"upper(trim(CAST({c} AS VARCHAR)))" for c in cols]
+    return "sha256(" + " || ".join(f"coalesce(length({t}) || ':' || {t}, 'N')" for t in texts) + ")"
 
 
 # Rows above which one profile counts as hot and is chunked by minute instead of day.
@@ -153,10 +153,13 @@ def bridge_place(spark, sf_dir):
                     hash_key("r_regionkey").alias("region_hk"), "r_name")
 
 
+ANCHOR_ATTRS = ["event_type", "value"]
+
+
 def _anchor_tables(spark, sf_dir):
     ev = table(spark, sf_dir, "events")
-    return ev, anchor.split_attributes(ev, "user_id", "ts", ["event_type", "value"],
-                                       tie=["event_id"], chunk=_day().counted_on(ev.select("user_id")))
+    return anchor.split_attributes(ev, "user_id", "ts", ANCHOR_ATTRS,
+                                   tie=["event_id"], chunk=_day().counted_on(ev.select("user_id")))
 
 
 @query("anchor_split", sql="""
@@ -167,7 +170,7 @@ SELECT 'value' AS attribute, user_id, ts AS load_dttm, CAST(NULL AS VARCHAR) AS
 FROM (""" + CHANGES_SQL.format(hk="user_id", col="value") + """) b
 """)
 def anchor_split(spark, sf_dir):
-    _, tabs = _anchor_tables(spark, sf_dir)
+    tabs = _anchor_tables(spark, sf_dir)
     out = None
     for a, t in tabs.items():
         x = t.select(F.lit(a).alias("attribute"), "user_id", "load_dttm",
@@ -178,27 +181,18 @@ def anchor_split(spark, sf_dir):
 
 
 @query("anchor_latest", sql="""
-SELECT user_id, arg_max(event_type, ts) AS event_type, arg_max(value, ts) AS value
+SELECT user_id, arg_max(event_type, (ts, event_id)) AS event_type, arg_max(value, (ts, event_id)) AS value
 FROM events GROUP BY user_id
 """)
 def anchor_latest(spark, sf_dir):
-    ev, tabs = _anchor_tables(spark, sf_dir)
-    return anchor.latest_view(ev, "user_id", tabs)
+    return anchor.latest_of(table(spark, sf_dir, "events"), "user_id", "ts", ANCHOR_ATTRS, tie=["event_id"])
 
 
 @query("anchor_asof", sql=f"""
 SELECT user_id,
-       arg_max(event_type, ts) FILTER (WHERE ts <= TIMESTAMP '{AS_OF}') AS event_type,
-       arg_max(value, ts) FILTER (WHERE ts <= TIMESTAMP '{AS_OF}') AS value
+       arg_max(event_type, (ts, event_id)) FILTER (WHERE ts <= TIMESTAMP '{AS_OF}') AS event_type,
+       arg_max(value, (ts, event_id)) FILTER (WHERE ts <= TIMESTAMP '{AS_OF}') AS value
 FROM events GROUP BY user_id
 """)
 def anchor_asof(spark, sf_dir):
-    """History is cut at the as-of time *before* the change detection: a row's
-    predecessor is never later than the row, so the change rows up to that time
-    are the same, and the cut reaches the parquet scan as a pushed filter.  The
-    anchor key set stays whole (keys without history by then get NULLs)."""
-    ev = table(spark, sf_dir, "events")
-    upto = ev.where(F.col("ts") <= _ts(AS_OF))
-    tabs = anchor.split_attributes(upto, "user_id", "ts", ["event_type", "value"], tie=["event_id"],
-                                   chunk=_day().counted_on(ev.select("user_id")))
-    return anchor.latest_view(ev, "user_id", tabs, as_of=AS_OF)
+    return anchor.latest_of(table(spark, sf_dir, "events"), "user_id", "ts", ANCHOR_ATTRS, tie=["event_id"], as_of=AS_OF)

@@ -34,7 +34,7 @@ def write_partitioned(df: DataFrame, path: str, part_col: str = "dt", fmt: str =
 
     Each partition value gets ``ceil(rows / rows_per_task)`` writer tasks: a
     first small aggregate counts the rows per value (one row per partition
-    folder, so its broadcast is bounded by the number of folders), then rows
+    folder; the planner broadcasts it if it is small), then rows
     are shuffled by ``(part_col, salt)`` with a salt below that bucket count.
     A day holding a third of the data is written by proportionally many
     tasks, a small day by one (one file, no small-file spray).  The salt is a
@@ -44,7 +44,7 @@ def write_partitioned(df: DataFrame, path: str, part_col: str = "dt", fmt: str =
     buckets = counts.select(F.col(part_col), F.greatest(
         F.ceil(F.col("__rows") / F.lit(float(rows_per_task))), F.lit(1)).cast("long").alias("__buckets"))
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.col("__buckets"))
-    spread = (df.join(F.broadcast(buckets), df[part_col].eqNullSafe(buckets[part_col]), "left")
+    spread = (df.join(buckets, df[part_col].eqNullSafe(buckets[part_col]), "left")
                 .drop(buckets[part_col])
                 .withColumn("__salt", salt)
                 .repartition(F.col(part_col), F.col("__salt"))
@@ -58,21 +58,17 @@ def write_partitioned(df: DataFrame, path: str, part_col: str = "dt", fmt: str =
 
 
 def write_day_partition(df: DataFrame, path: str, day: str, ts_col: str, part_col: str = "dt",
-                        fmt: str = "parquet", replace: bool = True) -> None:
+                        fmt: str = "parquet", replace: bool = True, rows_per_task: int = 2_000_000) -> None:
     """Static-partition load of one day: rows whose ``ts_col`` falls on ``day``.
 
     ``replace=True`` (``INSERT OVERWRITE ... PARTITION``) is idempotent: running
     it twice leaves one copy of the day.  ``replace=False`` is the plain
     ``INSERT INTO ... PARTITION`` and duplicates the day on a re-run.
-    The day test is a half-open timestamp range, so it reaches the source scan.
+    The day test is a half-open timestamp range, so it reaches the source scan.  A large
+    day is spread over writer tasks like any partition (see ``write_partitioned``).
     """
     day_rows = df.where(day_range(ts_col, day)).withColumn(part_col, F.lit(day).cast("date"))
-    writer = day_rows.write.partitionBy(part_col).format(fmt)
-    if replace:
-        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    else:
-        writer = writer.mode("append")
-    writer.save(path)
+    write_partitioned(day_rows, path, part_col, fmt, replace_touched=replace, rows_per_task=rows_per_task)
 
 
 def staged_full_refresh(df: DataFrame, target: str, stage: str, unique_keys: Sequence[str] = (),

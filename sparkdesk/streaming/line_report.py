@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sparkdesk.functions.stats import usable
 from sparkdesk.operators.lines import parse_trip_lines, payment_dim
 
 
@@ -37,12 +38,12 @@ def run_incremental_tip_report(spark: SparkSession, landing: str, report: str, c
                    .where(F.col("tip_amount").isNotNull())
                    .join(F.broadcast(labels), "code", "inner"))
     running = coded.groupBy("month", "payment").agg(
-        F.sum(F.col("tip_amount").cast("decimal(18,2)")).alias("tip_sum"),
-        F.count(F.lit(1)).alias("tip_n"))
+        F.try_sum(usable("tip_amount").cast("decimal(26,6)")).alias("tip_sum"),
+        F.count(usable("tip_amount")).alias("tip_n"))
 
     def publish(batch: DataFrame, _epoch: int) -> None:
         out = batch.select("month", "payment",
-                           (F.col("tip_sum").cast("double") / F.col("tip_n").cast("double")).alias("avg_tip"))
+                           F.try_divide(F.col("tip_sum").cast("double"), F.col("tip_n").cast("double")).alias("avg_tip"))
         out.write.mode("overwrite").parquet(report)
 
     # the stream clones the session conf when it starts; restore ours right after

@@ -152,9 +152,9 @@ def test_anchor_latest_and_as_of(spark):
     data = [("p", ts(0), 1, "a"), ("p", ts(10), 2, "b"), ("q", ts(20), 3, "c")]
     df = spark.createDataFrame(data, HIST)
     tabs = anchor.split_attributes(df, "k", "ts", ["v"], tie=["id"], chunk=F.to_date("ts"))
-    assert rows(anchor.latest_view(df, "k", tabs)) == [("p", "b"), ("q", "c")]
+    assert rows(anchor.latest_view(df, "k", tabs, tie=["id"])) == [("p", "b"), ("q", "c")]
     as_of = (T0 + dt.timedelta(hours=5)).strftime("%Y-%m-%d %H:%M:%S")
-    assert rows(anchor.latest_view(df, "k", tabs, as_of=as_of)) == [("p", "a"), ("q", None)]
+    assert rows(anchor.latest_view(df, "k", tabs, tie=["id"], as_of=as_of)) == [("p", "a"), ("q", None)]
 
 
 def test_bridge_left_joins_keep_missing_levels(spark):
