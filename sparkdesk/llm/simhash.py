@@ -84,7 +84,8 @@ def _tables(spark: SparkSession, parents: list[int], radius: int) -> DataFrame:
 
 def _bucket_links(members: np.ndarray, radius: int) -> list[tuple[int, int]]:
     """A star (member, smallest member) for each group linked within the radius."""
-    near = np.bitwise_count(members[:, None] ^ members[None, :]) <= radius
+    bits = members.view(np.uint64)  # bitwise_count would take the absolute value of a signed number
+    near = np.bitwise_count(bits[:, None] ^ bits[None, :]) <= radius
     label = np.arange(len(members))
     while True:
         least = np.where(near, label[None, :], len(members)).min(axis=1)
