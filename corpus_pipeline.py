@@ -20,7 +20,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Chunks of lines that stand earlier in the corpus are taken out of the text."""
-    return line_chunks.with_kept_text(docs, line_chunks.dedup_lines(docs))
+    return line_chunks.drop_repeats(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -30,26 +30,32 @@ def _chunk_ends(hashes: Column, divisor: int) -> Column:
     return F.filter(F.sequence(F.lit(0), last), lambda i: (i == last) | (rolled(i) == 0))
 
 
-def chunked(docs: DataFrame, *, divisor: int, id_col: str = "doc_id", text_col: str = "text", extra: tuple = ()) -> DataFrame:
-    """(doc_id, n_lines, chunks): chunks as (idx, n, body) in order."""
-    d = documents(docs, id_col, text_col, *extra)
-    keep = [c for c in d.columns if c not in ("doc_id", "text")]
-    d = d.select("doc_id", F.split("text", "\n").alias("lines"), *keep)
-    d = d.withColumn("hashes", _line_hashes(F.col("lines")))
-    d = d.withColumn("ends", _chunk_ends(F.col("hashes"), divisor))
+def _add_chunks(d: DataFrame, text: str, divisor: int) -> DataFrame:
+    """Adds ``__lines`` and ``__chunks``, the chunks as (idx, n, body) in order."""
+    d = d.withColumn("__lines", F.split(F.coalesce(text, F.lit("")), "\n"))
+    d = d.withColumn("__hashes", _line_hashes(F.col("__lines")))
+    d = d.withColumn("__ends", _chunk_ends(F.col("__hashes"), divisor))
 
     def chunk(end, j):
-        first = F.when(j == 0, F.lit(0)).otherwise(F.col("ends")[F.greatest(j - 1, F.lit(0))] + 1)
-        body = F.array_join(F.transform(F.sequence(first, end), lambda i: F.col("lines")[i]), "\n")
+        first = F.when(j == 0, F.lit(0)).otherwise(F.col("__ends")[F.greatest(j - 1, F.lit(0))] + 1)
+        body = F.array_join(F.transform(F.sequence(first, end), lambda i: F.col("__lines")[i]), "\n")
         return F.struct(j.alias("idx"), (end - first + 1).alias("n"), body.alias("body"))
 
-    return d.select("doc_id", F.size("lines").alias("n_lines"), F.transform("ends", chunk).alias("chunks"), *keep)
+    return d.withColumn("__chunks", F.transform("__ends", chunk))
+
+
+def _without(gone: str) -> Column:
+    return F.filter("__chunks", lambda c: ~F.array_contains(gone, c.idx))
+
+
+def _text_of(chunks: Column) -> Column:
+    return F.array_join(F.transform(chunks, lambda c: c.body), "\n")
 
 
 def repeated_chunks(docs: DataFrame, *, divisor: int, min_lines: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, gone): the places of a document's chunks that stand earlier in the corpus."""
     # inline_outer: plain inline would have the chunks made a second time in a filter on their number
-    chunks = (chunked(docs, divisor=divisor, id_col=id_col, text_col=text_col).select("doc_id", F.inline_outer("chunks"))
+    chunks = (_add_chunks(documents(docs, id_col, text_col), "text", divisor).select("doc_id", F.inline_outer("__chunks"))
               .filter((F.col("n") >= min_lines) & F.col("body").rlike(r"[^\x20\x09-\x0D]"))
               .withColumn("hash", F.xxhash64("body")))
     repeated = write_scratch(chunks.groupBy("hash").agg(F.count("*").alias("times")).filter("times > 1")
@@ -80,19 +86,21 @@ def dedup_lines(docs: DataFrame, *, divisor: int = 4, min_lines: int = 2, id_col
     rows = (documents(docs, id_col, text_col)
             .join(gone.withColumnRenamed("doc_id", "gone_id"), F.col("doc_id").eqNullSafe(F.col("gone_id")), "left")
             .select("doc_id", "text", F.coalesce("gone", F.array().cast("array<int>")).alias("gone")))
-    rows = chunked(rows, divisor=divisor, extra=(rows["gone"],))
-    rows = rows.withColumn("kept", F.filter("chunks", lambda c: ~F.array_contains("gone", c.idx)))
+    rows = _add_chunks(rows, "text", divisor).withColumn("kept", _without("gone"))
     n_lines = lambda chunks: F.aggregate(chunks, F.lit(0).cast("bigint"), lambda a, c: a + c.n)
     return rows.select(
-        "doc_id", F.col("n_lines").cast("bigint").alias("n_lines"), F.size("chunks").cast("bigint").alias("n_chunks"),
-        (F.size("chunks") - F.size("kept")).cast("bigint").alias("n_removed_chunks"),
-        (F.col("n_lines") - n_lines(F.col("kept"))).cast("bigint").alias("n_removed_lines"),
-        F.array_join(F.transform("kept", lambda c: c.body), "\n").alias("kept_text"))
-
-
-def with_kept_text(docs: DataFrame, deduped: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with each text that lost chunks replaced; rows and columns stay."""
-    changed = (deduped.filter("n_removed_chunks > 0").groupBy(F.col("doc_id").alias("__id"))
-               .agg(F.min("kept_text").alias("__kept")))
-    joined = docs.join(changed, docs[id_col].eqNullSafe(F.col("__id")), "left")
-    return joined.select(*[F.coalesce("__kept", docs[c]).alias(c) if c == text_col else docs[c] for c in docs.columns])
+        "doc_id", F.size("__lines").cast("bigint").alias("n_lines"), F.size("__chunks").cast("bigint").alias("n_chunks"),
+        (F.size("__chunks") - F.size("kept")).cast("bigint").alias("n_removed_chunks"),
+        (F.size("__lines") - n_lines(F.col("kept"))).cast("bigint").alias("n_removed_lines"),
+        _text_of(F.col("kept")).alias("kept_text"))
+
+
+def drop_repeats(docs: DataFrame, *, divisor: int = 4, min_lines: int = 2, id_col: str = "doc_id",
+                 text_col: str = "text") -> DataFrame:
+    """``docs`` without the chunks that stand earlier; rows and columns stay, and so do the
+    texts (null too) that lose nothing."""
+    gone = repeated_chunks(docs, divisor=divisor, min_lines=min_lines, id_col=id_col, text_col=text_col)
+    gone = gone.select(F.col("doc_id").alias("__id"), F.col("gone").alias("__gone"))
+    rows = _add_chunks(docs.join(gone, docs[id_col].eqNullSafe(F.col("__id")), "left"), text_col, divisor)
+    text = F.when(F.col("__gone").isNotNull(), _text_of(_without("__gone"))).otherwise(F.col(text_col))
+    return rows.withColumn(text_col, text).select(*docs.columns)
