@@ -18,7 +18,8 @@ from sparkdesk.session import build_session  # noqa: E402
 
 # Model fitting keys are timed too, but listed last (they dominate the total).
 ML_KEYS = {"features_vector", "rf_classify", "rf_regress", "gbt_classify", "tvs_select",
-           "train_report", "score_batch"}
+           "train_report", "score_batch", "select_rf_classify", "select_rf_regress", "select_rf_three",
+           "select_gbt"}
 
 
 def main() -> None:

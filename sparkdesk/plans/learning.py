@@ -1,13 +1,15 @@
 """ML jobs on lineitem: "is returned" classification, price regression,
 train/validation selection, save/load scoring and the metric reports.
 
-Grids here are small so the checks stay quick; the library takes any grid
-(the reference jobs use 8 to 27 candidates).
+The four ``select_*`` jobs fit whole grids (12, 20, 27 and 8 candidates) on a bounded
+sample of the labelled rows (``LABELLED_ROWS``) and predict all held-out rows.  Their split
+is plain arithmetic on the row's key, so SQL can check the held-out rows they report on.
 """
 
 from __future__ import annotations
 
 from pyspark import StorageLevel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from sparkdesk.operators import learning as ml
@@ -49,11 +51,22 @@ def features_encode(spark, sf_dir):
     return idx.transform(cust).select("c_custkey", "c_mktsegment", "c_mktsegment_index", "c_nationkey")
 
 
-@query("features_vector")
+VECTOR_COLUMNS = [f"x{i}" for i in range(len(CLF_FEATURES))]
+
+
+@query("features_vector", sql="""
+WITH f AS (SELECT l_linestatus, count(*) AS n FROM lineitem GROUP BY l_linestatus),
+     r AS (SELECT l_linestatus, CAST(row_number() OVER (ORDER BY n DESC, l_linestatus) - 1 AS DOUBLE) AS i FROM f)
+SELECT l_orderkey, l_linenumber, CAST(l_quantity AS DOUBLE) AS x0, CAST(l_extendedprice AS DOUBLE) AS x1,
+       CAST(l_discount AS DOUBLE) AS x2, CAST(l_tax AS DOUBLE) AS x3, r.i AS x4, CAST(l_linenumber AS DOUBLE) AS x5
+FROM lineitem JOIN r USING (l_linestatus)
+""")
 def features_vector(spark, sf_dir):
+    """The assembled vector, given as one column for each element."""
     df = frame(spark, sf_dir)
     p = ml.Pipeline(stages=[*ml.indexers(CATEGORICAL), ml.assembler(CLF_FEATURES)]).fit(df)
-    return p.transform(df).select(*IDS, "features")
+    x = vector_to_array("features")
+    return p.transform(df).select(*IDS, *[x[i].alias(c) for i, c in enumerate(VECTOR_COLUMNS)])
 
 
 def _fit_predict(spark, sf_dir, kind, label, features, **params):
@@ -113,6 +126,79 @@ def score_batch(spark, sf_dir):
     return ml.score(path, scoring, IDS)
 
 
+#: Most labelled rows that one selection job is fitted on: the smallest by a hash of the key.
+LABELLED_ROWS = 20_000
+HELD_OUT = "(l_orderkey * 7 + l_linenumber * 3) % 10 >= 8"
+TWO_INDEXED = ["l_linestatus", "l_shipmode_group"]
+
+
+def _held_out(spark, sf_dir):
+    """(labelled rows to fit on, all held-out rows); two indexed columns."""
+    li = table(spark, sf_dir, "lineitem").withColumn(
+        "l_shipmode_group", F.concat(F.lit("g"), (F.col("l_linenumber") % 3).cast("string")))
+    rows = li.select(*IDS, "l_quantity", "l_extendedprice", "l_discount", "l_tax", *TWO_INDEXED,
+                     (F.col("l_returnflag") == "R").cast("double").alias(CLF_LABEL))
+    test = F.expr(HELD_OUT)
+    train = rows.where(~test).orderBy(F.xxhash64(*IDS), *IDS).limit(LABELLED_ROWS)
+    return train, rows.where(test)
+
+
+def _select_job(spark, sf_dir, kind, label, features, grid, evaluator, categorical=CATEGORICAL):
+    """One summary row of a selection job: held-out rows, their label sum, candidates fitted,
+    whether all predictions lie where the label
+    can, and for a regressor whether its held-out rmse is about the label's deviation or less."""
+    train, test = _held_out(spark, sf_dir)
+    best, tvs = ml.select_on_features([*ml.indexers(categorical), ml.assembler(features)],
+                                      ml.learner(kind, label, seed=SEED), grid, evaluator, train, seed=SEED)
+    pred = best.transform(test)
+    p = F.col("prediction")
+    fits = p.isin(0.0, 1.0) if label == CLF_LABEL else p.between(0.0, 1e9)
+    error, spread = F.sqrt(F.avg(F.pow(F.col(label) - p, F.lit(2)))), F.stddev_pop(label)
+    out = pred.agg(F.count("*").alias("test_rows"), F.round(F.sum(label), 2).alias("label_sum"),
+                   F.lit(len(tvs.getEstimatorParamMaps())).cast("bigint").alias("candidates"),
+                   F.bool_and(fits).alias("in_domain"), (error < 1.2 * spread).alias("error_in_bounds"))
+    return out if label == REG_LABEL else out.drop("error_in_bounds")
+
+
+def _select_sql(label, candidates, more=""):
+    return f"""
+SELECT count(*) AS test_rows, round(sum({label}), 2) AS label_sum, CAST({candidates} AS BIGINT) AS candidates,
+       true AS in_domain{more}
+FROM lineitem WHERE {HELD_OUT}
+"""
+
+
+RETURNED_SQL = "CASE WHEN l_returnflag = 'R' THEN 1.0::DOUBLE ELSE 0 END"
+
+
+@query("select_rf_classify", sql=_select_sql(RETURNED_SQL, 12))
+def select_rf_classify(spark, sf_dir):
+    return _select_job(spark, sf_dir, "rf_classifier", CLF_LABEL, CLF_FEATURES,
+                       {"maxDepth": [2, 3, 4, 5], "maxBins": [8, 16, 32]}, ml.classifier_evaluator(CLF_LABEL, "f1"))
+
+
+@query("select_rf_regress", sql=_select_sql("l_extendedprice", 20, ", true AS error_in_bounds"))
+def select_rf_regress(spark, sf_dir):
+    """The regressor's depth and bins by held-out rmse."""
+    return _select_job(spark, sf_dir, "rf_regressor", REG_LABEL, REG_FEATURES,
+                       {"maxDepth": [2, 3, 4, 5, 6], "maxBins": [8, 16, 24, 32]}, ml.regression_evaluator(REG_LABEL))
+
+
+@query("select_rf_three", sql=_select_sql(RETURNED_SQL, 27))
+def select_rf_three(spark, sf_dir):
+    """Three parameters, two indexed columns."""
+    return _select_job(spark, sf_dir, "rf_classifier", CLF_LABEL, [*CLF_FEATURES, "l_shipmode_group_index"],
+                       {"maxDepth": [2, 3, 4], "maxBins": [8, 16, 32], "minInfoGain": [0.0, 0.01, 0.05]},
+                       ml.classifier_evaluator(CLF_LABEL, "f1"), categorical=TWO_INDEXED)
+
+
+@query("select_gbt", sql=_select_sql(RETURNED_SQL, 8))
+def select_gbt(spark, sf_dir):
+    return _select_job(spark, sf_dir, "gbt_classifier", CLF_LABEL, CLF_FEATURES,
+                       {"maxDepth": [2, 3], "maxIter": [20, 30], "maxBins": [16, 32]},
+                       ml.classifier_evaluator(CLF_LABEL, "f1"))
+
+
 RULE_SQL = """
 SELECT CAST(CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END AS DOUBLE) AS y,
        CAST(CASE WHEN l_discount >= 0.05 THEN 0 WHEN l_quantity > 25 THEN 1 ELSE 2 END AS DOUBLE) AS p
