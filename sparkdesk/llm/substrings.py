@@ -167,13 +167,15 @@ def remove_repeats(docs: DataFrame, *, window: int = 50, id_col: str = "doc_id",
     whole = known.filter("doc_id > first_copy").select(F.col("doc_id").alias("copy_id")).distinct()
     parts = known.filter("doc_id = first_copy").select("doc_id", F.explode("parts").alias("part")).distinct()
     parts = write_scratch(parts, "substring_first")
-    shared = parts.join(_repeats(parts, "part").select("part"), "part")
+    # repeated keys are written first: the join above them can then split a hot key's rows
+    shared = parts.join(write_scratch(_repeats(parts, "part").select("part"), "substring_repeated"), "part")
     shared = shared.groupBy(F.col("doc_id").alias("id")).agg(F.collect_set("part").alias("repeated"))
     candidates = write_scratch(d.join(shared, F.col("doc_id") == F.col("id")).dropDuplicates(["doc_id"])
                                .select("doc_id", "text", "repeated"), "substring_candidates")
     result = level.join(whole, F.col("doc_id") == F.col("copy_id"), "left")
     windows = write_scratch(_second_level(candidates, window), "substring_windows")
-    found = (windows.join(_repeats(windows, "part", "whole"), ["part", "whole"]).filter("doc_id > first")
+    repeated = write_scratch(_repeats(windows, "part", "whole"), "substring_repeated")
+    found = (windows.join(repeated, ["part", "whole"]).filter("doc_id > first")
              .groupBy(F.col("doc_id").alias("id")).agg(F.collect_set("at").alias("gone")))
     kept = _without(candidates.join(found, F.col("doc_id") == F.col("id")).select("doc_id", "text", "gone"), window)
     result = result.join(kept.withColumnRenamed("doc_id", "kept_id"), F.col("doc_id") == F.col("kept_id"), "left")
