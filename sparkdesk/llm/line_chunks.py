@@ -63,8 +63,9 @@ def repeated_chunks(docs: DataFrame, *, divisor: int, min_lines: int, id_col: st
     small = broadcast_if_small(repeated.withColumn("key", F.col("hash").cast("string")), max_rows=BROADCAST_ROWS,
                                max_bytes=4 * BROADCAST_BYTES, size_col="key")
     copies = write_scratch(chunks.join(small, "hash").select("hash", "body", "doc_id", "idx"), "repeated_chunks")
-    # grouping by the body itself compares the bytes
-    first = copies.groupBy("hash", "body").agg(F.min(F.struct("doc_id", "idx")).alias("first"))
+    # grouping by the body itself compares the bytes; written first, so that the join above can
+    # split a hot body's rows
+    first = write_scratch(copies.groupBy("hash", "body").agg(F.min(F.struct("doc_id", "idx")).alias("first")), "first_chunks")
     later = (copies.join(first, ["hash", "body"])
              .filter(~F.struct("doc_id", "idx").eqNullSafe(F.col("first"))))
     return later.groupBy("doc_id").agg(F.collect_set("idx").alias("gone"))
