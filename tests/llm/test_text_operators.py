@@ -299,7 +299,7 @@ def test_urls(spark):
     for i, x in want.items():
         assert (got[i].host, got[i].path, got[i].rule, got[i].verdict) == x, i
     assert got[None].verdict == "block" and got[15].host == "u:p@h.org:80"
-    assert got[10].bad_low > 0.5 > got[11].bad_low > got[13].bad_low  # shrunk towards its domain
+    assert got[10].bad_low > got[11].bad_low > 0.5 > got[13].bad_low  # without labels of its own, as its domain
     none = host_reputation.judge_urls(pages, labels.limit(0))
     assert none.count() == pages.count() and host_reputation.judge_urls(pages.limit(0), labels).count() == 0
 
