@@ -30,6 +30,8 @@ from sparkdesk.session import write_scratch
 #: The end of a text as a word; words are never empty.
 END = b""
 SEGMENT = 64
+#: Products of so many steps are formed before they are scaled back.
+RESCALE = 8
 #: So many words are worked on side by side; a longer text makes a batch of its own.
 BATCH_WORDS = 400_000
 #: Words that a task remembers or counts before it passes counts on.
@@ -72,7 +74,8 @@ class _Segments:
         self.starts = np.zeros(len(self.classes), bool)
         self.starts[self.first[:-1]] = True
         self.counts, self.model = counts, model
-        self.emit = model.emit[self.classes]
+        self.emit = model.emit[self.classes.T]  # by place, then segment
+        self.absent = [np.flatnonzero(~self.there[:, t]) for t in range(SEGMENT)]
         self.transfer, self.scale = self._transfers()
 
     def _transfers(self) -> tuple[np.ndarray, np.ndarray]:
@@ -83,11 +86,13 @@ class _Segments:
             moved = (product.reshape(-1, k) @ self.model.move).reshape(n, k, k)
             if t == 0:
                 moved[self.starts] = product[self.starts]
-            moved *= self.emit[:, t, None, :]
-            total = moved.sum(axis=(1, 2))
-            there = self.there[:, t]
-            product = np.where(there[:, None, None], moved / total[:, None, None], product)
-            scale += np.where(there, np.log(total), 0.0)
+            moved *= self.emit[t][:, None, :]
+            moved[self.absent[t]] = product[self.absent[t]]
+            product = moved
+            if t % RESCALE == RESCALE - 1:
+                total = product.reshape(n, -1).sum(axis=1)
+                product /= total[:, None, None]
+                scale += np.log(total)
         return product, scale
 
     def forward(self) -> tuple[np.ndarray, np.ndarray]:
@@ -121,48 +126,56 @@ class _Segments:
         k, move = len(self.model.start), self.model.move
         before, _ = self.forward()
         alphas = np.empty((SEGMENT, len(self.classes), k))
-        now = before
+        now, divided = before, {}
         for t in range(SEGMENT):
             moved = now @ move
             if t == 0:
                 moved[self.starts] = now[self.starts]
-            moved *= self.emit[:, t]
-            moved /= moved.sum(axis=1, keepdims=True)
-            now = np.where(self.there[:, t, None], moved, now)
-            alphas[t] = now
+            moved *= self.emit[t]
+            moved[self.absent[t]] = now[self.absent[t]]
+            if t % RESCALE == RESCALE - 1:
+                divided[t] = moved.sum(axis=1)
+                moved /= divided[t][:, None]
+            alphas[t] = now = moved
         beta, moves = self._backward(), np.zeros((k, k))
-        gammas = np.zeros((SEGMENT, len(self.classes), k))
+        gammas = np.empty((SEGMENT, len(self.classes), k))
         for t in range(SEGMENT - 1, -1, -1):
-            there = self.there[:, t]
             gamma = alphas[t] * beta
-            gammas[t] = np.where(there[:, None], gamma / gamma.sum(axis=1, keepdims=True), 0.0)
-            ahead = self.emit[:, t] * beta
+            total = gamma.sum(axis=1)
+            np.divide(gamma, total[:, None], out=gammas[t])
+            ahead = self.emit[t] * beta
+            # the sum over moves into this word is the same total, but for what was divided out
+            weight = 1 / (total * divided[t] if t in divided else total)
+            weight[self.absent[t]] = 0.0
+            if t == 0:
+                weight[self.starts] = 0.0
+            moves += move * ((alphas[t - 1] if t else before).T @ (ahead * weight[:, None]))
             back = ahead @ move.T
-            previous = alphas[t - 1] if t else before
-            moving = there & ~self.starts if t == 0 else there
-            total = (previous * back).sum(axis=1)
-            weight = np.where(moving, 1 / np.where(total > 0, total, 1.0), 0.0)
-            moves += move * (previous.T @ (ahead * weight[:, None]))
-            beta = np.where(moving[:, None], back / back.sum(axis=1, keepdims=True), beta)
+            back[self.absent[t]] = beta[self.absent[t]]
+            if t % RESCALE == 0:
+                back /= back.sum(axis=1, keepdims=True)
+            beta = back
         start = gammas[0][self.starts].sum(axis=0)
         there = self.there.T
         return start, moves, self.classes.T[there], gammas[there]
 
 
-class _Classes:
-    """A word's class, remembered for words seen before."""
+class _Classes(dict):
+    """A word's class, found when first asked for."""
 
     def __init__(self, classes: int):
-        self.classes, self.known = classes, {}
+        super().__init__()
+        self.classes = classes
+
+    def __missing__(self, word: bytes) -> int:
+        found = self[word] = xxhash.xxh3_64_intdigest(word) % self.classes
+        return found
 
     def __call__(self, words: list[bytes]) -> np.ndarray:
-        known = self.known
-        if len(known) > MAX_WORDS:
-            known.clear()
-        for w in set(words).difference(known):
-            known[w] = xxhash.xxh3_64_intdigest(w) % self.classes
+        if len(self) > MAX_WORDS:
+            self.clear()
         out = np.empty(len(words) + 1, np.int64)
-        out[:-1] = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+        out[:-1] = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
         out[-1] = self.classes
         return out
 
