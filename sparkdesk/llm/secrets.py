@@ -1,9 +1,10 @@
 """Secret scans with corpus-wide ownership.
 
 Three patterns give base spans.  Long mixed tokens are weak candidates: they become spans
-("owned") only if the corpus shows them with few owners, since a value that many owners
-hold is a copied example and not a live credential.  Owners and repositories of a value are
-counted over all candidates, by hash, so no value leaves its row.
+("owned") only if the corpus shows them with few owners and few repositories, since a value
+that many hold is a copied example and not a live credential.  A text that stands in several
+places has one owner, so a mirror adds a repository only.  Owners and repositories of a value
+are counted over all candidates, by hash, so no value leaves its row.
 """
 
 from __future__ import annotations
@@ -66,23 +67,27 @@ def _text_of(spans: Column) -> Column:
 
 
 def ownership(found: DataFrame) -> DataFrame:
-    """(hash, n_owners, n_repositories), from rows of (hash, owner, repository).
+    """(hash, n_owners, n_repositories), from rows of (hash, body, owner, repository).
 
+    ``body`` stands for the text that holds the value; its owner is the smallest of its rows'.
     Equal rows are merged before the shuffle, so a value that is copied a million times
     costs a row for each task and pair.
     """
-    pairs = found.select("hash", "owner", "repository").distinct()
-    return (pairs.groupBy("hash", "owner").agg(F.count("*").alias("n"))
-            .groupBy("hash").agg(F.count("*").alias("n_owners"), F.sum("n").alias("n_repositories")))
+    first = found.groupBy("hash", "body").agg(F.min("owner").alias("owner"))
+    owners = (first.select("hash", "owner").distinct().groupBy("hash").agg(F.count("*").alias("n_owners")))
+    repositories = (found.select("hash", "repository").distinct()
+                    .groupBy("hash").agg(F.count("*").alias("n_repositories")))
+    return owners.join(repositories, "hash")
 
 
-def scan_secrets(docs: DataFrame, *, max_owners: int = 1, id_col: str = "doc_id", text_col: str = "text",
-                 owner_col: str = "source", repository_col: str = "doc_id") -> DataFrame:
+def scan_secrets(docs: DataFrame, *, max_owners: int = 1, max_repositories: int = 10, id_col: str = "doc_id",
+                 text_col: str = "text", owner_col: str = "source", repository_col: str = "doc_id") -> DataFrame:
     """Per row of ``docs``: doc_id, n_assign, n_access, n_hex, base (spans as text), spans (with
     the added ones), n_live, n_copied.
 
     Places count code points, the end is exclusive, spans are ordered by start and kind.  A
-    value of ``max_owners`` owners or fewer is live-looking, of more it is copied.
+    value of at most ``max_owners`` owners and ``max_repositories`` repositories is
+    live-looking, any other is copied.  Equal texts count for one owner, the smallest of theirs.
 
     Null and empty texts have no spans; null owners and repositories each count as one;
     very long texts are scanned whole; repeated rows get the same spans and add neither an
@@ -98,10 +103,10 @@ def scan_secrets(docs: DataFrame, *, max_owners: int = 1, id_col: str = "doc_id"
     weak = F.filter("owned", lambda s: span_text(s).rlike("[0-9]") & span_text(s).rlike("[A-Za-z]")
                     & ~F.exists("base", lambda b: (b.start < s.end) & (s.start < b.end)))
     scanned = write_scratch(d.select("row", "doc_id", "owner", "repository", *[F.size(k).cast("bigint").alias(f"n_{k}") for k in KINDS],
-                                     "base", weak.alias("weak")), "secret_candidates")
-    each = scanned.select("row", "owner", "repository", F.inline_outer(F.concat("base", "weak"))).filter("hash IS NOT NULL")
+                                     F.xxhash64("text").alias("body"), "base", weak.alias("weak")), "secret_candidates")
+    each = scanned.select("row", "body", "owner", "repository", F.inline_outer(F.concat("base", "weak"))).filter("hash IS NOT NULL")
     counts = write_scratch(ownership(each), "secret_owners")
-    live = F.col("n_owners") <= max_owners
+    live = (F.col("n_owners") <= max_owners) & (F.col("n_repositories") <= max_repositories)
     added = F.collect_list(F.when((F.col("kind") == "owned") & live, F.struct("start", "rank", "kind", "end", "hash")))
     marked = (each.join(counts, "hash").groupBy("row")
               .agg(F.count(F.when(live, 1)).alias("n_live"), F.count(F.when(~live, 1)).alias("n_copied"), added.alias("added")))

@@ -282,6 +282,17 @@ def test_secrets(spark, docs, rows):
     assert len(got[108]) == 2 and got[108][0] == got[108][1]
 
 
+def test_secrets_by_owners_and_repositories(spark):
+    """Many copies in one source are copied, a mirror in a second source is not."""
+    example, live, shared = "Ex81Qw93Lm27Bn46Vc50Kk", "Zx81Qw93Lm27Bn46Vc50Kk", "Yy81Qw93Lm27Bn46Vc50Kk"
+    rows = [(i, f"page {i} {example}", "en", "hot") for i in range(1000)]
+    rows += [(2000, f"see {live}", "en", "s1"), (2001, f"see {live}", "en", "s2")]
+    rows += [(3000 + i, f"mirrored {shared}", "en", f"s{i % 3}") for i in range(11)]
+    got = by_id(secrets.scan_secrets(frame(spark, rows)))
+    assert all(got[i][0].spans == "" and got[i][0].n_copied == 1 for i in [*range(1000), *range(3000, 3011)])
+    assert all(got[i][0].spans == "owned:4:26" and got[i][0].n_live == 1 for i in (2000, 2001))
+
+
 def test_urls(spark):
     urls = ["http://Example.ORG/es/1?q#f", "https://a.example.org/en/12", "x.org/fr", None, "http://b.com/fr/2", "http://com/de/3",
             "ftp://notcom/fr/", "http://x.org", "http://x.org?y", "://", "http://bad.net/1", "http://sub.bad.net/1", "a://b://c/d",
