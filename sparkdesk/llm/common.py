@@ -37,6 +37,16 @@ def documents(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> Dat
     return docs.select(docs[id_col].alias("doc_id"), whole_text(docs[text_col]).alias("text"), *more)
 
 
+def text_key(text: Column) -> Column:
+    """A hash of the text; with the doc_id it names a row where ids are null or shared."""
+    return F.xxhash64(whole_text(text))
+
+
+def same_row(docs: DataFrame, id_col: str, text_col: str) -> Column:
+    """The row of ``docs`` is the one that ``__id`` and ``__key`` name."""
+    return docs[id_col].eqNullSafe(F.col("__id")) & (text_key(docs[text_col]) == F.col("__key"))
+
+
 def broadcast_if_small(df: DataFrame, *, max_rows: int, max_bytes: int, size_col: str) -> DataFrame:
     """``df``, with a broadcast hint if its measured rows and bytes (two scalars) allow it.
 

@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkdesk.llm.common import blocks, broadcast_if_small, documents, lower_ascii, words_between
+from sparkdesk.llm.common import blocks, broadcast_if_small, documents, lower_ascii, same_row, text_key, words_between
 from sparkdesk.session import write_scratch
 
 #: After A-Z are lowered, a word is a run of digits, letters a-z and non-ASCII characters.
@@ -59,8 +59,8 @@ def _prefixes(sequences: DataFrame, freq: DataFrame, window: int) -> DataFrame:
 
 
 def _scan(docs: DataFrame, block: list[str], window: int) -> DataFrame:
-    """(doc_id, n_words, found): the places of the block's words, each with the words within reach."""
-    words = docs.select("doc_id", _words(F.col("text")).alias("words"))
+    """(doc_id, text_key, n_words, found): the places of the block's words, each with the words within reach."""
+    words = docs.select("doc_id", text_key(F.col("text")).alias("text_key"), _words(F.col("text")).alias("words"))
     low = lambda i: F.greatest(i - (window - 1), F.lit(0))
     places = F.when(F.size("words") > 0, F.sequence(F.lit(0), F.size("words") - 1))
     at = F.filter(places, lambda i: F.col("words")[i].isin(block)) if block else F.array().cast("array<int>")
@@ -68,7 +68,7 @@ def _scan(docs: DataFrame, block: list[str], window: int) -> DataFrame:
         i.alias("pos"), F.col("words")[i].alias("word"),
         F.transform(F.sequence(low(i), F.least(i + (window - 1), F.size("words") - 1)), lambda j: F.col("words")[j]).alias("around"),
         (i - low(i)).alias("off")))
-    return words.select("doc_id", F.size("words").cast("bigint").alias("n_words"), around.alias("found"))
+    return words.select("doc_id", "text_key", F.size("words").cast("bigint").alias("n_words"), around.alias("found"))
 
 
 def _verified() -> Column:
@@ -96,7 +96,7 @@ def _covered(hits: Column) -> Column:
 def benchmark_overlap(docs: DataFrame, items: DataFrame, *, window: int = 13, hit_percent: int = 5,
                       id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id",
                       item_text_col: str = "text") -> DataFrame:
-    """Per document: doc_id, n_words, n_hit, spans, item_ids, contaminated.
+    """Per document: doc_id, n_words, n_hit, spans, item_ids, contaminated, text_key.
 
     ``spans`` are the occurring windows as (start, k) in words, ``item_ids`` the items
     with one, as sorted strings; ``contaminated`` is n_hit > 0 and
@@ -105,8 +105,8 @@ def benchmark_overlap(docs: DataFrame, items: DataFrame, *, window: int = 13, hi
     Null or wordless texts have no words and no hits; items without words match nothing;
     an empty table of documents gives no rows, one of items no hits.  Repeated items count
     once for each item_id; an item without an id is not counted, but its words are hit.
-    Rows that share a doc_id (null too) and their number of words share their hits, which
-    is exact for repeated rows.  Other columns are ignored.
+    Rows of equal doc_id and text share their hits; others that share a doc_id (null too) do
+    not.  Other columns are ignored.
     """
     docs = documents(docs, id_col, text_col)
     sequences = write_scratch(documents(items, item_id_col, item_text_col)
@@ -120,26 +120,26 @@ def benchmark_overlap(docs: DataFrame, items: DataFrame, *, window: int = 13, hi
     scans = [write_scratch(_scan(docs, block, window), "item_places")
              for block in blocks(prefixes, "word", WORDS_A_PASS)] or [write_scratch(_scan(docs, [], window), "item_places")]
     small = broadcast_if_small(prefixes, max_rows=BROADCAST_ROWS, max_bytes=BROADCAST_BYTES, size_col="word")
-    found = reduce(DataFrame.unionAll, [one.select("doc_id", F.inline("found")) for one in scans])
+    found = reduce(DataFrame.unionAll, [one.select("doc_id", "text_key", F.inline("found")) for one in scans])
     hits = (found.join(small, "word")
-            .select("doc_id", "seq_id", F.explode(_verified()).alias("hit")))
+            .select("doc_id", "text_key", "seq_id", F.explode(_verified()).alias("hit")))
     hits = write_scratch(hits, "item_hits")
-    covered = (hits.groupBy(F.col("doc_id").alias("hit_id")).agg(F.array_sort(F.collect_set("hit")).alias("spans"))
+    covered = (hits.groupBy(F.col("doc_id").alias("hit_id"), F.col("text_key").alias("hit_key")).agg(F.array_sort(F.collect_set("hit")).alias("spans"))
                .withColumn("n_hit", _covered(F.col("spans"))))
     names = sequences.join(seqs, "ws").select("seq_id", F.col("item_id").cast("string").alias("item"))
-    named = (hits.select("doc_id", "seq_id").distinct().join(names, "seq_id")
-             .groupBy(F.col("doc_id").alias("found_id")).agg(F.array_sort(F.collect_set("item")).alias("item_ids")))
+    named = (hits.select("doc_id", "text_key", "seq_id").distinct().join(names, "seq_id")
+             .groupBy(F.col("doc_id").alias("found_id"), F.col("text_key").alias("found_key")).agg(F.array_sort(F.collect_set("item")).alias("item_ids")))
     n_hit = F.coalesce("n_hit", F.lit(0).cast("bigint"))
-    return (scans[0].select("doc_id", "n_words")
-            .join(covered, F.col("doc_id").eqNullSafe(F.col("hit_id")), "left")
-            .join(named, F.col("doc_id").eqNullSafe(F.col("found_id")), "left")
+    return (scans[0].select("doc_id", "text_key", "n_words")
+            .join(covered, F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("text_key") == F.col("hit_key")), "left")
+            .join(named, F.col("doc_id").eqNullSafe(F.col("found_id")) & (F.col("text_key") == F.col("found_key")), "left")
             .select("doc_id", "n_words", n_hit.alias("n_hit"),
                     F.coalesce("spans", F.array().cast("array<struct<start:int,k:int>>")).alias("spans"),
                     F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"),
-                    ((n_hit > 0) & (100 * n_hit >= hit_percent * F.col("n_words"))).alias("contaminated")))
+                    ((n_hit > 0) & (100 * n_hit >= hit_percent * F.col("n_words"))).alias("contaminated"), "text_key"))
 
 
-def drop_contaminated(docs: DataFrame, verdicts: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` whose document is not contaminated; the columns stay as they are."""
-    bad = verdicts.filter("contaminated").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(bad, docs[id_col].eqNullSafe(F.col("__id")), "left_anti")
+def drop_contaminated(docs: DataFrame, verdicts: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are not contaminated, by doc_id and text; the columns stay as they are."""
+    bad = verdicts.filter("contaminated").select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"))
+    return docs.join(bad, same_row(docs, id_col, text_col), "left_anti")

@@ -223,7 +223,8 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 
 def _postings(docs: DataFrame) -> DataFrame:
-    """(word, docs, times): for each group of texts one row a word, with the documents that hold it."""
+    """(word, docs, times) of (row_key, text): for each group of texts one row a word, with the keys
+    of the texts that hold it."""
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -242,12 +243,12 @@ def _postings(docs: DataFrame) -> DataFrame:
                     [pa.array(numbers.keys(), pa.binary()), pa.ListArray.from_arrays(pa.array(cuts), ids),
                      pa.ListArray.from_arrays(pa.array(cuts), pa.array(times.astype(np.int32)))], ["word", "docs", "times"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    kind = docs.schema["row_key"].dataType.simpleString()
     return docs.mapInArrow(work, f"word binary, docs array<{kind}>, times array<int>")
 
 
 def _word_sums(docs: DataFrame, counts: DataFrame) -> DataFrame:
-    """(id, rows, log_sum, end_log, n_known): sums over a document's words of log10(c + 1).
+    """(id, rows, log_sum, end_log, n_known) of (row_key, text): sums over a text's words of log10(c + 1).
 
     Words meet their counts once for each group of texts, not once for each token.
     """
@@ -295,7 +296,7 @@ def _expected_counts(docs: DataFrame, model: Model, classes: int) -> Model:
 
 
 def _scored(docs: DataFrame, model: Model, class_logs: np.ndarray) -> DataFrame:
-    """(doc_id, held_out, n_tokens, hidden): log10 of a text's class sequence less its classes' totals."""
+    """(doc_id, held_out, row_key, n_tokens, hidden): log10 of a text's class sequence less its classes' totals."""
     sent = docs.sparkSession.sparkContext.broadcast((model, class_logs))
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -308,11 +309,12 @@ def _scored(docs: DataFrame, model: Model, class_logs: np.ndarray) -> DataFrame:
                 n_tokens += [len(t) for t in numbered]
                 hidden += (_Segments(numbered, model).forward()[1] / np.log(10)
                            - np.array([logs[t[:-1]].sum() for t in numbered])).tolist()
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(n_tokens, pa.int64()),
-                                              pa.array(hidden, pa.float64())], ["doc_id", "held_out", "n_tokens", "hidden"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), batch.column(3), pa.array(n_tokens, pa.int64()),
+                                              pa.array(hidden, pa.float64())],
+                                             ["doc_id", "held_out", "row_key", "n_tokens", "hidden"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(work, f"doc_id {kind}, held_out boolean, n_tokens bigint, hidden double")
+    return docs.mapInArrow(work, f"doc_id {kind}, held_out boolean, row_key bigint, n_tokens bigint, hidden double")
 
 
 def score_documents(docs: DataFrame, *, states: int = 4, classes: int = 1 << 16, rounds: int = 4, seed: int = 7,
@@ -325,12 +327,13 @@ def score_documents(docs: DataFrame, *, states: int = 4, classes: int = 1 << 16,
     and V distinct words of the class in training, so unseen words have one share too.
 
     Null and empty texts are an end alone; a null doc_id trains; a word seen nowhere counts
-    as unseen; very long texts are scored whole; rows that share a doc_id are taken as
-    repeated rows; with nothing to train on all counts are zero; an empty table gives no
+    as unseen; very long texts are scored whole; rows of equal doc_id and text are
+    repeated rows, others that share a doc_id (null too) are scored each by its own words; with nothing to train on all counts are zero; an empty table gives no
     rows; other columns are ignored.
     """
     fold = F.coalesce(F.pmod(F.crc32(docs[id_col].cast("string")), F.lit(folds)), F.lit(held_fold + 1))
     d = documents(docs, id_col, text_col, (fold == held_fold).alias("held_out"))
+    d = d.withColumn("row_key", F.xxhash64("doc_id", "text"))
     train = d.filter(~F.col("held_out"))
     counts = write_scratch(word_counts(train), "word_counts")
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
@@ -340,9 +343,9 @@ def score_documents(docs: DataFrame, *, states: int = 4, classes: int = 1 << 16,
     model = Model.first(states, np.append(class_of[:, 0], ends), seed)
     for _ in range(rounds):
         model = _expected_counts(train, model, classes)
-    sums = _word_sums(d, counts)
+    sums = _word_sums(d.select("row_key", "text"), counts)
     unit = float(np.log10(total + distinct + 1))
-    return (_scored(d, model, class_logs).join(sums, F.col("doc_id").eqNullSafe(F.col("id")))
+    return (_scored(d, model, class_logs).join(sums, F.col("row_key") == F.col("id"))
             .select("doc_id", "held_out", "n_tokens", (F.col("n_known") / F.col("rows")).cast("bigint").alias("n_known"),
                     F.lit(total).cast("bigint").alias("train_tokens"),
                     (F.col("log_sum") / F.col("rows") - unit * F.col("n_tokens")).alias("base_score"),

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkdesk.llm.common import broadcast_if_small, documents
+from sparkdesk.llm.common import broadcast_if_small, documents, same_row, text_key
 from sparkdesk.session import write_scratch
 
 #: Hashes of repeated chunks are broadcast up to this measured size; beyond it they are joined by shuffle.
@@ -53,22 +53,23 @@ def _text_of(chunks: Column) -> Column:
 
 
 def repeated_chunks(docs: DataFrame, *, divisor: int, min_lines: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, gone): the places of a document's chunks that stand earlier in the corpus."""
+    """(__id, __key, gone): the places of a row's chunks that stand earlier in the corpus."""
     # inline_outer: plain inline would have the chunks made a second time in a filter on their number
-    chunks = (_add_chunks(documents(docs, id_col, text_col), "text", divisor).select("doc_id", F.inline_outer("__chunks"))
+    chunks = (_add_chunks(documents(docs, id_col, text_col), "text", divisor)
+              .select("doc_id", text_key(F.col("text")).alias("text_key"), F.inline_outer("__chunks"))
               .filter((F.col("n") >= min_lines) & F.col("body").rlike(r"[^\x20\x09-\x0D]"))
               .withColumn("hash", F.xxhash64("body")))
     repeated = write_scratch(chunks.groupBy("hash").agg(F.count("*").alias("times")).filter("times > 1")
                              .select("hash"), "repeated_hashes")
     small = broadcast_if_small(repeated.withColumn("key", F.col("hash").cast("string")), max_rows=BROADCAST_ROWS,
                                max_bytes=4 * BROADCAST_BYTES, size_col="key")
-    copies = write_scratch(chunks.join(small, "hash").select("hash", "body", "doc_id", "idx"), "repeated_chunks")
+    copies = write_scratch(chunks.join(small, "hash").select("hash", "body", "doc_id", "text_key", "idx"), "repeated_chunks")
     # grouping by the body itself compares the bytes; written first, so that the join above can
     # split a hot body's rows
-    first = write_scratch(copies.groupBy("hash", "body").agg(F.min(F.struct("doc_id", "idx")).alias("first")), "first_chunks")
+    first = write_scratch(copies.groupBy("hash", "body").agg(F.min(F.struct("doc_id", "text_key", "idx")).alias("first")), "first_chunks")
     later = (copies.join(first, ["hash", "body"])
-             .filter(~F.struct("doc_id", "idx").eqNullSafe(F.col("first"))))
-    return later.groupBy("doc_id").agg(F.collect_set("idx").alias("gone"))
+             .filter(~F.struct("doc_id", "text_key", "idx").eqNullSafe(F.col("first"))))
+    return later.groupBy(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).agg(F.collect_set("idx").alias("gone"))
 
 
 def dedup_lines(docs: DataFrame, *, divisor: int = 4, min_lines: int = 2, id_col: str = "doc_id",
@@ -79,13 +80,14 @@ def dedup_lines(docs: DataFrame, *, divisor: int = 4, min_lines: int = 2, id_col
     repeated if an equal one stands in a document with a smaller doc_id, or earlier in the same.
 
     Null texts are read as empty: one empty line, which is never removed.  A null doc_id
-    comes before all others.  Rows that share a doc_id are copies of one document and lose
-    the same chunks.  Ties cannot occur, as (doc_id, place) orders all chunks; an empty
-    table gives no rows; other columns are ignored.
+    comes before all others.  Rows of equal doc_id and text are copies of one document and
+    lose the same chunks; other rows that share a doc_id (null too) are documents of their
+    own, ordered by a hash of the text.  Ties cannot occur, as (doc_id, text, place) orders
+    all chunks; an empty table gives no rows; other columns are ignored.
     """
     gone = repeated_chunks(docs, divisor=divisor, min_lines=min_lines, id_col=id_col, text_col=text_col)
-    rows = (documents(docs, id_col, text_col)
-            .join(gone.withColumnRenamed("doc_id", "gone_id"), F.col("doc_id").eqNullSafe(F.col("gone_id")), "left")
+    d = documents(docs, id_col, text_col)
+    rows = (d.join(gone, same_row(d, "doc_id", "text"), "left")
             .select("doc_id", "text", F.coalesce("gone", F.array().cast("array<int>")).alias("gone")))
     rows = _add_chunks(rows, "text", divisor).withColumn("kept", _without("gone"))
     n_lines = lambda chunks: F.aggregate(chunks, F.lit(0).cast("bigint"), lambda a, c: a + c.n)
@@ -101,7 +103,7 @@ def drop_repeats(docs: DataFrame, *, divisor: int = 4, min_lines: int = 2, id_co
     """``docs`` without the chunks that stand earlier; rows and columns stay, and so do the
     texts (null too) that lose nothing."""
     gone = repeated_chunks(docs, divisor=divisor, min_lines=min_lines, id_col=id_col, text_col=text_col)
-    gone = gone.select(F.col("doc_id").alias("__id"), F.col("gone").alias("__gone"))
-    rows = _add_chunks(docs.join(gone, docs[id_col].eqNullSafe(F.col("__id")), "left"), text_col, divisor)
+    gone = gone.withColumnRenamed("gone", "__gone")
+    rows = _add_chunks(docs.join(gone, same_row(docs, id_col, text_col), "left"), text_col, divisor)
     text = F.when(F.col("__gone").isNotNull(), _text_of(_without("__gone"))).otherwise(F.col(text_col))
     return rows.withColumn(text_col, text).select(*docs.columns)

@@ -15,7 +15,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkdesk.llm.common import SPACE_RUN, documents, words_between
+from sparkdesk.llm.common import SPACE_RUN, documents, same_row, text_key, words_between
 from sparkdesk.session import write_scratch
 
 #: Ordinary function words by language (a parameter of the operator).
@@ -103,16 +103,16 @@ def histograms(docs: DataFrame, *, common_words: dict[str, list[str]] = COMMON_W
     listed = sorted({w for ws in common_words.values() for w in ws})
     d = documents(docs, id_col, text_col, docs[lang_col].alias("lang"))
     d = _with_classes(d).select(
-        "doc_id", "lang", "text", words_between(F.col("text"), SPACE_RUN).alias("words"),
+        "doc_id", "lang", "text", text_key(F.col("text")).alias("text_key"), words_between(F.col("text"), SPACE_RUN).alias("words"),
         F.length("text").cast("bigint").alias("n_chars"), "word_chars", "n_symbols", "class_hist")
     d = d.select(
-        "doc_id", "lang", F.size("words").alias("n"), "n_chars", "word_chars", "n_symbols", "class_hist",
+        "doc_id", "lang", "text_key", F.size("words").alias("n"), "n_chars", "word_chars", "n_symbols", "class_hist",
         F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("lines"),
         "words", F.filter("words", lambda w: w.isin(listed)).alias("common"))
     d = _with_repeats(d)
     times = [F.size("common") - F.size(F.array_remove("common", w)) for w in listed]
     return d.select(
-        "doc_id", "lang", F.col("n").cast("bigint").alias("n_words"), "n_chars", "word_chars", "n_symbols",
+        "doc_id", "lang", "text_key", F.col("n").cast("bigint").alias("n_words"), "n_chars", "word_chars", "n_symbols",
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint").alias("n_dup_lines"),
         _covered(F.col("repeats")).alias("n_repeat_words"), "class_hist",
         F.array(*[c.cast("bigint") for c in (*times, F.col("n") - F.size("common"))]).alias("word_hist"))
@@ -159,7 +159,7 @@ def quality_rules(docs: DataFrame, *, common_words: dict[str, list[str]] = COMMO
                   max_repeat_percent: int = 50, judged_words: int = 100, max_class_distance: float = 0.35,
                   max_word_distance: float = 0.75, id_col: str = "doc_id", text_col: str = "text",
                   lang_col: str = "lang") -> DataFrame:
-    """Per row of ``docs``: the counts, class_distance, word_distance, base_failed and kept.
+    """Per row of ``docs``: the counts, class_distance, word_distance, base_failed, kept and text_key.
 
     The distances are to the nearest language reference; null for a document of fewer than ``judged_words`` words.  References
     are summed over all documents whose ``lang_col`` is a listed language.  ``base_failed``:
@@ -181,10 +181,10 @@ def quality_rules(docs: DataFrame, *, common_words: dict[str, list[str]] = COMMO
     return (_distances(hists, refs, judged_words)
             .withColumn("base_failed", failed).withColumn("kept", ~failed & ~far)
             .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                    "class_distance", "word_distance", "base_failed", "kept"))
+                    "class_distance", "word_distance", "base_failed", "kept", "text_key"))
 
 
-def drop_rejected(docs: DataFrame, verdicts: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` whose document is kept; the columns stay as they are."""
-    kept = verdicts.groupBy(F.col("doc_id").alias("__id")).agg(F.min("kept").alias("__kept"))
-    return docs.join(kept.filter("__kept"), docs[id_col].eqNullSafe(F.col("__id")), "left_semi")
+def drop_rejected(docs: DataFrame, verdicts: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are kept, by doc_id and text; the columns stay as they are."""
+    kept = verdicts.filter("kept").select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"))
+    return docs.join(kept, same_row(docs, id_col, text_col), "left_semi")

@@ -80,4 +80,5 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=3, seed=42)
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=3, seed=42)
+    return found.select("doc_id", "fingerprint", "component_id")

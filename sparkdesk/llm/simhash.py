@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkdesk.llm.common import documents
+from sparkdesk.llm.common import documents, same_row, text_key
 from sparkdesk.session import write_scratch
 
 BITS = 64
@@ -51,15 +51,17 @@ def fingerprint(text: str, shingle: int, seed: int) -> int:
 
 def fingerprints(docs: DataFrame, *, shingle: int = 3, seed: int = 42, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
-    """(doc_id, fp) for each row, the fingerprint as a signed 64-bit number."""
+    """(doc_id, text_key, fp) for each row, the fingerprint as a signed 64-bit number."""
     d = documents(docs, id_col, text_col)
+    d = d.withColumn("text_key", text_key(F.col("text")))
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = np.array([fingerprint(t.as_py(), shingle, seed) for t in batch.column(1)], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(fps.view(np.int64))],
+                                             ["doc_id", "text_key", "fp"])
 
-    return d.mapInArrow(work, f"doc_id {d.schema['doc_id'].dataType.simpleString()}, fp bigint")
+    return d.mapInArrow(work, f"doc_id {d.schema['doc_id'].dataType.simpleString()}, text_key bigint, fp bigint")
 
 
 def covering_masks(kept: int, radius: int) -> list[int]:
@@ -154,7 +156,8 @@ def components(links: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, *, shingle: int = 3, radius: int = 3, seed: int = 42, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
-    """Per row of ``docs``: doc_id, fingerprint (16 hex digits), component_id.
+    """Per row of ``docs``: doc_id, fingerprint (16 hex digits), component_id, text_key, and root_fp,
+    which names the component where component_id is null or shared.
 
     Fingerprints within ``radius`` bits are linked; component_id is the smallest doc_id that
     links reach, the row's own included.  Equal fingerprints are searched once.
@@ -169,12 +172,16 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 3, radius: int = 3, seed:
     roots = write_scratch(components(links(fps, radius=radius)), "roots")
     of_fp = fps.join(roots, fps.fp == roots.node, "left").select("fp", "first_doc", F.coalesce("root", "fp").alias("root"))
     least = of_fp.groupBy(F.col("root").alias("root_fp")).agg(F.min("first_doc").alias("component_id"))
-    named = of_fp.join(least, F.col("root") == F.col("root_fp")).select("fp", "component_id")
-    return each.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-def keep_first(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` that are the smallest of their group; rows that share that doc_id
-    are kept once.  Rows without a doc_id are kept if their group has no other."""
-    first = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(first, docs[id_col].eqNullSafe(F.col("__id")), "left_semi").dropDuplicates([id_col])
+    named = of_fp.join(least, F.col("root") == F.col("root_fp")).select("fp", "component_id", "root_fp")
+    return each.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id",
+                                         "text_key", "root_fp")
+
+
+def keep_first(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of ``docs`` for each group: the one of the smallest doc_id, and of the smallest
+    text hash where several share it.  Rows without a doc_id are kept if their group has no other."""
+    first = (groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root_fp")
+             .agg(F.min(F.struct("doc_id", "text_key")).alias("first"))
+             .select(F.col("first.doc_id").alias("__id"), F.col("first.text_key").alias("__key")))
+    return (docs.join(first, same_row(docs, id_col, text_col), "left_semi")
+            .withColumn("__key", text_key(F.col(text_col))).dropDuplicates([id_col, "__key"]).drop("__key"))

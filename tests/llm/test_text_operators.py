@@ -282,6 +282,35 @@ def test_secrets(spark, docs, rows):
     assert len(got[108]) == 2 and got[108][0] == got[108][1]
 
 
+def test_rows_with_null_and_shared_ids_are_judged_apart(spark):
+    """What befalls one row befalls no other row of a null or shared doc_id."""
+    words = vocabulary(9, 2000)
+    clean = [" ".join(words[60 * k:60 * k + 60]) for k in range(4)]
+    ids = [None, None, 7, 7]
+    left = lambda df: sorted(r.text for r in df.collect())
+    docs = frame(spark, [(i, t, "en", "s") for i, t in zip(ids, clean)] + [(None, "short", "en", "s"), (7, "too short", "en", "s")])
+    assert left(quality_rules.drop_rejected(docs, quality_rules.quality_rules(docs))) == sorted(clean)
+    bench = spark.createDataFrame([(1, " ".join(words[1900:1920]))], "item_id bigint, text string")
+    docs = frame(spark, [(i, t, "en", "s") for i, t in zip(ids, clean)] + [(i, f"{' '.join(words[1900:1920])} x{i}", "en", "s") for i in (None, 7)])
+    found = decontaminate.benchmark_overlap(docs, bench)
+    assert left(decontaminate.drop_contaminated(docs, found)) == sorted(clean)
+    assert sorted(r.n_hit for r in found.collect()) == [0, 0, 0, 0, 20, 20]
+    near = frame(spark, [(i, t, "en", "s") for i, t in zip(ids, clean)] + [(None, clean[0], "en", "s"), (8, clean[2], "en", "s")])
+    assert left(simhash.keep_first(near, simhash.near_duplicates(near))) == sorted(clean)
+    scores = hmm.score_documents(docs, rounds=1, classes=64).collect()
+    c = Counter(w for r in docs.collect() for w in [*lower_az(r.text).split(), ""])
+    total = sum(c.values())
+    base = [sum(math.log10((c[w] + 1) / (total + len(c) + 1)) for w in [*lower_az(r.text).split(), ""]) for r in docs.collect()]
+    assert sorted(r.base_score for r in scores) == pytest.approx(sorted(base))
+    lines = ["\n".join(" ".join(words[40 * k + 4 * j:40 * k + 4 * j + 4]) for j in range(40)) for k in (0, 10, 20, 30)]
+    copies = ["head one\n" + lines[0], "head two\n" + lines[2]]
+    docs = frame(spark, [(i, t, "en", "s") for i, t in zip([None, None, 7, 7, None, 7], lines + copies)])
+    kept = left(line_chunks.drop_repeats(docs))
+    assert len(set(kept) & {lines[1], lines[3]}) == 2 and len(kept) == 6
+    assert len(set(kept) & {lines[0], copies[0]}) == 1 and len(set(kept) & {lines[2], copies[1]}) == 1
+    assert sorted(r.kept_text for r in line_chunks.dedup_lines(docs).collect()) == kept
+
+
 def test_secrets_by_owners_and_repositories(spark):
     """Many copies in one source are copied, a mirror in a second source is not."""
     example, live, shared = "Ex81Qw93Lm27Bn46Vc50Kk", "Zx81Qw93Lm27Bn46Vc50Kk", "Yy81Qw93Lm27Bn46Vc50Kk"
