@@ -162,7 +162,8 @@ def remove_repeats(docs: DataFrame, *, window: int = 50, id_col: str = "doc_id",
     d = documents(docs, id_col, text_col)
     level = write_scratch(_first_level(d, window), "substring_parts")
     known = level.filter(F.col("doc_id").isNotNull() & (F.col("n_words") >= window))
-    copies = known.groupBy("sha", "n_words").agg(F.min("doc_id").alias("first_copy"))
+    # written first: the join below can then split the rows of a text with many copies
+    copies = write_scratch(known.groupBy("sha", "n_words").agg(F.min("doc_id").alias("first_copy")), "substring_copies")
     known = known.join(copies, ["sha", "n_words"])
     whole = known.filter("doc_id > first_copy").select(F.col("doc_id").alias("copy_id")).distinct()
     parts = known.filter("doc_id = first_copy").select("doc_id", F.explode("parts").alias("part")).distinct()

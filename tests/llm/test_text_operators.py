@@ -452,6 +452,19 @@ def test_substrings(docs, rows, window):
     assert all(r.n_removed == 0 for r in got[None]) and got[23][0] == got[23][1]
 
 
+def test_substring_copies_are_joined_without_their_aggregate(docs, monkeypatch):
+    """A join that reuses the aggregate's partitions could not split a hot text's rows."""
+    plans, write = {}, substrings.write_scratch
+
+    def spied(df, name):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return write(df, name)
+
+    monkeypatch.setattr(substrings, "write_scratch", spied)
+    substrings.remove_repeats(docs)
+    assert "min(doc_id" in plans["substring_copies"] and "min(doc_id" not in plans["substring_first"]
+
+
 def test_empty_tables(spark):
     docs = frame(spark, [], CLASHING)
     items = spark.createDataFrame([], "item_id bigint, text string")
