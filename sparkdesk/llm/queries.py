@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from sparkdesk.llm import (
     byte_bpe,
+    context_language,
+    conversation_trie,
     decontaminate,
+    fill_in_middle,
     hmm,
     host_reputation,
     line_chunks,
@@ -82,3 +85,19 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=3, seed=42)
     return found.select("doc_id", "fingerprint", "component_id")
+
+
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = context_language.identify_languages(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "held_out", "lang_pred", "score", "bits_per_byte")
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nodes = conversation_trie.conversation_trie(table(spark, sf_dir, "conversations"), group=20, heads=4)
+    return nodes.withColumnRenamed("ends", "ends_sha256")
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle.transform_documents(table(spark, sf_dir, "documents"), salt="7", rate=100, spm_rate=50)
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2("restored", 256).alias("restored_sha256"))

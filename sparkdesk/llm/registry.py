@@ -22,6 +22,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_rules": q.op8_quality_rules,
         "op9_benchmark_decontamination": q.op9_benchmark_decontamination,
         "op10_simhash_near_dedup": q.op10_simhash_near_dedup,
+        "op11_language_id": q.op11_language_id,
+        "op12_conversation_trie": q.op12_conversation_trie,
+        "op13_fill_in_middle": q.op13_fill_in_middle,
     }
 
 
@@ -32,4 +35,6 @@ def oracle_sql() -> dict[str, str]:
         "op7_substring_dedup": sql.SUBSTRING_DEDUP,
         "op8_quality_rules": sql.quality_rules(),
         "op9_benchmark_decontamination": sql.BENCHMARK_DECONTAMINATION,
+        "op12_conversation_trie": sql.CONVERSATION_TRIE,
+        "op13_fill_in_middle": sql.FILL_IN_MIDDLE,
     }

@@ -140,3 +140,49 @@ SELECT u.page_id, u.host, u.path, rule, coalesce(fit.verdict,
     CASE WHEN a / (a + b) - 1.645 * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) > 0.5 THEN 'block' ELSE 'allow' END) AS verdict
 FROM u JOIN h__post USING (host) LEFT JOIN fit USING (page_id)
 """
+
+#: Each line a unit; four numbers of the hashed id choose form and cuts.
+FILL_IN_MIDDLE = r"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+u AS (SELECT *, regexp_extract_all(text, '[^\n]*\n|[^\n]+') AS units, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
+             ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4 FROM t),
+c AS (SELECT *, len(units) AS n, least(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS a,
+             greatest(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS b,
+             CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 100
+                  THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM u),
+p AS (SELECT *, array_to_string(units[1:a], '') AS prefix, array_to_string(units[a + 1:b], '') AS middle,
+             array_to_string(units[b + 1:], '') AS suffix FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN len(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN len(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM p
+"""
+
+#: crc32 bit by bit: numbers from 256 on mix in a character, zeros shift once.
+CONVERSATION_TRIE = r"""
+WITH turns AS (
+  SELECT conv_id, turn, sha256(length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS key,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS n FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, list({'k': key, 'n': n} ORDER BY turn NULLS FIRST, key) AS path FROM turns GROUP BY conv_id),
+digits AS (SELECT conv_id, path, flatten(list_transform(string_split(conv_id::VARCHAR, ''),
+                  lambda x: [256 + ascii(x), 0, 0, 0, 0, 0, 0, 0, 0]))::BIGINT[] AS steps FROM own),
+crc AS (SELECT conv_id, path, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, steps), lambda c, x:
+                  CASE WHEN x >= 256 THEN xor(c, x - 256) ELSE xor(c >> 1, (c & 1) * 3988292384) END)) % 4 AS h FROM digits),
+rebuilt AS (SELECT c.conv_id, list_concat(coalesce(b.path[1:c.h], []), c.path[c.h + 1:]) AS path
+            FROM crc c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 20),
+steps AS (SELECT conv_id, d, path[1:d] AS prefix, len(path) = d AS last
+          FROM (SELECT conv_id, path, unnest(range(0, len(path) + 1)) AS d FROM rebuilt)),
+nodes AS (SELECT list_transform(prefix, lambda x: x.k) AS keys, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+                 coalesce(any_value(prefix[d].n), 0) AS n,
+                 sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (last), '')) AS ends_sha256
+          FROM steps GROUP BY ALL),
+kids AS (SELECT keys[1:d - 1] AS keys, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY 1),
+counted AS (SELECT a.*, coalesce(k.n_children, 0) AS n_children FROM nodes a LEFT JOIN kids k ON a.keys = k.keys),
+tree AS (SELECT keys[1:e] AS keys, sum((n_children = 0)::INT) AS n_leaves, sum((n_convs - 1) * n) AS saved_tokens
+         FROM (SELECT keys, n_children, n_convs, n, unnest(range(0, d + 1)) AS e FROM counted) GROUP BY 1)
+SELECT a.conv_id, a.d AS depth, p.conv_id AS parent_conv_id, a.n_convs, a.n_children, t.n_leaves::BIGINT AS n_leaves,
+       t.saved_tokens::BIGINT AS saved_tokens, a.ends_sha256
+FROM counted a JOIN tree t ON a.keys = t.keys LEFT JOIN nodes p ON a.d > 0 AND p.keys = a.keys[1:a.d - 1]
+"""
