@@ -22,8 +22,13 @@ from pyspark.sql import DataFrame
 
 from sparkdesk.llm.common import documents
 
-#: States and remembered pieces of a worker; beyond them it forgets all and starts anew.
-MAX_STATES, MAX_PIECES, MAX_PAIRS = 300_000, 400_000, 500_000
+#: What a worker remembers in a generation: states (with about twice as many steps), pieces and
+#: pairs of tokens, about 0.5, 0.2 and 0.1 kB each.  The generation before stays, and what is
+#: asked for comes back from it, so frequent ones are never lost.
+MAX_STATES, MAX_PIECES, MAX_PAIRS = 100_000, 100_000, 60_000
+#: Two numbers below this bit's value are kept as one.
+SHIFT = 20
+LOW = (1 << SHIFT) - 1
 
 #: A text is cut into so many pieces, and decoded in so many ids, at a time.
 CHUNK = 50_000
@@ -35,6 +40,25 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
 
 
+class Generations(dict):
+    """Remembers at most twice ``limit`` values: when it is full, what it holds becomes the old
+    generation, from which a value that is asked for comes back."""
+
+    def __init__(self, make, limit: int):
+        super().__init__()
+        self.make, self.limit, self.old = make, limit, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.limit:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 class Transducer:
     """Encodes one piece (bytes) as ids; needs a rank for each single byte it meets."""
 
@@ -59,8 +83,13 @@ class Transducer:
                     self.inner.append(False)
                 node = nxt
             self.token_at[node] = rank
-        self.pairs: dict[tuple[int, int], bool] = {}
-        self.forget()
+        #: No hypothesis is longer, so this is how far the transducer looks ahead.
+        self.lookahead = max(map(len, ranks), default=1)
+        self.pairs = Generations(lambda ab: self._stay(self._edge(ab >> SHIFT, 1), self._edge(ab & LOW, 0)), MAX_PAIRS)
+        self.start = (-1 << SHIFT,)
+        self.made = 0
+        self.states, self.index, self.steps = {0: self.start}, {self.start: 0}, {}
+        self._age()
 
     def merged(self, piece: bytes) -> list[int]:
         """The encoding by its definition: the lowest-ranked neighbours merge first."""
@@ -101,12 +130,7 @@ class Transducer:
         """Whether ``a`` and ``b`` side by side stay as they are: no part at the right edge of
         ``a`` merges with one at the left edge of ``b`` while both stand (of two equal merges
         the left one is first)."""
-        known = self.pairs.get((a, b))
-        if known is None:
-            if len(self.pairs) >= MAX_PAIRS:
-                self.pairs.clear()
-            known = self.pairs[a, b] = self._stay(self._edge(a, 1), self._edge(b, 0))
-        return known
+        return self.pairs[a << SHIFT | b]
 
     def _stay(self, left: list[tuple[bytes, int, int]], right: list[tuple[bytes, int, int]]) -> bool:
         for x, x_from, x_until in left:
@@ -117,16 +141,42 @@ class Transducer:
                         return False
         return True
 
-    def forget(self, state: tuple = ((-1, 0),)) -> None:
-        """Back to one state: by default the start, no token yet and one hypothesis at the root."""
-        self.states, self.index, self.steps = [state], {state: 0}, {}
-        self.start = 0 if state == ((-1, 0),) else None
+    def _age(self) -> None:
+        """What is remembered becomes the old generation; each holds its start and all that its steps lead to."""
+        self.old = self.states, self.index, self.steps
+        self.states, self.index, self.steps = {0: self.start}, {self.start: 0}, {}
+
+    def hypotheses(self, state: int) -> tuple[int, ...]:
+        """Each hypothesis is its last token and its node, packed into one number."""
+        known = self.states.get(state)
+        return self.old[0][state] if known is None else known
+
+    def step(self, state: int, byte: int) -> int:
+        """The next state and the token that ends the encoding so far, packed; made when first asked for."""
+        key = state << 8 | byte
+        found = self.old[2].get(key)
+        if found is None:
+            after, ends = self._after(self.hypotheses(state), byte)
+            nxt = self.index.get(after)
+            if nxt is None:
+                nxt = self.old[1].get(after)
+            if nxt is None:
+                self.made += 1
+                nxt = self.made
+            found = nxt << SHIFT | ends
+        else:
+            nxt = found >> SHIFT
+            after = self.hypotheses(nxt)
+        if nxt not in self.states:
+            self.states[nxt], self.index[after] = after, nxt
+        self.steps[key] = found
+        return found
 
-    def step(self, state: int, byte: int) -> tuple[int, int]:
-        """The next state and the token that ends the encoding so far; made when first asked for."""
+    def _after(self, hypotheses: tuple[int, ...], byte: int) -> tuple[tuple[int, ...], int]:
         child, token_at, inner = self.child, self.token_at, self.inner
         after, ends = [], -1
-        for last, node in self.states[state]:
+        for packed in hypotheses:
+            last, node = packed >> SHIFT, packed & LOW
             node = child.get(node << 8 | byte)
             if node is None:
                 continue
@@ -134,17 +184,11 @@ class Transducer:
             if token >= 0 and ends < 0 and (last < 0 or self.neighbours(last, token)):
                 ends = token
             if inner[node]:
-                after.append((last, node))
+                after.append(last << SHIFT | node)
         if ends < 0:
             raise ValueError(f"no token for byte {byte}")
-        after.append((ends, 0))
-        key = tuple(after)
-        nxt = self.index.get(key)
-        if nxt is None:
-            nxt = self.index[key] = len(self.states)
-            self.states.append(key)
-        found = self.steps[state << 8 | byte] = (nxt, ends)
-        return found
+        after.append(ends << SHIFT)
+        return tuple(after), ends
 
     def _settle(self, ends: list[int]) -> list[int]:
         """The tokens of a path, from the token that ends at each of its bytes."""
@@ -160,42 +204,39 @@ class Transducer:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        if len(self.states) > self.max_states or self.start is None:
-            self.forget()
+        if len(self.states) > self.max_states:
+            self._age()
         known, state, ends = self.steps, 0, []
-        if len(piece) <= CHUNK:
+        if len(piece) <= 2 * self.lookahead:
             for byte in piece:
                 found = known.get(state << 8 | byte) or self.step(state, byte)
-                state = found[0]
-                ends.append(found[1])
+                state = found >> SHIFT
+                ends.append(found & LOW)
             return self._settle(ends)
         out = []
         for byte in piece:
-            state, token = self.steps.get(state << 8 | byte) or self.step(state, byte)
-            ends.append(token)
-            if len(ends) >= CHUNK and len(self.states[state]) == 1:
+            found = self.steps.get(state << 8 | byte) or self.step(state, byte)
+            state = found >> SHIFT
+            ends.append(found & LOW)
+            # one hypothesis left: all tokens up to here are settled
+            if len(ends) >= self.lookahead and len(self.hypotheses(state)) == 1:
                 out += self._settle(ends)
                 ends = []
-            if len(self.states) > self.max_states:  # within a piece: keep only where we are
-                self.forget(self.states[state])
-                state = 0
+            if len(self.states) > self.max_states:
+                here = self.hypotheses(state)
+                self._age()
+                self.states[state], self.index[here] = here, state
         return out + self._settle(ends)
 
 
-class Pieces(dict):
-    """piece -> its ids, found when first asked for."""
+class Pieces(Generations):
+    """piece -> its ids, found when first asked for; long pieces are not kept."""
 
     def __init__(self, transducer: Transducer, limit: int = MAX_PIECES):
-        super().__init__()
-        self.transducer, self.limit = transducer, limit
-
-    def __missing__(self, piece: str) -> list[int]:
-        ids = self.transducer.encode(piece.encode())
-        if len(piece) <= 64:
-            if len(self) >= self.limit:
-                self.clear()
-            self[piece] = ids
-        return ids
+        super().__init__(lambda piece: tuple(transducer.encode(piece.encode())), limit)
+
+    def __missing__(self, piece: str) -> tuple[int, ...]:
+        return super().__missing__(piece) if len(piece) <= 64 else self.make(piece)
 
 
 class Utf8Machine:

@@ -2,10 +2,12 @@
 
 Two histograms are taken of each document: character classes (upper case, lower case and
 other letters, digits, white space, punctuation, other) and common words (the ordinary
-function words of a few languages, and all other words together).  The references are
-the same histograms summed over all documents of a language.  A document is judged by
-the Jensen-Shannon distance to the nearest reference, and only if it is long enough for
-its histogram to mean something.
+function words of a few languages, in lower case, and all other words together).  The
+references are the same histograms summed over all documents of a language.  A document
+is judged by the Jensen-Shannon distance to its own language's reference, or to the
+nearest one if its language has none, and only if it is long enough for its histogram to
+mean something.  How far a text without any common word lies from a reference depends on
+the language alone, so word distances are judged as shares of that.
 """
 
 from __future__ import annotations
@@ -98,21 +100,23 @@ def _covered(places: Column) -> Column:
 
 
 def histograms(docs: DataFrame, *, common_words: dict[str, list[str]] = COMMON_WORDS, id_col: str = "doc_id",
-               text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """One narrow row per row of ``docs``: counts for the base rules and both histograms."""
+               text_col: str = "text", lang_col: str = "lang", keep_row: bool = False) -> DataFrame:
+    """One row per row of ``docs``: counts for the base rules and both histograms; with
+    ``keep_row`` the row itself too, as ``row``."""
     listed = sorted({w for ws in common_words.values() for w in ws})
-    d = documents(docs, id_col, text_col, docs[lang_col].alias("lang"))
+    row = ["row"] if keep_row else []
+    d = documents(docs, id_col, text_col, docs[lang_col].alias("lang"), *[F.struct("*").alias(c) for c in row])
     d = _with_classes(d).select(
-        "doc_id", "lang", "text", text_key(F.col("text")).alias("text_key"), words_between(F.col("text"), SPACE_RUN).alias("words"),
+        *row, "doc_id", "lang", "text", text_key(F.col("text")).alias("text_key"), words_between(F.col("text"), SPACE_RUN).alias("words"),
         F.length("text").cast("bigint").alias("n_chars"), "word_chars", "n_symbols", "class_hist")
     d = d.select(
-        "doc_id", "lang", "text_key", F.size("words").alias("n"), "n_chars", "word_chars", "n_symbols", "class_hist",
+        *row, "doc_id", "lang", "text_key", F.size("words").alias("n"), "n_chars", "word_chars", "n_symbols", "class_hist",
         F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("lines"),
-        "words", F.filter("words", lambda w: w.isin(listed)).alias("common"))
+        "words", F.filter(F.transform("words", F.lower), lambda w: w.isin(listed)).alias("common"))
     d = _with_repeats(d)
     times = [F.size("common") - F.size(F.array_remove("common", w)) for w in listed]
     return d.select(
-        "doc_id", "lang", "text_key", F.col("n").cast("bigint").alias("n_words"), "n_chars", "word_chars", "n_symbols",
+        *row, "doc_id", "lang", "text_key", F.col("n").cast("bigint").alias("n_words"), "n_chars", "word_chars", "n_symbols",
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint").alias("n_dup_lines"),
         _covered(F.col("repeats")).alias("n_repeat_words"), "class_hist",
         F.array(*[c.cast("bigint") for c in (*times, F.col("n") - F.size("common"))]).alias("word_hist"))
@@ -133,58 +137,97 @@ def _entropy(shares: Column) -> Column:
     return F.aggregate(shares, F.lit(0.0), lambda a, x: a - F.coalesce(x * F.log2(x), F.lit(0.0)))
 
 
-def _nearest(shares: str, entropy: str, refs: list[list[int]]) -> Column:
-    """Jensen-Shannon distance (root of the divergence in bits, 0 to 1) to the nearest reference:
-    the entropy of the mean histogram less the mean of both entropies."""
-    distances = []
-    for ref in refs:
-        q = [n / max(1, sum(ref)) for n in ref]
-        mean = F.zip_with(shares, F.lit(q), lambda a, b: (a + b) / 2)
-        divergence = _entropy(mean) - (F.col(entropy) - sum(x * math.log2(x) for x in q if x)) / 2
-        distances.append(F.sqrt(F.greatest(divergence, F.lit(0.0))))
-    return F.least(*distances, F.lit(1.0)) if distances else F.lit(None).cast("double")
+def _far(shares: str, entropy: str, ref: list[int]) -> Column:
+    """Jensen-Shannon distance (root of the divergence in bits, 0 to 1) to a reference: the
+    entropy of the mean histogram less the mean of both entropies."""
+    q = [n / max(1, sum(ref)) for n in ref]
+    mean = F.zip_with(shares, F.lit(q), lambda a, b: (a + b) / 2)
+    divergence = _entropy(mean) - (F.col(entropy) - sum(x * math.log2(x) for x in q if x)) / 2
+    return F.sqrt(F.greatest(divergence, F.lit(0.0)))
+
+
+def wordless_distance(ref: list[int]) -> float:
+    """The distance from a word reference to a text without any common word."""
+    q = [n / max(1, sum(ref)) for n in ref]
+    m = (q[-1] + 1) / 2
+    return math.sqrt(max(0.0, ((q[-1] * math.log2(q[-1] / m) if q[-1] else 0.0) + math.log2(1 / m) + sum(q[:-1])) / 2))
+
+
+def _own_or_nearest(by_lang: dict[str, Column]) -> Column:
+    """The value of the row's language, or the least of all if it has none."""
+    if not by_lang:
+        return F.lit(None).cast("double")
+    out = F.least(*by_lang.values(), F.lit(math.inf))
+    for lang, value in by_lang.items():
+        out = F.when(F.col("lang") == lang, value).otherwise(out)
+    return F.nullif(out, F.lit(math.inf))
 
 
 def _distances(hists: DataFrame, refs: dict[str, dict[str, list[int]]], judged_words: int) -> DataFrame:
-    """Adds class_distance and word_distance; null below ``judged_words`` words."""
+    """Adds class_distance, word_distance and word_share; null below ``judged_words`` words."""
     for name, total in (("class", "n_chars"), ("word", "n_words")):
         share = F.transform(f"{name}_hist", lambda n: n / F.col(total))  # noqa: B023
         hists = hists.withColumn("p", F.when(F.col("n_words") >= judged_words, share)).withColumn("h", _entropy(F.col("p")))
-        hists = hists.withColumn(f"{name}_distance", F.when(
-            F.col("p").isNotNull(), _nearest("p", "h", [r[f"{name}_hist"] for r in refs.values()])))
-    return hists
+        far = {lang: _far("p", "h", r[f"{name}_hist"]) for lang, r in refs.items()}
+        judged = lambda x: F.when(F.col("p").isNotNull(), x)  # noqa: E731, B023
+        hists = hists.withColumn(f"{name}_distance", judged(_own_or_nearest(far)))
+        if name == "word":
+            # a reference without any common word tells nothing
+            most = {lang: wordless_distance(r["word_hist"]) for lang, r in refs.items()}
+            share = {lang: far[lang] / most[lang] for lang in refs if most[lang] > 0}
+            hists = hists.withColumn("word_share", judged(_own_or_nearest(share)))
+    return hists.drop("p", "h")
+
+
+def _judged(hists: DataFrame, *, common_words: dict[str, list[str]], min_words: int, max_repeat_percent: int,
+            judged_words: int, max_class_distance: float, max_word_share: float) -> DataFrame:
+    """Adds the distances, base_failed and kept to written histograms."""
+    refs = _references(hists, sorted(common_words))
+    failed = ((F.col("n_words") < min_words)
+              | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words")))
+    far = (F.coalesce(F.col("class_distance") > max_class_distance, F.lit(False))
+           | F.coalesce(F.col("word_share") > max_word_share, F.lit(False)))
+    return _distances(hists, refs, judged_words).withColumn("base_failed", failed).withColumn("kept", ~failed & ~far)
 
 
-def quality_rules(docs: DataFrame, *, common_words: dict[str, list[str]] = COMMON_WORDS, min_words: int = 50,
-                  max_repeat_percent: int = 50, judged_words: int = 100, max_class_distance: float = 0.35,
-                  max_word_distance: float = 0.75, id_col: str = "doc_id", text_col: str = "text",
-                  lang_col: str = "lang") -> DataFrame:
-    """Per row of ``docs``: the counts, class_distance, word_distance, base_failed, kept and text_key.
+#: Limits of the operator and of the stage: both apply the same.
+LIMITS = {"common_words": COMMON_WORDS, "min_words": 50, "max_repeat_percent": 50, "judged_words": 100,
+          "max_class_distance": 0.25, "max_word_share": 0.8}
 
-    The distances are to the nearest language reference; null for a document of fewer than ``judged_words`` words.  References
-    are summed over all documents whose ``lang_col`` is a listed language.  ``base_failed``:
-    fewer than ``min_words`` words, or more than ``max_repeat_percent`` per cent of words in
-    repeated three-word windows.  ``kept`` is false if ``base_failed``; a document of
-    ``judged_words`` words or more must also be within both distances.
+
+def quality_rules(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+                  **limits) -> DataFrame:
+    """Per row of ``docs``: the counts, class_distance, word_distance, word_share, base_failed, kept and text_key.
+
+    ``limits`` are those of ``LIMITS``.  The distances are to the reference of the row's
+    language, or to the nearest if that is null or not in ``common_words``; null for a document
+    of fewer than ``judged_words`` words.  ``word_share`` is the word distance as a share of that of a
+    text without any common word.  References are summed over all documents whose ``lang_col``
+    is a listed language.  ``base_failed``: fewer than ``min_words`` words, or more than
+    ``max_repeat_percent`` per cent of words in repeated three-word windows.  ``kept`` is false if
+    ``base_failed``; a document of ``judged_words`` words or more must also be within
+    ``max_class_distance`` and ``max_word_share``.
 
     Null and empty texts have no words and fail; a null or unknown language adds to no
-    reference but is judged like any other; repeated rows and ties are judged alike; an
-    empty table gives no rows; other columns are ignored.
+    reference; very long texts are counted whole, in one row of numbers; repeated rows and ties
+    are judged alike; an empty table gives no rows; other columns are ignored.
     """
-    hists = write_scratch(histograms(docs, common_words=common_words, id_col=id_col, text_col=text_col,
+    limits = {**LIMITS, **limits}
+    hists = write_scratch(histograms(docs, common_words=limits["common_words"], id_col=id_col, text_col=text_col,
                                      lang_col=lang_col), "histograms")
-    refs = _references(hists, sorted(common_words))
-    failed = ((F.col("n_words") < min_words)
-              | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words")))
-    far = (F.coalesce(F.col("class_distance") > max_class_distance, F.lit(False))
-           | F.coalesce(F.col("word_distance") > max_word_distance, F.lit(False)))
-    return (_distances(hists, refs, judged_words)
-            .withColumn("base_failed", failed).withColumn("kept", ~failed & ~far)
-            .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                    "class_distance", "word_distance", "base_failed", "kept", "text_key"))
+    return (_judged(hists, **limits)
+            .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "class_distance",
+                    "word_distance", "word_share", "base_failed", "kept", "text_key"))
 
 
-def drop_rejected(docs: DataFrame, verdicts: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that are kept, by doc_id and text; the columns stay as they are."""
-    kept = verdicts.filter("kept").select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"))
-    return docs.join(kept, same_row(docs, id_col, text_col), "left_semi")
+def keep_good(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+              **limits) -> DataFrame:
+    """The rows of ``docs`` that ``quality_rules`` keeps, columns as they are.
+
+    Each row is written beside its histograms and filtered when it is read again, so texts
+    are neither joined nor shuffled; every row is judged by its own text.
+    """
+    limits = {**LIMITS, **limits}
+    hists = write_scratch(histograms(docs, common_words=limits["common_words"], id_col=id_col, text_col=text_col,
+                                     lang_col=lang_col, keep_row=True), "histograms")
+    return _judged(hists, **limits).filter("kept").select("row.*")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from sparkdesk.llm.host_reputation import LEAST_RHO, MOST_RHO, RULES, TWO_LABEL_SUFFIXES
-from sparkdesk.llm.quality_rules import CLASSES, COMMON_WORDS
+from sparkdesk.llm.quality_rules import CLASSES, COMMON_WORDS, LIMITS
 
 _AZ = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = r"[^\x20\x09-\x0D]+"
@@ -19,7 +19,15 @@ def _distance(names: list[str], total: str) -> str:
     return f"CASE WHEN d.{total} > 0 THEN sqrt(greatest(({' + '.join(parts)}) / 2, 0)) END"
 
 
+def _wordless(names: list[str]) -> str:
+    """The distance from r's word histogram to that of a text without any common word."""
+    q = f"(r.{names[-1]} / r.wt::DOUBLE)"
+    return (f"sqrt(greatest((CASE WHEN {q} > 0 THEN {q} * log2({q} / (({q} + 1) / 2)) ELSE 0 END"
+            f" + log2(1 / (({q} + 1) / 2)) + (1 - {q})) / 2, 0))")
+
+
 def quality_rules() -> str:
+    most_class, most_share = LIMITS["max_class_distance"], LIMITS["max_word_share"]
     listed = sorted({w for ws in COMMON_WORDS.values() for w in ws})
     langs = ", ".join(f"'{x}'" for x in sorted(COMMON_WORDS))
     taken, classes = "", []
@@ -35,7 +43,7 @@ def quality_rules() -> str:
     return rf"""
 WITH t AS (SELECT doc_id, lang, coalesce(text, '') AS text FROM documents),
 split AS (SELECT *, regexp_extract_all(text, '{_WORDS}') AS ws FROM t),
-low AS (SELECT *, ws AS lw FROM split),
+low AS (SELECT *, list_transform(ws, lambda x: lower(x)) AS lw FROM split),
 counted AS (SELECT doc_id, lang, len(ws) AS n_words, list_sum(list_transform(ws, lambda x: len(x))) AS wc,
     len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols,
     list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '{_WORDS}')) AS lines, ws,
@@ -43,7 +51,9 @@ counted AS (SELECT doc_id, lang, len(ws) AS n_words, list_sum(list_transform(ws,
 d AS (SELECT *, {' + '.join(cs)} AS ct, {' + '.join(wn)} AS wt FROM counted),
 r AS (SELECT *, {' + '.join(cs)} AS ct, {' + '.join(wn)} AS wt FROM
     (SELECT lang, {sums} FROM counted WHERE lang IN ({langs}) GROUP BY lang)),
-dist AS (SELECT d.doc_id, min({_distance(cs, 'ct')}) AS cd, min({_distance(wn, 'wt')}) AS wd FROM d, r GROUP BY d.doc_id),
+far AS (SELECT d.doc_id, coalesce(d.lang, '') IN (SELECT lang FROM r) AS listed, coalesce(d.lang = r.lang, false) AS own,
+    {_distance(cs, 'ct')} AS cd, {_distance(wn, 'wt')} / nullif({_wordless(wn)}, 0) AS ws FROM d, r),
+dist AS (SELECT doc_id, min(cd) AS cd, min(ws) AS ws FROM far WHERE own OR NOT listed GROUP BY doc_id),
 tri AS (SELECT doc_id, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS g
     FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM split WHERE len(ws) >= 3)),
 rep AS (SELECT doc_id, i FROM tri QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
@@ -52,7 +62,7 @@ f AS (SELECT d.doc_id, n_words::BIGINT AS n_words, coalesce(wc, 0)::BIGINT AS wo
     (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(cov.n, 0)::BIGINT AS n_repeat_words
     FROM d LEFT JOIN cov USING (doc_id)),
 b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM f)
-SELECT b.*, NOT base_failed AND NOT (n_words >= 100 AND (coalesce(cd > 0.35, false) OR coalesce(wd > 0.75, false))) AS kept
+SELECT b.*, NOT base_failed AND NOT (n_words >= 100 AND (coalesce(cd > {most_class}, false) OR coalesce(ws > {most_share}, false))) AS kept
 FROM b LEFT JOIN dist USING (doc_id)
 """
 
