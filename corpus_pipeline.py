@@ -15,7 +15,7 @@ from sparkdesk.sources.tables import table
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
-    return quality_rules.drop_rejected(docs, quality_rules.quality_rules(docs))
+    return quality_rules.keep_good(docs)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
