@@ -50,3 +50,18 @@ def latest_view(anchor: DataFrame, sk: str, tables: dict[str, DataFrame], tie: S
         last = t.groupBy(F.col(sk).alias(f"__k{i}")).agg(_at_latest(a, "load_dttm", tie, as_of))
         out = out.join(last, out[sk].eqNullSafe(last[f"__k{i}"]), "left").drop(f"__k{i}")
     return out
+
+
+def tie_view(tie_history: DataFrame, left: DataFrame, right: DataFrame, left_sk: str, right_sk: str, ts: str,
+             tie: Sequence[str] = (), as_of: str | None = None) -> DataFrame:
+    """Two anchors side by side through a historised tie, as of a time.
+
+    Each left key's partner is that of its last tie row at or before ``as_of``; a NULL partner
+    has ended the tie.  ``left`` and ``right`` are the anchors' views as of the same time, one row
+    a key.  Left keys without a tie stay, with NULLs.
+    """
+    partner = (tie_history.groupBy(left_sk).agg(_at_latest(right_sk, ts, tie, as_of))
+               .select(F.col(left_sk).alias("__left"), F.col(right_sk)))
+    out = left.join(partner, left[left_sk] == F.col("__left"), "left").drop("__left")
+    other = right.withColumnRenamed(right_sk, "__right")
+    return out.join(other, out[right_sk] == other["__right"], "left").drop("__right")

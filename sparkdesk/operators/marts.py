@@ -2,36 +2,53 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from sparkdesk.operators.joins import left_join_nulls_apart
 from sparkdesk.session import write_scratch
 
 
-def resolve_hierarchy(content: DataFrame, id_col: str, parent_col: str, max_steps: int = 64) -> DataFrame:
-    """``(id, parent_id, grandparent_id, root_id, level)`` (episode -> season -> series,
+def resolve_hierarchy(content: DataFrame, id_col: str, parent_col: str, carry: Sequence[str] = ()) -> DataFrame:
+    """``(id, parent_id, grandparent_id, root_id, level, *carry)`` (episode -> season -> series,
     trailer -> film), for any depth.
 
-    Each round moves all rows that still have a parent one step up, by one left join, and
-    ends when no row moved; rows at their root (NULL parent) stay out of the join's shuffle.
-    ``level`` 0 is a root.  A parent id that is not in the table is kept as given and is the
-    root.  A row that has not reached its root after ``max_steps`` is in a cycle: an error.
+    Every row points to a row above it; each round it jumps to where that one points, so the
+    jumps double and depth d takes about log2 d joins.  ``level`` 0 is a root.  A parent id that
+    is not in the table is kept as given and is the root; a row without an id stays its own.
+    Rows that are still on their way after more steps than there are rows are on or below a
+    cycle: where they point to are exactly the ids on cycles, which the error names.
     """
-    up = content.select(F.col(id_col).alias("__id"), F.col(parent_col).alias("__next"))
-    rows = content.select(F.col(id_col).alias("id"), F.col(parent_col).alias("parent_id"),
-                          F.lit(None).cast(content.schema[parent_col].dataType).alias("grandparent_id"),
-                          F.col(id_col).alias("root_id"), F.lit(0).alias("level"), F.col(parent_col).alias("step"))
-    for done in range(max_steps):
-        joined = left_join_nulls_apart(rows, up, "step", "__id")
-        moved = F.col("step").isNotNull()
-        rows = write_scratch(joined.select(
-            "id", "parent_id", (F.col("__next") if done == 0 else F.col("grandparent_id")).alias("grandparent_id"),
-            F.when(moved, F.col("step")).otherwise(F.col("root_id")).alias("root_id"),
-            (F.col("level") + moved.cast("int")).alias("level"), F.col("__next").alias("step")), "hierarchy")
-        if rows.where("step IS NOT NULL").isEmpty():
-            return rows.drop("step")
-    raise ValueError(f"parents form a cycle, or more than {max_steps} levels")
+    kind = content.schema[id_col].dataType
+    rows = content.select(F.col(id_col).alias("id"), F.col(parent_col).alias("parent_id"), *carry)
+    up = rows.where("id IS NOT NULL").select(F.col("id").alias("__up"), F.col("parent_id").alias("__next"))
+    first = left_join_nulls_apart(rows, up, "parent_id", "__up")
+    # (at, level): where the row points to, so many steps up; open while that has a parent
+    state = first.select(
+        "id", "parent_id", *carry, F.col("__next").alias("grandparent_id"),
+        F.coalesce("__next", "parent_id", "id").cast(kind).alias("at"),
+        (F.col("parent_id").isNotNull().cast("long") + F.col("__next").isNotNull().cast("long")).alias("level"),
+        F.col("__next").isNotNull().alias("open"))
+    steps = 2
+    while True:
+        open_rows = Observation()
+        state = write_scratch(state.observe(open_rows, F.count(F.when(F.col("open"), 1)).alias("open"), F.count("*").alias("rows")),
+                              "hierarchy")
+        seen = open_rows.get
+        if not seen["open"]:
+            return state.select("id", "parent_id", "grandparent_id", F.col("at").alias("root_id"), F.col("level").cast("int"), *carry)
+        if steps > 2 * seen["rows"]:
+            named = [r[0] for r in state.where("open").select("at").distinct().orderBy("at").limit(20).collect()]
+            raise ValueError(f"parents form a cycle through {named}")
+        above = state.where("id IS NOT NULL").select(F.col("id").alias("__id"), F.col("at").alias("__at"), F.col("level").alias("__level"),
+                                                     F.col("open").alias("__open"))
+        jumped = state.where("open").join(above, F.col("at") == F.col("__id"), "left").select(
+            "id", "parent_id", *carry, "grandparent_id", F.coalesce("__at", "at").alias("at"),
+            (F.col("level") + F.coalesce("__level", F.lit(0))).alias("level"), F.coalesce("__open", F.lit(False)).alias("open"))
+        state = state.where("not open").unionByName(jumped)
+        steps *= 2
 
 
 def presence_flags(cols: dict[str, str]) -> list[Column]:

@@ -13,7 +13,7 @@ _QUERIES: dict[str, QueryFn] = {}
 _ORACLE: dict[str, str] = {}
 
 _PLAN_MODULES = ("flight_reports", "hive_reports", "ingest", "quality", "vault", "marts",
-                 "learning")
+                 "history", "learning")
 
 
 def query(name: str, sql: str | None = None):
@@ -29,11 +29,7 @@ def query(name: str, sql: str | None = None):
 
 def _load() -> None:
     for mod in _PLAN_MODULES:
-        try:
-            importlib.import_module(f"sparkdesk.plans.{mod}")
-        except ModuleNotFoundError as e:
-            if e.name != f"sparkdesk.plans.{mod}":
-                raise
+        importlib.import_module(f"sparkdesk.plans.{mod}")
 
 
 def all_queries() -> dict[str, QueryFn]:
