@@ -121,7 +121,8 @@ def links(fps: DataFrame, *, radius: int = 3, small_bucket: int = SMALL_BUCKET)
         tables = _tables(spark, parents, radius)
         keyed = (rows.join(F.broadcast(tables), "parent")
                  .select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp").distinct())
-        sizes = keyed.groupBy("mask", "key").agg(F.count("*").alias("n")).filter("n > 1")
+        # written first: the join below does not reuse its partitions and can split a large bucket
+        sizes = write_scratch(keyed.groupBy("mask", "key").agg(F.count("*").alias("n")).filter("n > 1"), "simhash_sizes")
         level = write_scratch(keyed.join(sizes, ["mask", "key"]), "simhash_buckets")
         buckets = (level.filter(F.col("n") <= small_bucket).groupBy("mask", "key")
                    .agg(F.collect_list("fp").alias("members")).select("members"))

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkdesk.llm.common import documents
+from sparkdesk.llm.common import documents, text_key
 from sparkdesk.session import write_scratch
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -81,7 +81,8 @@ def _signed(x: np.ndarray) -> np.ndarray:
 
 
 def _first_level(docs: DataFrame, window: int) -> DataFrame:
-    """(doc_id, n_words, sha, parts): a document's words as one digest, and its distinct minimisers."""
+    """(doc_id, key, n_words, sha, parts) of (doc_id, text, key): a row's words as one digest, and its
+    distinct minimisers."""
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = _Hasher()
@@ -93,40 +94,41 @@ def _first_level(docs: DataFrame, window: int) -> DataFrame:
                 digests.append(hashlib.sha256(b" ".join(words)).hexdigest())
                 least = _windows(hasher(words), window)[0] if len(words) >= window else np.empty(0, np.uint64)
                 parts.append(_signed(np.unique(least)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_words, pa.int64()), pa.array(digests, pa.string()),
-                                              pa.array(parts, pa.list_(pa.int64()))], ["doc_id", "n_words", "sha", "parts"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(n_words, pa.int64()), pa.array(digests, pa.string()),
+                                              pa.array(parts, pa.list_(pa.int64()))], ["doc_id", "key", "n_words", "sha", "parts"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(work, f"doc_id {kind}, n_words bigint, sha string, parts array<bigint>")
+    return docs.mapInArrow(work, f"doc_id {kind}, key bigint, n_words bigint, sha string, parts array<bigint>")
 
 
 def _second_level(candidates: DataFrame, window: int) -> DataFrame:
-    """(part, whole, doc_id, at): the windows that hold a repeated part, at the full length."""
+    """(part, whole, doc_id, key, at) of (doc_id, key, text, repeated): the windows that hold a repeated
+    part, at the full length."""
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = _Hasher()
         for batch in batches:
-            for doc, text, repeated in zip(*batch.columns):
+            for doc, key, text, repeated in zip(*batch.columns):
                 least, whole = _windows(hasher(text.as_py().encode().split()), window)
                 at = np.flatnonzero(np.isin(_signed(least), np.asarray(repeated.values)))
                 for i in range(0, len(at), 100_000):
                     here = at[i:i + 100_000]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(_signed(least[here])), pa.array(_signed(whole[here])),
-                         pa.array([doc.as_py()] * len(here), doc.type), pa.array(here.astype(np.int32))],
-                        ["part", "whole", "doc_id", "at"])
+                         pa.array([doc.as_py()] * len(here), doc.type), pa.array([key.as_py()] * len(here), key.type),
+                         pa.array(here.astype(np.int32))], ["part", "whole", "doc_id", "key", "at"])
 
     kind = candidates.schema["doc_id"].dataType.simpleString()
-    return candidates.mapInArrow(work, f"part bigint, whole bigint, doc_id {kind}, at int")
+    return candidates.mapInArrow(work, f"part bigint, whole bigint, doc_id {kind}, key bigint, at int")
 
 
 def _without(rows: DataFrame, window: int) -> DataFrame:
-    """(doc_id, n_removed, kept_text) of (doc_id, text, gone), gone being places of repeated windows."""
+    """(doc_id, key, n_removed, kept_text) of (doc_id, key, text, gone), gone being places of repeated windows."""
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             removed, kept = [], []
-            for text, gone in zip(batch.column(1), batch.column(2)):
+            for text, gone in zip(batch.column(2), batch.column(3)):
                 words = text.as_py().encode().split()
                 change = np.zeros(len(words) + 1, np.int64)
                 at = np.asarray(gone.values)
@@ -135,11 +137,11 @@ def _without(rows: DataFrame, window: int) -> DataFrame:
                 covered = np.cumsum(change)[:-1] > 0
                 removed.append(int(covered.sum()))
                 kept.append(b" ".join(w for w, c in zip(words, covered.tolist()) if not c).decode())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(removed, pa.int64()), pa.array(kept, pa.string())],
-                                             ["doc_id", "n_removed", "kept_text"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(removed, pa.int64()),
+                                              pa.array(kept, pa.string())], ["doc_id", "key", "n_removed", "kept_text"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(work, f"doc_id {kind}, n_removed bigint, kept_text string")
+    return rows.mapInArrow(work, f"doc_id {kind}, key bigint, n_removed bigint, kept_text string")
 
 
 def _repeats(pairs: DataFrame, *key: str) -> DataFrame:
@@ -155,32 +157,35 @@ def remove_repeats(docs: DataFrame, *, window: int = 50, id_col: str = "doc_id",
     over it also starts in a document with a smaller doc_id, judged on the input.
 
     Null, empty and short texts lose nothing; a row without a doc_id neither loses words nor
-    takes any from others; rows that share a doc_id are taken as copies of one document; very
-    long texts are worked on whole, one at a time; an empty table gives no rows; other
-    columns are ignored.
+    takes any from others; rows that share a doc_id are judged each by its own text, and take
+    nothing from each other; very long texts are worked on whole, one at a time; repeated rows
+    lose the same words; an empty table gives no rows; other columns are ignored.
     """
     d = documents(docs, id_col, text_col)
+    d = d.select("doc_id", "text", text_key(F.col("text")).alias("key"))
     level = write_scratch(_first_level(d, window), "substring_parts")
     known = level.filter(F.col("doc_id").isNotNull() & (F.col("n_words") >= window))
     # written first: the join below can then split the rows of a text with many copies
     copies = write_scratch(known.groupBy("sha", "n_words").agg(F.min("doc_id").alias("first_copy")), "substring_copies")
     known = known.join(copies, ["sha", "n_words"])
-    whole = known.filter("doc_id > first_copy").select(F.col("doc_id").alias("copy_id")).distinct()
-    parts = known.filter("doc_id = first_copy").select("doc_id", F.explode("parts").alias("part")).distinct()
+    named = lambda df, *more: df.select(F.col("doc_id").alias("id"), F.col("key").alias("id_key"), *more)
+    same = (F.col("doc_id") == F.col("id")) & (F.col("key") == F.col("id_key"))
+    whole = named(known.filter("doc_id > first_copy"), F.lit(True).alias("is_copy")).distinct()
+    parts = known.filter("doc_id = first_copy").select("doc_id", "key", F.explode("parts").alias("part")).distinct()
     parts = write_scratch(parts, "substring_first")
     # repeated keys are written first: the join above them can then split a hot key's rows
     shared = parts.join(write_scratch(_repeats(parts, "part").select("part"), "substring_repeated"), "part")
-    shared = shared.groupBy(F.col("doc_id").alias("id")).agg(F.collect_set("part").alias("repeated"))
-    candidates = write_scratch(d.join(shared, F.col("doc_id") == F.col("id")).dropDuplicates(["doc_id"])
-                               .select("doc_id", "text", "repeated"), "substring_candidates")
-    result = level.join(whole, F.col("doc_id") == F.col("copy_id"), "left")
+    shared = shared.groupBy(F.col("doc_id").alias("id"), F.col("key").alias("id_key")).agg(F.collect_set("part").alias("repeated"))
+    candidates = write_scratch(d.join(shared, same).dropDuplicates(["doc_id", "key"])
+                               .select("doc_id", "key", "text", "repeated"), "substring_candidates")
     windows = write_scratch(_second_level(candidates, window), "substring_windows")
     repeated = write_scratch(_repeats(windows, "part", "whole"), "substring_repeated")
     found = (windows.join(repeated, ["part", "whole"]).filter("doc_id > first")
-             .groupBy(F.col("doc_id").alias("id")).agg(F.collect_set("at").alias("gone")))
-    kept = _without(candidates.join(found, F.col("doc_id") == F.col("id")).select("doc_id", "text", "gone"), window)
-    result = result.join(kept.withColumnRenamed("doc_id", "kept_id"), F.col("doc_id") == F.col("kept_id"), "left")
-    is_copy = F.col("copy_id").isNotNull()
+             .groupBy(F.col("doc_id").alias("id"), F.col("key").alias("id_key")).agg(F.collect_set("at").alias("gone")))
+    kept = _without(candidates.join(found, same).select("doc_id", "key", "text", "gone"), window)
+    changed = named(kept, "n_removed", "kept_text", F.lit(False).alias("is_copy")).unionByName(whole, allowMissingColumns=True)
+    result = level.join(changed, same, "left")
+    is_copy = F.coalesce("is_copy", F.lit(False))
     kept_text = F.when(is_copy, F.lit("")).otherwise(F.col("kept_text"))
     return result.select(
         "doc_id", "n_words", F.when(is_copy, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("bigint").alias("n_removed"),

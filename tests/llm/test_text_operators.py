@@ -499,6 +499,19 @@ def test_substrings(docs, rows, window):
     assert all(r.n_removed == 0 for r in got[None]) and got[23][0] == got[23][1]
 
 
+@pytest.mark.parametrize("swap", [False, True])
+def test_substrings_of_rows_that_share_an_id(spark, swap):
+    """Each row of a shared doc_id keeps its own words, in either order."""
+    words = vocabulary(11, 900)
+    a, b, other = " ".join(words[:60]), " ".join(words[100:160]), " ".join(words[200:280])
+    rows = [(1, a), (2, b), (5, " ".join(words[300:310]) + " " + a), (5, " ".join(words[400:433]) + " " + b), (5, other), (6, other), (5, other)]
+    rows = rows[::-1] if swap else rows
+    got = substrings.remove_repeats(frame(spark, [(i, t, None, None) for i, t in rows])).collect()
+    kept = [(1, 60, 0, a), (2, 60, 0, b), (5, 70, 60, " ".join(words[300:310])), (5, 93, 60, " ".join(words[400:433])),
+            (5, 80, 0, other), (5, 80, 0, other), (6, 80, 80, "")]
+    assert sorted((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got) == sorted((i, n, m, sha(t)) for i, n, m, t in kept)
+
+
 def test_substring_copies_are_joined_without_their_aggregate(docs, monkeypatch):
     """A join that reuses the aggregate's partitions could not split a hot text's rows."""
     plans, write = {}, substrings.write_scratch
