@@ -17,7 +17,7 @@ from sparkdesk.plans.registry import all_queries  # noqa: E402
 from sparkdesk.session import build_session  # noqa: E402
 
 # Model fitting keys are timed too, but listed last (they dominate the total).
-ML_KEYS = {"features_vector", "rf_classify", "rf_regress", "gbt_classify", "tvs_select",
+ML_KEYS = {"features_vector", "rf_classify", "rf_regress", "gbt_classify",
            "train_report", "score_batch", "select_rf_classify", "select_rf_regress", "select_rf_three",
            "select_gbt"}
 

@@ -1,9 +1,9 @@
 from sparkdesk.functions.text import (card_mask, card_mask_pandas, iso_weekday, day_range,
-                                      strip_ws, split_field)
+                                      strip_ws)
 from sparkdesk.functions.stats import safe_corr, round_half
 from sparkdesk.functions.keys import hash_key
 
 from sparkdesk.functions.stats import exact_avg, exact_sum
 
 __all__ = ["exact_avg", "exact_sum", "card_mask", "card_mask_pandas", "iso_weekday", "day_range", "strip_ws",
-           "split_field", "safe_corr", "round_half", "hash_key"]
+           "safe_corr", "round_half", "hash_key"]

@@ -37,6 +37,12 @@ def usable(col, scale: int = 6, precision: int = 26) -> Column:
     return F.when(~F.isnan(whole) & (F.abs(whole) < F.lit(10.0 ** (precision - scale))), c)
 
 
+def left_out(col, scale: int = 6, precision: int = 26) -> Column:
+    """How many values :func:`usable` leaves out of a sum or mean (NULLs are no values): a
+    report that gives it beside the sum accounts for every number."""
+    return F.count(_c(col)) - F.count(usable(col, scale, precision))
+
+
 def exact_sum(col, scale: int = 6, precision: int = 26) -> Column:
     """Sum through ``decimal(precision, scale)``: exact and order-independent, so the
     same on every engine and every partitioning.

@@ -16,7 +16,7 @@ MASK_START = 5
 MASK_LEN = 8
 
 # Characters a Python str.strip() removes in the taxi lines we care about.
-_WS = " \t\r\n\x0b\x0c"
+WHITE = " \t\r\n\x0b\x0c"
 
 
 def _c(col) -> Column:
@@ -25,12 +25,7 @@ def _c(col) -> Column:
 
 def strip_ws(col) -> Column:
     """Trim space, tab, CR, LF, VT and FF from both ends (Python ``str.strip`` on ASCII)."""
-    return F.regexp_replace(_c(col), r"^[ \t\r\n\x0B\f]+|[ \t\r\n\x0B\f]+$", "")
-
-
-def split_field(col, idx: int, sep: str = ",") -> Column:
-    """Field ``idx`` (0-based) of a delimited string; NULL when the line is too short."""
-    return F.get(F.split(_c(col), sep), F.lit(idx))
+    return F.btrim(_c(col), F.lit(WHITE))
 
 
 def card_mask(col) -> Column:

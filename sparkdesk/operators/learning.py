@@ -98,7 +98,7 @@ def select_model(estimator, model, values: Mapping[str, Sequence], evaluator, tr
 
 def select_on_features(feature_stages: Sequence, model, values: Mapping[str, Sequence], evaluator,
                        train: DataFrame, train_ratio: float = 0.8, seed: int = 42,
-                       parallelism: int = 4):
+                       parallelism: int = 4, partitions: int = TRAIN_PARTITIONS):
     """Grid selection with the feature stages outside the grid.
 
     The indexers and the assembler are fitted once on ``train``; only the
@@ -108,7 +108,7 @@ def select_on_features(feature_stages: Sequence, model, values: Mapping[str, Seq
     the feature stages followed by the best learner, refitted on all of ``train``.
     """
     feats = Pipeline(stages=list(feature_stages)).fit(train)
-    narrow = spread(feats.transform(train).select(model.getLabelCol(), "features")) \
+    narrow = spread(feats.transform(train).select(model.getLabelCol(), "features"), partitions) \
         .persist(StorageLevel.MEMORY_AND_DISK)
     try:
         tvs = select_model(model, model, values, evaluator, narrow, train_ratio, seed, parallelism)

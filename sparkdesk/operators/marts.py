@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkdesk.operators.joins import left_join_nulls_apart
@@ -33,10 +33,8 @@ def resolve_hierarchy(content: DataFrame, id_col: str, parent_col: str, carry: S
         F.col("__next").isNotNull().alias("open"))
     steps = 2
     while True:
-        open_rows = Observation()
-        state = write_scratch(state.observe(open_rows, F.count(F.when(F.col("open"), 1)).alias("open"), F.count("*").alias("rows")),
-                              "hierarchy")
-        seen = open_rows.get
+        state = write_scratch(state, "hierarchy")
+        seen = state.agg(F.count(F.when(F.col("open"), 1)).alias("open"), F.count("*").alias("rows")).first()
         if not seen["open"]:
             return state.select("id", "parent_id", "grandparent_id", F.col("at").alias("root_id"), F.col("level").cast("int"), *carry)
         if steps > 2 * seen["rows"]:

@@ -10,6 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkdesk.operators.lines import PAYMENT_TYPES
+from sparkdesk.operators.numbering import dense_numbers
+
 # Event type -> taxi payment code used by the line stand-in.
 EVENT_PAYMENT_CODE = {"click": "1", "error": "2", "purchase": "3", "signup": "4", "view": "5"}
 
@@ -118,53 +121,50 @@ SELECT TRY_CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS payment_type,
 FROM orders
 """
 
-PAYMENT_VALUES_SQL = ("(VALUES (1, 'Credit card'), (2, 'Cash'), (3, 'No charge'), (4, 'Dispute'), "
-                      "(5, 'Unknown'), (6, 'Voided trip')) AS p(id, name)")
+PAYMENT_VALUES_SQL = "(VALUES " + ", ".join(f"({i}, '{name}')" for i, name in PAYMENT_TYPES) + ") AS p(id, name)"
 
 
 PAGE_SIZE = 20
 
 
 def conversation_pages(conversations: DataFrame) -> DataFrame:
-    """Conversations as landed API pages of ``PAGE_SIZE`` locations.
+    """Conversations as landed API pages of ``PAGE_SIZE`` locations, of those that are there.
 
     A location is one conversation: id = conv_id, name = 'conversation <id>',
     type = role of the first turn, dimension = role of the last turn,
-    residents = the distinct roles that spoke in it, sorted.  Page n holds ids
-    with ``id div PAGE_SIZE = n - 1`` in id order.
-
-    Per conversation only aggregates are computed (``collect_set`` of the
-    role, ``min_by`` / ``max_by``), all with map-side partial results.  A
-    location's resident list is bounded by the number of roles, not by the
-    number of turns, and a page holds at most ``PAGE_SIZE`` locations, so no
-    row grows with a conversation's length.
+    residents = the distinct speakers, a role and the last digit of its text's length.
+    Locations are numbered in id order over the ids present, so pages have no gaps.
+
+    Per conversation only aggregates are computed (``collect_set``, ``min_by`` /
+    ``max_by``), all with map-side partial results.  A resident list is bounded by ten
+    times the number of roles, and a page holds at most ``PAGE_SIZE`` locations, so no
+    row grows with a conversation's length.  ``pages`` (how many there are) comes from the
+    numbers, not from the finished pages.
     """
+    speaker = F.concat("role", F.lit(" "), (F.length("text") % 10).cast("string"))
     conv = conversations.groupBy("conv_id").agg(
-        F.array_sort(F.collect_set("role")).alias("speakers"),
+        F.array_sort(F.collect_set(speaker)).alias("speakers"),
         F.min_by("role", "turn").alias("first_role"),
         F.max_by("role", "turn").alias("last_role"))
-    loc = conv.select(
-        (F.floor(F.col("conv_id") / PAGE_SIZE) + 1).cast("int").alias("page"),
-        F.col("conv_id"),
+    numbered = dense_numbers(conv, ["conv_id"], "place")
+    loc = numbered.select(
+        (F.floor(F.col("place") / PAGE_SIZE) + 1).cast("int").alias("page"), "place",
         F.struct(F.col("conv_id").alias("id"),
                  F.concat(F.lit("conversation "), F.col("conv_id").cast("string")).alias("name"),
                  F.col("first_role").alias("type"),
                  F.col("last_role").alias("dimension"),
                  F.col("speakers").alias("residents")
                  ).alias("loc"))
-    pages = loc.groupBy("page").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("conv_id", "loc"))),
-                    lambda x: x["loc"]).alias("results"))
-    return pages
+    pages = loc.groupBy("page").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "loc"))), lambda x: x["loc"]).alias("results"))
+    return pages.withColumn("pages", F.lit(loc.agg(F.max("page")).first()[0] or 0))
 
 
 CONVERSATION_LOCATIONS_SQL = f"""
-SELECT CAST(floor(conv_id / {PAGE_SIZE}) + 1 AS INTEGER) AS page,
-       CAST(row_number() OVER (PARTITION BY floor(conv_id / {PAGE_SIZE}) ORDER BY conv_id) - 1 AS INTEGER) AS pos,
-       conv_id AS id,
+SELECT CAST(floor(place / {PAGE_SIZE}) + 1 AS INTEGER) AS page, CAST(place % {PAGE_SIZE} AS INTEGER) AS pos, * EXCLUDE (place)
+FROM (SELECT row_number() OVER (ORDER BY conv_id) - 1 AS place, conv_id AS id,
        'conversation ' || CAST(conv_id AS VARCHAR) AS name,
        arg_min(role, turn) AS type,
        arg_max(role, turn) AS dimension,
-       CAST(count(DISTINCT role) AS INTEGER) AS residents_cnt
-FROM conversations GROUP BY conv_id
+       CAST(count(DISTINCT role || ' ' || CAST(length(text) % 10 AS VARCHAR)) AS INTEGER) AS residents_cnt
+FROM conversations GROUP BY conv_id)
 """

@@ -9,6 +9,7 @@ events by day; CSV tables <- customer written as CSV.
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,10 +18,11 @@ from sparkdesk.functions.stats import exact_avg, exact_sum
 from sparkdesk.functions.text import day_range
 from sparkdesk.operators import lines as line_ops
 from sparkdesk.operators import reports
+from sparkdesk.operators.numbering import dense_numbers
 from sparkdesk.plans import analogues as an
 from sparkdesk.plans.registry import query
-from sparkdesk.session import scratch_path
-from sparkdesk.sinks import writers
+from sparkdesk.session import scratch_path, write_scratch
+from sparkdesk.sinks import catalog, writers
 from sparkdesk.sources import files
 from sparkdesk.sources.tables import table
 from sparkdesk.streaming.line_report import run_incremental_tip_report
@@ -97,6 +99,56 @@ def lines_avg(spark, sf_dir):
     return line_ops.avg_tip_by_month_label(parsed, line_ops.payment_dim(spark), mean_fn=exact_avg)
 
 
+_EXTRA = {"malformed": (an.BLANK_EVERY, an.SHORT_EVERY), "other_year": (an.OTHER_YEAR_EVERY,), "unknown_payment": (an.CODE_X_EVERY, an.CODE_7_EVERY),
+          "no_payment": (an.CODE_EMPTY_EVERY,), "bad_tip": (an.TIP_TEXT_EVERY, an.TIP_EMPTY_EVERY),
+          "tip_out_of_range": (an.TIP_NAN_EVERY, an.TIP_HUGE_EVERY)}
+
+
+@query("lines_outcomes", sql="WITH e AS (SELECT event_id FROM events) SELECT 'header' AS outcome, 1::BIGINT AS lines"
+       + "".join(f" UNION ALL SELECT '{o}', " + " + ".join(f"count(*) FILTER (event_id % {n} = 0)" for n in every) + " FROM e"
+                 for o, every in _EXTRA.items())
+       + " UNION ALL SELECT 'ok', count(*) FROM e UNION ALL SELECT 'lines', 1 + count(*) + "
+       + " + ".join(f"count(*) FILTER (event_id % {n} = 0)" for every in _EXTRA.values() for n in every) + " FROM e")
+def lines_outcomes(spark, sf_dir):
+    """What became of every line, counted in the pass that makes the report: outcomes add up to the lines."""
+    raw = files.read_lines(spark, _trip_lines_path(spark, sf_dir))
+    _, outcomes = line_ops.tip_report(raw, line_ops.payment_dim(spark), an.LINE_YEAR)
+    return outcomes.unionByName(outcomes.agg(F.sum("lines").alias("lines")).withColumn("outcome", F.lit("lines")))
+
+
+@query("tip_lines", sql=f"""
+SELECT row_number() OVER (ORDER BY month, payment) - 1 AS place, month || ',' || payment || ',' || printf('%.4f', avg_tip) AS line
+FROM ({LINES_AVG_SQL})
+""")
+def tip_lines(spark, sf_dir):
+    """The report as ordered result lines, written as text and read back in file order."""
+    raw = files.read_lines(spark, _trip_lines_path(spark, sf_dir))
+    report, _ = line_ops.tip_report(raw, line_ops.payment_dim(spark), an.LINE_YEAR)
+    path = scratch_path(spark, "tip_lines")
+    writers.write_lines(report.withColumn("avg_tip", F.printf(F.lit("%.4f"), "avg_tip")), path, ["month", "payment", "avg_tip"])
+    lines = files.read_lines(spark, path).select(F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                                                 F.monotonically_increasing_id().alias("i"), F.col("value").alias("line"))
+    return dense_numbers(lines, ["file", "block", "i"], "place").select("place", "line")
+
+
+@query("cte_insert", sql="""
+WITH t AS (SELECT TRY_CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS id, o_orderpriority AS name FROM orders)
+SELECT DISTINCT id, name FROM t UNION ALL SELECT 9, 'by hand'
+""")
+def cte_insert(spark, sf_dir):
+    """A dictionary table with one row by hand, filled from a common table expression."""
+    name = f"payment_{uuid.uuid4().hex[:12]}"
+    catalog.create_table_if_absent(spark, name, "id int, name string", location=scratch_path(spark, "payment"))
+    try:
+        catalog.insert(spark.createDataFrame([(9, "by hand")], "id int, name string"), name)
+        seen = table(spark, sf_dir, "orders").select(F.substring("o_orderpriority", 1, 1).try_cast("int").alias("id"),
+                                                     F.col("o_orderpriority").alias("name"))
+        catalog.insert_with(spark, name, {"t": seen}, "SELECT DISTINCT id, name FROM t")
+        return write_scratch(spark.table(name), "payment_read")
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
 @query("lines_avg_incremental", sql=LINES_AVG_SQL)
 def lines_avg_incremental(spark, sf_dir):
     """The same report fed by a landing folder: lines land as one file per

@@ -9,6 +9,7 @@ from sparkdesk.operators import pages as page_ops
 from sparkdesk.plans import analogues as an
 from sparkdesk.plans.registry import query
 from sparkdesk.session import scratch_path
+from sparkdesk.sinks import publish
 from sparkdesk.sources import files
 from sparkdesk.sources.tables import table
 
@@ -41,11 +42,10 @@ def mask_card_udf(spark, sf_dir):
 def _landed_pages(spark, sf_dir):
     """Land the stand-in pages as JSON lines (one page document per line) and read them back."""
     pages = an.conversation_pages(table(spark, sf_dir, "conversations"))
-    n_pages = pages.agg(F.max("page")).first()[0] or 0
     docs = pages.select(F.to_json(F.struct(
         F.col("page"),
         F.struct(F.size("results").cast("long").alias("count"),
-                 F.lit(n_pages).cast("int").alias("pages")).alias("info"),
+                 F.col("pages").cast("int").alias("pages")).alias("info"),
         F.col("results"))).alias("value"))
     path = scratch_path(spark, "location_pages")
     docs.write.mode("overwrite").text(path)
@@ -67,6 +67,21 @@ def pages_top3(spark, sf_dir):
     return page_ops.top_locations(page_ops.explode_pages(_landed_pages(spark, sf_dir)), 3)
 
 
+@query("publish_daily", sql=f"""
+SELECT id, name, type, dimension, residents_cnt FROM ({an.CONVERSATION_LOCATIONS_SQL})
+ORDER BY residents_cnt DESC, page, pos LIMIT 3
+""")
+def publish_daily(spark, sf_dir):
+    """Extract, stage, check and publish the top locations: a day before with other rows, then
+    the run date twice; readers get the last version, once."""
+    root, pages = scratch_path(spark, "top_locations"), None
+    for ds, k in (("2024-01-16", 5), (RUN_DATE, 3), (RUN_DATE, 3)):
+        pages = _landed_pages(spark, sf_dir) if pages is None else pages
+        publish.run_daily(spark, root, ds, lambda: page_ops.explode_pages(pages),
+                          lambda df: page_ops.top_locations(df, k), unique_keys=["id"])  # noqa: B023
+    return publish.published(spark, root)
+
+
 @query("weekday_lookup", sql=f"""
 SELECT n_name AS heading FROM nation WHERE n_nationkey = isodow(DATE '{RUN_DATE}')
 """)

@@ -1,9 +1,14 @@
-"""ML jobs on lineitem: "is returned" classification, price regression,
-train/validation selection, save/load scoring and the metric reports.
+"""ML jobs on lineitem: classification, price regression, train/validation selection over the
+whole grids, save/load scoring and the metric reports.
 
-The four ``select_*`` jobs fit whole grids (12, 20, 27 and 8 candidates) on a bounded
-sample of the labelled rows (``LABELLED_ROWS``) and predict all held-out rows.  Their split
-is plain arithmetic on the row's key, so SQL can check the held-out rows they report on.
+The label is the line's net quantity, l_quantity * (1 - l_discount): itself for the
+regression, and whether it exceeds ``LARGE`` for the classification, so the features can tell
+it.  The split is plain arithmetic on the row's key.  Each job gives one summary row, whose
+SQL twin knows the held-out rows, the number of candidates and the error of the best constant
+prediction: a model that does no better than the constant by a stated margin fails.
+
+Classifiers are fitted on a bounded sample of the labelled rows (``LABELLED_ROWS``), the
+regressor on all of them; all held-out rows are predicted.
 """
 
 from __future__ import annotations
@@ -14,26 +19,68 @@ from pyspark.sql import functions as F
 
 from sparkdesk.operators import learning as ml
 from sparkdesk.plans.registry import query
-from sparkdesk.session import scratch_path
+from sparkdesk.session import scratch_path, write_scratch
 from sparkdesk.sources.tables import table
 
 SEED = 42
 IDS = ["l_orderkey", "l_linenumber"]
 CATEGORICAL = ["l_linestatus"]
+FEATURES = ["l_quantity", "l_discount", "l_tax", "l_linestatus_index", "l_linenumber"]
 CLF_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linestatus_index", "l_linenumber"]
-REG_FEATURES = ["l_quantity", "l_discount", "l_tax", "l_linestatus_index", "l_linenumber"]
-CLF_LABEL, REG_LABEL = "is_returned", "l_extendedprice"
+CLF_LABEL, REG_LABEL = "is_large", "net"
+#: A line is large above this net quantity: somewhat less than half of them are.
+LARGE = 25
+#: Most labelled rows that a classifier is fitted on: the smallest by a hash of the key.
+LABELLED_ROWS = 20_000
+HELD_OUT = "(l_orderkey * 7 + l_linenumber * 3) % 10 >= 8"
+TWO_INDEXED = ["l_linestatus", "l_shipmode_group"]
+#: Training partitions of a bounded sample, and rows that one holds in a larger table.
+SAMPLE_PARTITIONS, ROWS_A_PARTITION = 4, 50_000
+#: What a model must leave of the best constant's error, at most.
+SHARE_OF_CONSTANT = 0.5
 
 
 def frame(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
+    net = F.col("l_quantity") * (1 - F.col("l_discount"))
+    group = F.concat(F.lit("g"), (F.col("l_linenumber") % 3).cast("string"))
     return li.select(*IDS, "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linestatus",
-                     (F.col("l_returnflag") == "R").cast("double").alias(CLF_LABEL))
-
-
-def split(spark, sf_dir):
-    train, test = ml.hash_split(frame(spark, sf_dir), [0.8, 0.2], seed=SEED)
-    return train, test
+                     group.alias("l_shipmode_group"), net.alias(REG_LABEL), (net > LARGE).cast("double").alias(CLF_LABEL))
+
+
+def split(spark, sf_dir, bounded=True):
+    """(rows to fit on, all held-out rows, training partitions); the bound is for classifiers."""
+    rows, test = frame(spark, sf_dir), F.expr(HELD_OUT)
+    train = rows.where(~test)
+    if bounded:
+        return train.orderBy(F.xxhash64(*IDS), *IDS).limit(LABELLED_ROWS), rows.where(test), SAMPLE_PARTITIONS
+    return train, rows.where(test), max(SAMPLE_PARTITIONS, -(-train.count() // ROWS_A_PARTITION))
+
+
+def _summary(pred, label, **more):
+    """One row: held-out rows, their label sum, whether predictions lie where the label can, and
+    whether their error is at most ``SHARE_OF_CONSTANT`` of the best constant's."""
+    p, y = F.col("prediction"), F.col(label)
+    if label == CLF_LABEL:
+        fits, error = p.isin(0.0, 1.0), F.avg((p != y).cast("double"))
+        constant = F.least(F.avg(y), 1 - F.avg(y))
+    else:
+        fits, error = p.between(0.0, 100.0), F.sqrt(F.avg(F.pow(y - p, F.lit(2))))
+        constant = F.stddev_pop(y)
+    return pred.agg(F.count("*").alias("test_rows"), F.round(F.sum(y), 2).alias("label_sum"), F.round(constant, 6).alias("constant_error"),
+                    F.bool_and(fits).alias("in_domain"), (error <= SHARE_OF_CONSTANT * constant).alias("beats_constant"),
+                    *[F.lit(v).alias(k) for k, v in more.items()])
+
+
+def _summary_sql(label, more=""):
+    net = "(l_quantity * (1 - l_discount))"
+    y = f"({net} > {LARGE})::INT::DOUBLE" if label == CLF_LABEL else net
+    constant = f"least(avg({y}), 1 - avg({y}))" if label == CLF_LABEL else f"stddev_pop({y})"
+    return f"""
+SELECT count(*) AS test_rows, round(sum({y}), 2) AS label_sum, round({constant}, 6) AS constant_error, true AS in_domain,
+       true AS beats_constant{more}
+FROM lineitem WHERE {HELD_OUT}
+"""
 
 
 @query("features_encode", sql="""
@@ -70,133 +117,110 @@ def features_vector(spark, sf_dir):
 
 
 def _fit_predict(spark, sf_dir, kind, label, features, **params):
-    train, test = split(spark, sf_dir)
+    train, test, partitions = split(spark, sf_dir, bounded=label == CLF_LABEL)
     # indexer fit, assembler and the tree learner each pass over the training rows
-    train = ml.spread(train).persist(StorageLevel.MEMORY_AND_DISK)
+    train = ml.spread(train, partitions).persist(StorageLevel.MEMORY_AND_DISK)
     model = ml.pipeline(CATEGORICAL, features, ml.learner(kind, label, seed=SEED, **params)).fit(train)
     train.unpersist()
     return model, model.transform(test).select(*IDS, label, "prediction")
 
 
-@query("rf_classify")
+@query("rf_classify", sql=_summary_sql(CLF_LABEL))
 def rf_classify(spark, sf_dir):
-    return _fit_predict(spark, sf_dir, "rf_classifier", CLF_LABEL, CLF_FEATURES, numTrees=10, maxDepth=4)[1]
+    return _summary(_fit_predict(spark, sf_dir, "rf_classifier", CLF_LABEL, CLF_FEATURES, maxDepth=5)[1], CLF_LABEL)
 
 
-@query("rf_regress")
+@query("rf_regress", sql=_summary_sql(REG_LABEL))
 def rf_regress(spark, sf_dir):
-    return _fit_predict(spark, sf_dir, "rf_regressor", REG_LABEL, REG_FEATURES, numTrees=10, maxDepth=5)[1]
+    return _summary(_fit_predict(spark, sf_dir, "rf_regressor", REG_LABEL, FEATURES, maxDepth=7)[1], REG_LABEL)
 
 
-@query("gbt_classify")
+@query("gbt_classify", sql=_summary_sql(CLF_LABEL))
 def gbt_classify(spark, sf_dir):
-    return _fit_predict(spark, sf_dir, "gbt_classifier", CLF_LABEL, CLF_FEATURES, maxIter=10, maxDepth=3)[1]
-
-
-TVS_GRID = {"maxDepth": [2, 4], "maxBins": [16, 32]}
-
-
-def _select(spark, sf_dir):
-    train, test = split(spark, sf_dir)
-    rf = ml.learner("rf_classifier", CLF_LABEL, seed=SEED, numTrees=10)
-    best, _ = ml.select_on_features([*ml.indexers(CATEGORICAL), ml.assembler(CLF_FEATURES)], rf,
-                                    TVS_GRID, ml.classifier_evaluator(CLF_LABEL, "f1"), train, seed=SEED)
-    pred = best.transform(test).select(*IDS, CLF_LABEL, "prediction")
-    return best, pred
-
-
-@query("tvs_select")
-def tvs_select(spark, sf_dir):
-    return _select(spark, sf_dir)[1]
-
-
-@query("train_report")
-def train_report(spark, sf_dir):
-    best, pred = _select(spark, sf_dir)
-    metrics = {r["metric"]: r["value"] for r in ml.classification_metrics(pred, CLF_LABEL).collect()}
-    return ml.model_report(spark, best, metrics, run_id="tvs_rf")
+    return _summary(_fit_predict(spark, sf_dir, "gbt_classifier", CLF_LABEL, CLF_FEATURES, maxIter=20, maxDepth=3)[1], CLF_LABEL)
 
 
-@query("score_batch")
-def score_batch(spark, sf_dir):
-    model, _ = _fit_predict(spark, sf_dir, "rf_classifier", CLF_LABEL, CLF_FEATURES, numTrees=10, maxDepth=4)
-    path = scratch_path(spark, "rf_model")
-    ml.save_model(model, path)
-    scoring = frame(spark, sf_dir).drop(CLF_LABEL)
-    return ml.score(path, scoring, IDS)
-
-
-#: Most labelled rows that one selection job is fitted on: the smallest by a hash of the key.
-LABELLED_ROWS = 20_000
-HELD_OUT = "(l_orderkey * 7 + l_linenumber * 3) % 10 >= 8"
-TWO_INDEXED = ["l_linestatus", "l_shipmode_group"]
+#: The grids of the four selection jobs.
+GRID_CLASSIFY = {"maxDepth": [2, 3, 4, 5], "maxBins": [2, 3, 4]}
+GRID_REGRESS = {"maxDepth": [5, 6, 7, 8, 9], "maxBins": [4, 5, 6, 7]}
+GRID_THREE = {"maxDepth": [2, 3, 4], "maxBins": [4, 5, 6], "minInfoGain": [0.05, 0.1, 0.15]}
+GRID_BOOSTED = {"maxDepth": [3, 5], "maxIter": [20, 30], "maxBins": [16, 32]}
 
 
-def _held_out(spark, sf_dir):
-    """(labelled rows to fit on, all held-out rows); two indexed columns."""
-    li = table(spark, sf_dir, "lineitem").withColumn(
-        "l_shipmode_group", F.concat(F.lit("g"), (F.col("l_linenumber") % 3).cast("string")))
-    rows = li.select(*IDS, "l_quantity", "l_extendedprice", "l_discount", "l_tax", *TWO_INDEXED,
-                     (F.col("l_returnflag") == "R").cast("double").alias(CLF_LABEL))
-    test = F.expr(HELD_OUT)
-    train = rows.where(~test).orderBy(F.xxhash64(*IDS), *IDS).limit(LABELLED_ROWS)
-    return train, rows.where(test)
+def _select(spark, sf_dir, kind, label, features, grid, evaluator, categorical=CATEGORICAL):
+    train, test, partitions = split(spark, sf_dir, bounded=label == CLF_LABEL)
+    best, tvs = ml.select_on_features([*ml.indexers(categorical), ml.assembler(features)], ml.learner(kind, label, seed=SEED),
+                                      grid, evaluator, train, seed=SEED, partitions=partitions)
+    return best, len(tvs.getEstimatorParamMaps()), best.transform(test)
 
 
 def _select_job(spark, sf_dir, kind, label, features, grid, evaluator, categorical=CATEGORICAL):
-    """One summary row of a selection job: held-out rows, their label sum, candidates fitted,
-    whether all predictions lie where the label
-    can, and for a regressor whether its held-out rmse is about the label's deviation or less."""
-    train, test = _held_out(spark, sf_dir)
-    best, tvs = ml.select_on_features([*ml.indexers(categorical), ml.assembler(features)],
-                                      ml.learner(kind, label, seed=SEED), grid, evaluator, train, seed=SEED)
-    pred = best.transform(test)
-    p = F.col("prediction")
-    fits = p.isin(0.0, 1.0) if label == CLF_LABEL else p.between(0.0, 1e9)
-    error, spread = F.sqrt(F.avg(F.pow(F.col(label) - p, F.lit(2)))), F.stddev_pop(label)
-    out = pred.agg(F.count("*").alias("test_rows"), F.round(F.sum(label), 2).alias("label_sum"),
-                   F.lit(len(tvs.getEstimatorParamMaps())).cast("bigint").alias("candidates"),
-                   F.bool_and(fits).alias("in_domain"), (error < 1.2 * spread).alias("error_in_bounds"))
-    return out if label == REG_LABEL else out.drop("error_in_bounds")
-
-
-def _select_sql(label, candidates, more=""):
-    return f"""
-SELECT count(*) AS test_rows, round(sum({label}), 2) AS label_sum, CAST({candidates} AS BIGINT) AS candidates,
-       true AS in_domain{more}
-FROM lineitem WHERE {HELD_OUT}
-"""
+    best, candidates, pred = _select(spark, sf_dir, kind, label, features, grid, evaluator, categorical)
+    chosen = best.stages[-1]
+    inside = all(chosen.getOrDefault(name) in values for name, values in grid.items())
+    return _summary(pred, label, candidates=candidates, chosen_in_grid=inside)
 
 
-RETURNED_SQL = "CASE WHEN l_returnflag = 'R' THEN 1.0::DOUBLE ELSE 0 END"
+def _select_sql(label, candidates):
+    return _summary_sql(label, f", {candidates} AS candidates, true AS chosen_in_grid")
 
 
-@query("select_rf_classify", sql=_select_sql(RETURNED_SQL, 12))
+@query("select_rf_classify", sql=_select_sql(CLF_LABEL, 12))
 def select_rf_classify(spark, sf_dir):
-    return _select_job(spark, sf_dir, "rf_classifier", CLF_LABEL, CLF_FEATURES,
-                       {"maxDepth": [2, 3, 4, 5], "maxBins": [8, 16, 32]}, ml.classifier_evaluator(CLF_LABEL, "f1"))
+    return _select_job(spark, sf_dir, "rf_classifier", CLF_LABEL, CLF_FEATURES, GRID_CLASSIFY, ml.classifier_evaluator(CLF_LABEL, "f1"))
 
 
-@query("select_rf_regress", sql=_select_sql("l_extendedprice", 20, ", true AS error_in_bounds"))
+@query("select_rf_regress", sql=_select_sql(REG_LABEL, 20))
 def select_rf_regress(spark, sf_dir):
-    """The regressor's depth and bins by held-out rmse."""
-    return _select_job(spark, sf_dir, "rf_regressor", REG_LABEL, REG_FEATURES,
-                       {"maxDepth": [2, 3, 4, 5, 6], "maxBins": [8, 16, 24, 32]}, ml.regression_evaluator(REG_LABEL))
+    """The regressor's depth and bins by held-out rmse, on all training rows."""
+    return _select_job(spark, sf_dir, "rf_regressor", REG_LABEL, FEATURES, GRID_REGRESS, ml.regression_evaluator(REG_LABEL))
 
 
-@query("select_rf_three", sql=_select_sql(RETURNED_SQL, 27))
+@query("select_rf_three", sql=_select_sql(CLF_LABEL, 27))
 def select_rf_three(spark, sf_dir):
     """Three parameters, two indexed columns."""
-    return _select_job(spark, sf_dir, "rf_classifier", CLF_LABEL, [*CLF_FEATURES, "l_shipmode_group_index"],
-                       {"maxDepth": [2, 3, 4], "maxBins": [8, 16, 32], "minInfoGain": [0.0, 0.01, 0.05]},
+    return _select_job(spark, sf_dir, "rf_classifier", CLF_LABEL, [*CLF_FEATURES, "l_shipmode_group_index"], GRID_THREE,
                        ml.classifier_evaluator(CLF_LABEL, "f1"), categorical=TWO_INDEXED)
 
 
-@query("select_gbt", sql=_select_sql(RETURNED_SQL, 8))
+@query("select_gbt", sql=_select_sql(CLF_LABEL, 8))
 def select_gbt(spark, sf_dir):
-    return _select_job(spark, sf_dir, "gbt_classifier", CLF_LABEL, CLF_FEATURES,
-                       {"maxDepth": [2, 3], "maxIter": [20, 30], "maxBins": [16, 32]},
-                       ml.classifier_evaluator(CLF_LABEL, "f1"))
+    return _select_job(spark, sf_dir, "gbt_classifier", CLF_LABEL, CLF_FEATURES, GRID_BOOSTED, ml.classifier_evaluator(CLF_LABEL, "f1"))
+
+
+@query("train_report", sql="""
+SELECT 'param' AS kind, unnest(['maxBins', 'maxDepth', 'minInfoGain', 'numTrees', 'stage_0', 'stage_0_input', 'stage_1', 'stage_1_inputs', 'stage_2']) AS name,
+       true AS as_expected
+UNION ALL SELECT 'metric', unnest(['accuracy', 'f1', 'weightedPrecision', 'weightedRecall']), true
+""")
+def train_report(spark, sf_dir):
+    """What a tracked run logs, of the selection over a whole grid: each parameter against what
+    the job was given, each metric against that of the best constant prediction."""
+    best, _, pred = _select(spark, sf_dir, "rf_classifier", CLF_LABEL, CLF_FEATURES, GRID_CLASSIFY, ml.classifier_evaluator(CLF_LABEL, "f1"))
+    pred = write_scratch(pred.select(CLF_LABEL, "prediction"), "run_predictions")
+    metrics = {r["metric"]: r["value"] for r in ml.classification_metrics(pred, CLF_LABEL).collect()}
+    report = ml.model_report(spark, best, metrics, run_id="tvs_rf")
+    share = pred.agg(F.greatest(F.avg(CLF_LABEL), 1 - F.avg(CLF_LABEL))).first()[0]
+    given = {**{k: [str(v) for v in vs] for k, vs in GRID_CLASSIFY.items()}, "minInfoGain": ["0.0"], "numTrees": ["20"],
+             "stage_0": ["StringIndexerModel"], "stage_0_input": CATEGORICAL, "stage_1": ["VectorAssembler"],
+             "stage_1_inputs": [",".join(CLF_FEATURES)], "stage_2": ["RandomForestClassificationModel"]}
+    allowed = F.create_map(*[x for k, vs in given.items() for x in (F.lit(k), F.array(*[F.lit(v) for v in vs]))])
+    value = F.col("value").try_cast("double")
+    good = F.when(F.col("kind") == "metric", value.between(1 - SHARE_OF_CONSTANT * (1 - share), 1.0)).otherwise(
+        F.coalesce(F.array_contains(allowed[F.col("name")], F.col("value")), F.lit(False)))
+    return report.select("kind", "name", good.alias("as_expected"))
+
+
+@query("score_batch", sql=_summary_sql(CLF_LABEL, ", true AS same_as_fitted"))
+def score_batch(spark, sf_dir):
+    """The held-out rows scored by a model that was saved and loaded, against the fitted one."""
+    model, _ = _fit_predict(spark, sf_dir, "rf_classifier", CLF_LABEL, CLF_FEATURES, maxDepth=5)
+    path = scratch_path(spark, "rf_model")
+    ml.save_model(model, path)
+    test = split(spark, sf_dir)[1]
+    fitted = model.transform(test).select(*test.columns, F.col("prediction").alias("fitted"))
+    both = write_scratch(ml.score(path, fitted, [*IDS, CLF_LABEL, "fitted"]), "scored")
+    return _summary(both, CLF_LABEL, same_as_fitted=both.where("prediction <> fitted").isEmpty())
 
 
 RULE_SQL = """

@@ -3,7 +3,8 @@ and the stage -> target publish of a full refresh."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +34,23 @@ def insert(df: DataFrame, name: str, overwrite: bool = False) -> None:
     df.write.insertInto(name, overwrite=overwrite)
 
 
+def insert_with(spark: SparkSession, name: str, ctes: Mapping[str, DataFrame], select: str) -> None:
+    """``WITH … INSERT INTO name <select>``: the select names the given frames as common table expressions.
+
+    The frames are temporary views of unlike names for the time of the statement, so
+    callers cannot meet each other's.
+    """
+    views = {cte: f"{cte}_{uuid.uuid4().hex[:12]}" for cte in ctes}
+    try:
+        for cte, view in views.items():
+            ctes[cte].createTempView(view)
+        heads = ", ".join(f"{cte} AS (SELECT * FROM {view})" for cte, view in views.items())
+        spark.sql(f"WITH {heads} INSERT INTO {name} {select}")
+    finally:
+        for view in views.values():
+            spark.catalog.dropTempView(view)
+
+
 def prepare_target(spark: SparkSession, target: str, stage: str, ddl: str) -> None:
     """Create target and stage when absent, empty the stage."""
     create_table_if_absent(spark, target, ddl)

@@ -95,6 +95,10 @@ def staged_full_refresh(df: DataFrame, target: str, stage: str, unique_keys: Seq
 
 def write_lines(df: DataFrame, path: str, cols: Sequence[str], sep: str = ",",
                 mode: str = "overwrite") -> None:
-    """Result lines ``a,b,c`` as plain text (NULL fields become empty)."""
+    """Result lines ``a,b,c`` as plain text (NULL fields become empty).
+
+    Rows that come in an order (``orderBy``: dealt by range) keep it from file to file and
+    within each file, so the files in name order are the ordered lines.
+    """
     line = F.concat_ws(sep, *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols])
     df.select(line.alias("value")).write.mode(mode).text(path)

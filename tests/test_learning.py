@@ -44,10 +44,20 @@ def test_fit_save_load_score_same_predictions(spark, tmp_dir):
 
 def test_selection_report(spark):
     from sparkdesk.plans import learning as L
-    rep = {r.name: r.value for r in L.train_report(spark, "/root/testdata/sf0.001").collect()}
-    assert rep["maxDepth"] in {"2", "4"} and rep["maxBins"] in {"16", "32"}
-    assert 0.0 <= float(rep["accuracy"]) <= 1.0
-    assert rep["stage_1_inputs"].startswith("l_quantity")
+    rows = L.train_report(spark, "/root/testdata/sf0.001").collect()
+    assert {"maxDepth", "maxBins", "accuracy", "f1", "stage_1_inputs"} <= {r.name for r in rows}
+    assert all(r.as_expected for r in rows)
+
+
+def test_constant_predictions_fail_the_checks(spark):
+    from pyspark.sql import functions as F
+
+    from sparkdesk.plans import learning as L
+    test = L.split(spark, "/root/testdata/sf0.001")[1]
+    mean = test.agg(F.avg(L.REG_LABEL)).first()[0]
+    assert not L._summary(test.withColumn("prediction", F.lit(mean)), L.REG_LABEL).first().beats_constant
+    for value in (0.0, 1.0):
+        assert not L._summary(test.withColumn("prediction", F.lit(value)), L.CLF_LABEL).first().beats_constant
 
 
 def test_hash_split_is_partition_independent_and_complete(spark):
