@@ -25,7 +25,7 @@ from sparkdesk.llm.common import documents
 #: What a worker remembers in a generation: states (with about twice as many steps), pieces and
 #: pairs of tokens, about 0.5, 0.2 and 0.1 kB each.  The generation before stays, and what is
 #: asked for comes back from it, so frequent ones are never lost.
-MAX_STATES, MAX_PIECES, MAX_PAIRS = 100_000, 100_000, 60_000
+MAX_STATES, MAX_PIECES, MAX_PAIRS = 130_000, 180_000, 100_000
 #: Two numbers below this bit's value are kept as one.
 SHIFT = 20
 LOW = (1 << SHIFT) - 1
