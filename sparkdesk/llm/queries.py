@@ -38,8 +38,7 @@ def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     deduped = line_chunks.dedup_lines(table(spark, sf_dir, "documents"))
-    return deduped.select("doc_id", "n_lines", "n_chunks", "n_removed_chunks", "n_removed_lines",
-                          F.sha2("kept_text", 256).alias("kept_sha256"))
+    return deduped.select("doc_id", "n_lines", "n_removed_lines", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

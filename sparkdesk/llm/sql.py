@@ -88,17 +88,28 @@ FROM d LEFT JOIN n USING (doc_id) LEFT JOIN it USING (doc_id)
 
 LINE_DEDUP = r"""
 WITH l AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
-h AS (SELECT doc_id, i, ls[i] AS line, len(ls) AS n, ('0x' || substr(md5(ls[i]), 1, 8))::BIGINT AS x
+x AS (SELECT doc_id, i, len(ls) AS n, ('0x' || substr(md5(ls[i]), 1, 8))::BIGINT AS x
     FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM l)),
-e AS (SELECT *, (i = n OR (x + 31 * coalesce(lag(x) OVER (PARTITION BY doc_id ORDER BY i), 0)) % 4 = 0)::INT AS ends FROM h),
-g AS (SELECT *, coalesce(sum(ends) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS idx FROM e),
-c AS (SELECT doc_id, idx, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS body FROM g GROUP BY doc_id, idx),
-r AS (SELECT *, n >= 2 AND regexp_matches(body, '[^\x20\x09-\x0D]')
-    AND row_number() OVER (PARTITION BY body ORDER BY doc_id, idx) > 1 AS gone FROM c)
-SELECT doc_id, sum(n)::BIGINT AS n_lines, count(*) AS n_chunks, count(*) FILTER (gone) AS n_removed_chunks,
-    coalesce(sum(n) FILTER (gone), 0)::BIGINT AS n_removed_lines,
-    sha256(coalesce(string_agg(body, chr(10) ORDER BY idx) FILTER (NOT gone), '')) AS kept_sha256
-FROM r GROUP BY doc_id
+h AS (SELECT *, x + 31 * coalesce(lag(x) OVER (PARTITION BY doc_id ORDER BY i), 0) AS r FROM x),
+e AS (SELECT doc_id, s, i FROM h, (SELECT unnest(range(0, 8)) AS s) WHERE i = 1 OR i = n OR (r >> s) % 2 = 0),
+c AS (SELECT DISTINCT doc_id, a, b, lo, hi FROM (SELECT doc_id, i AS b, lag(i) OVER w AS a,
+        coalesce(lag(i, 2) OVER w, lag(i) OVER w) AS lo, coalesce(lead(i) OVER w, i) AS hi
+    FROM e WINDOW w AS (PARTITION BY doc_id, s ORDER BY i)) WHERE a IS NOT NULL),
+k AS (SELECT c.*, array_to_string(ls[a:b], chr(10)) AS body, ls FROM c JOIN l USING (doc_id)),
+f AS (SELECT body, doc_id AS fd, a AS fa, b AS fb, lo AS flo, hi AS fhi, ls AS fl FROM k
+    QUALIFY row_number() OVER (PARTITION BY body ORDER BY doc_id, a, lo, hi DESC) = 1),
+m AS (SELECT *, least(a - lo, fa - flo) AS most_back, least(hi - b, fhi - fb) AS most_ahead
+    FROM k JOIN f USING (body) WHERE doc_id <> fd OR a <> fa),
+g AS (SELECT doc_id, ls,
+    a + 1 - coalesce(list_min(list_filter(range(1, most_back + 1), lambda j: ls[a - j] <> fl[fa - j])), most_back + 1) AS u,
+    b - 1 + coalesce(list_min(list_filter(range(1, most_ahead + 1), lambda j: ls[b + j] <> fl[fb + j])), most_ahead + 1) AS v FROM m),
+gone AS (SELECT DISTINCT doc_id, unnest(range(u, v + 1)) AS i FROM g
+    WHERE len(list_filter(ls[u:v], lambda y: regexp_matches(y, '[^\x20\x09-\x0D]'))) >= 2),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(ls[i], chr(10) ORDER BY i) AS body
+    FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM l) ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, len(ls)::BIGINT AS n_lines, (len(ls) - coalesce(n, 0))::BIGINT AS n_removed_lines,
+    sha256(coalesce(body, '')) AS kept_sha256
+FROM l LEFT JOIN kept USING (doc_id)
 """
 
 

@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 import pytest
 import xxhash
 from helpers import CLASHING, SCHEMA, awkward_rows, frame, lower_az, space_words, unique, vocabulary
+from pyspark.sql import functions as F
 
 from sparkdesk.llm import (
     byte_bpe,
@@ -172,34 +173,78 @@ def test_decontaminate_in_blocks(spark, docs, rows, monkeypatch):
     assert sorted(decontaminate.benchmark_overlap(docs, items).collect(), key=key) == sorted(whole, key=key)
 
 
-def brute_chunks(text, divisor=4):
-    lines, out, now, before = text.split("\n"), [], [], 0
-    for i, line in enumerate(lines):
-        h = int(hashlib.md5(line.encode()).hexdigest()[:8], 16)
-        now.append(line)
-        if i == len(lines) - 1 or (h + 31 * before) % divisor == 0:
-            out.append(now)
-            now = []
-        before = h
-    return out
+def brute_chunks(lines, choices=8):
+    """(a, b, lo, hi) of each choice's chunks."""
+    h = [int(hashlib.md5(line.encode()).hexdigest()[:8], 16) for line in lines]
+    rolled = [x + 31 * y for x, y in zip(h, [0, *h])]
+    out = set()
+    for s in range(choices):
+        ends = [i for i, r in enumerate(rolled) if i in (0, len(lines) - 1) or r >> s & 1 == 0]
+        for j in range(1, len(ends)):
+            out.add((ends[j - 1], ends[j], ends[max(j - 2, 0)], ends[min(j + 1, len(ends) - 1)]))
+    return sorted(out, key=lambda c: (c[0], c[2], -c[3], c[1]))
+
+
+def brute_runs(order):
+    """For each (id, text) in order, the places of the lines that go."""
+    first, gone = {}, defaultdict(set)
+    every = [(i, text, text.split("\n")) for i, text in order]
+    for i, text, lines in every:
+        for a, b, lo, hi in brute_chunks(lines):
+            first.setdefault(tuple(lines[a:b + 1]), (i, text, a, b, lo, hi, lines))
+    for i, text, lines in every:
+        for a, b, lo, hi in brute_chunks(lines):
+            fi, ftext, fa, fb, flo, fhi, fl = first[tuple(lines[a:b + 1])]
+            if (fi, ftext, fa) == (i, text, a):
+                continue
+            u, v = a, b
+            while u > lo and fa - (a - u) > flo and lines[u - 1] == fl[fa - (a - u) - 1]:
+                u -= 1
+            while v < hi and fb + (v - b) < fhi and lines[v + 1] == fl[fb + (v - b) + 1]:
+                v += 1
+            if sum(bool(space_words(x)) for x in lines[u:v + 1]) >= 2:
+                gone[i, text] |= set(range(u, v + 1))
+    return gone
 
 
 def test_line_chunks(docs, rows):
-    got, first = by_id(line_chunks.dedup_lines(docs)), {}
+    got = by_id(line_chunks.dedup_lines(docs))
+    # the order of texts that share an id is a hash's: none of those shares lines with another
     order = sorted({(r[0], r[1] or "") for r in rows}, key=lambda r: (r[0] is not None, r[0] or 0))
-    for i, text in order:
-        for j, c in enumerate(brute_chunks(text)):
-            if len(c) >= 2 and space_words("\n".join(c)):
-                first.setdefault("\n".join(c), (i, j))
-    removed = 0
+    gone = brute_runs(order)
     for i, text, *_ in unique(rows):
-        chunks, (r,) = brute_chunks(text or ""), got[i]
-        kept = [c for j, c in enumerate(chunks) if first.get("\n".join(c), (i, j)) == (i, j)]
-        assert r.kept_text == "\n".join("\n".join(c) for c in kept), i
-        assert (r.n_lines, r.n_chunks) == (sum(map(len, chunks)), len(chunks))
-        assert r.n_removed_chunks == len(chunks) - len(kept)
-        removed += r.n_removed_lines
-    assert removed > 0 and got[23][0] == got[23][1]
+        lines, (r,) = (text or "").split("\n"), got[i]
+        kept = [x for j, x in enumerate(lines) if j not in gone[i, text or ""]]
+        assert (r.kept_text, r.n_lines, r.n_removed_lines) == ("\n".join(kept), len(lines), len(lines) - len(kept)), i
+    assert sum(map(len, gone.values())) > 0 and got[23][0] == got[23][1]
+    left = {x for rs in got.values() for r in rs for x in r.kept_text.split("\n")}
+    assert {x for r in rows for x in (r[1] or "").split("\n") if space_words(x)} <= left
+
+
+def test_line_chunks_find_short_passages(spark):
+    """Passages of three lines in other surroundings go, single lines and new lines stay."""
+    rng, words = random.Random(5), vocabulary(5, 3000)
+    line = lambda: " ".join(rng.choice(words) for _ in range(6))
+    passages, single = [[line() for _ in range(3)] for _ in range(40)], line()
+    texts, planted = [], []
+    for k in range(200):
+        p = passages[k % 40]
+        texts.append([*(line() for _ in range(rng.randint(1, 4))), *p, *(line() for _ in range(3)), single, line()])
+        planted.append(set(p) if k >= 40 else set())
+    docs = frame(spark, [(k, "\n".join(t), "en", "s") for k, t in enumerate(texts)])
+    kept = {r.doc_id: r.kept_text.split("\n") for r in line_chunks.dedup_lines(docs).collect()}
+    found = sum(len(set(t) - set(kept[k])) for k, t in enumerate(texts))
+    assert all(x in kept[k] for k, t in enumerate(texts) for x in t if x not in planted[k])
+    assert found >= 0.9 * sum(map(len, planted))
+
+
+def test_line_chunks_compare_bytes(spark, monkeypatch):
+    """A run with a line whose hash another line shares stays."""
+    same = line_chunks._line_id
+    monkeypatch.setattr(line_chunks, "_line_id", lambda x: same(F.when(x == "fourth line", "third line").otherwise(x)))
+    texts = ["first line\nsecond line\nthird line", "first line\nsecond line\nfourth line", "fifth\nsixth", "fifth\nsixth"]
+    got = by_id(line_chunks.dedup_lines(frame(spark, [(i, t, "en", "s") for i, t in enumerate(texts)])))
+    assert [got[i][0].kept_text for i in range(4)] == [texts[0], texts[1], texts[2], ""]
 
 
 def brute_fingerprint(text):
