@@ -87,7 +87,7 @@ def scan_secrets(docs: DataFrame, *, max_owners: int = 1, max_repositories: int
 
     Places count code points, the end is exclusive, spans are ordered by start and kind.  A
     value of at most ``max_owners`` owners and ``max_repositories`` repositories is
-    live-looking, any other is copied.  Equal texts count for one owner, the smallest of theirs.
+    live-looking, any other is copied; a value that two kinds find counts once.  Equal texts count for one owner, the smallest of theirs.
 
     Null and empty texts have no spans; null owners and repositories each count as one;
     very long texts are scanned whole; repeated rows get the same spans and add neither an
@@ -108,8 +108,9 @@ def scan_secrets(docs: DataFrame, *, max_owners: int = 1, max_repositories: int
     counts = write_scratch(ownership(each), "secret_owners")
     live = (F.col("n_owners") <= max_owners) & (F.col("n_repositories") <= max_repositories)
     added = F.collect_list(F.when((F.col("kind") == "owned") & live, F.struct("start", "rank", "kind", "end", "hash")))
+    values = lambda those: F.size(F.collect_set(F.when(those, F.col("hash")))).cast("bigint")
     marked = (each.join(counts, "hash").groupBy("row")
-              .agg(F.count(F.when(live, 1)).alias("n_live"), F.count(F.when(~live, 1)).alias("n_copied"), added.alias("added")))
+              .agg(values(live).alias("n_live"), values(~live).alias("n_copied"), added.alias("added")))
     n = lambda c: F.coalesce(c, F.lit(0).cast("bigint")).alias(c)
     every = F.concat("base", F.coalesce("added", F.slice("base", 1, 0)))
     return (scanned.join(marked, "row", "left")

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkdesk.llm.common import documents
+from sparkdesk.llm.common import documents, text_key
 
 #: ASCII characters that are not letters or digits separate words.
 _SPACES = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
@@ -80,21 +80,32 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], bits: int, n_grades: int
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, *, rows: int, bits: int, n_grades: int) -> list:
     """(features, values, grade) of at most ``rows`` labelled documents, the smallest by a hash
-    of their id: the one bounded collect of the fit."""
-    known = labels.select(F.col("doc_id").alias("label_id"), "grade").filter(F.col("grade").between(0, n_grades - 1))
-    chosen = known.orderBy(F.xxhash64("label_id"), "label_id", "grade").limit(rows)
-    texts = docs.join(chosen, F.col("doc_id") == F.col("label_id")).select("text", "grade")
+    of id and text: the one bounded collect of the fit.
+
+    A document counts once for each of its grades, however often it or its label repeats, and
+    each has at most 2^bits features.
+    """
+    known = (labels.select(F.col("doc_id").alias("label_id"), "grade")
+             .filter(F.col("grade").between(0, n_grades - 1)).distinct())
+    keyed = docs.withColumn("text_key", text_key(F.col("text")))
+    key = ["doc_id", "text_key", "grade"]
+    chosen = (keyed.select("doc_id", "text_key").join(known, F.col("doc_id") == F.col("label_id")).select(*key).distinct()
+              .orderBy(F.xxhash64("doc_id", "text_key"), *key).limit(rows))
+    texts = keyed.join(chosen, ["doc_id", "text_key"]).select("text", *key)
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [features(t.as_py(), bits) for t in batch.column(0)]
             yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.list_(pa.int32())),
-                                              pa.array([f[1] for f in found], pa.list_(pa.float32())), batch.column(1)],
-                                             ["cols", "vals", "grade"])
+                                              pa.array([f[1] for f in found], pa.list_(pa.float32())), *batch.columns[1:]],
+                                             ["cols", "vals", *key])
 
-    got = texts.mapInArrow(work, "cols array<int>, vals array<float>, grade int").toArrow()
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    found = texts.mapInArrow(work, f"cols array<int>, vals array<float>, doc_id {kind}, text_key bigint, grade int")
+    # the order decides the last digits of the sums
+    got = found.dropDuplicates(key).toArrow().sort_by([(c, "ascending") for c in key])
     return [(np.asarray(c.values, np.int32), np.asarray(v.values, np.float32), g.as_py())
-            for c, v, g in zip(got.column(0), got.column(1), got.column(2))]
+            for c, v, g in zip(got.column("cols"), got.column("vals"), got.column("grade"))]
 
 
 def predict_severity(docs: DataFrame, labels: DataFrame, *, n_grades: int = 3, sample_rows: int = 10_000, bits: int = 18,
@@ -106,9 +117,10 @@ def predict_severity(docs: DataFrame, labels: DataFrame, *, n_grades: int = 3, s
     or more; ``toxic`` says that the probability of a grade above 0 is ``toxic_share`` or more.
 
     Null and empty texts have no features and get the thresholds' own grades; labels that are
-    null, out of range or without a document are left out; a repeated label counts again;
-    without labels all weights are zero; very long texts count whole; an empty table gives
-    no rows; other columns are ignored.
+    null, out of range or without a document are left out; repeated labels and documents count
+    once in the fit, a document with two grades once for each; where two grades tie, the lower one is
+    given; without labels all weights are zero; very long texts count whole; an empty table
+    gives no rows; other columns are ignored.
     """
     d = documents(docs, id_col, text_col)
     model = fit(labelled_sample(d, labels, rows=sample_rows, bits=bits, n_grades=n_grades), bits, n_grades, rounds=rounds)
