@@ -62,102 +62,106 @@ class Model:
 
 
 class _Segments:
-    """The class numbers of some texts, cut into segments of equal length (rows)."""
+    """The class numbers of some texts, cut into segments of equal length.
+
+    The last axis of all tables is the segment, so that each step works on long rows.
+    """
 
     def __init__(self, texts: list[np.ndarray], model: Model):
-        counts = np.array([-(-len(t) // SEGMENT) for t in texts])
+        counts = np.array([-(-len(t) // SEGMENT) for t in texts], np.int64)
         self.first = np.concatenate([[0], np.cumsum(counts)])
-        self.classes = np.full((self.first[-1], SEGMENT), -1, np.int64)
+        classes = np.full((self.first[-1], SEGMENT), -1, np.int64)
         for t, at in zip(texts, self.first):
-            self.classes[at:at + -(-len(t) // SEGMENT)].flat[:len(t)] = t
+            classes[at:at + -(-len(t) // SEGMENT)].flat[:len(t)] = t
+        self.classes = np.ascontiguousarray(classes.T)
         self.there = self.classes >= 0
-        self.starts = np.zeros(len(self.classes), bool)
-        self.starts[self.first[:-1]] = True
+        self.starts = self.first[:-1]
         self.counts, self.model = counts, model
-        self.emit = model.emit[self.classes.T]  # by place, then segment
-        self.absent = [np.flatnonzero(~self.there[:, t]) for t in range(SEGMENT)]
+        self.emit = np.empty((SEGMENT, len(model.start), self.first[-1]))
+        for k in range(len(model.start)):
+            self.emit[:, k] = np.ascontiguousarray(model.emit[:, k])[self.classes]
+        self.absent = [np.flatnonzero(~self.there[t]) for t in range(SEGMENT)]
         self.transfer, self.scale = self._transfers()
 
     def _transfers(self) -> tuple[np.ndarray, np.ndarray]:
         """Each segment's product of (move, emit) and the log of what was divided out of it."""
-        n, k = len(self.classes), len(self.model.start)
-        product, scale = np.broadcast_to(np.eye(k), (n, k, k)).copy(), np.zeros(n)
+        n, k = self.classes.shape[1], len(self.model.start)
+        product, scale = np.repeat(np.eye(k)[:, :, None], n, axis=2), np.zeros(n)
         for t in range(SEGMENT):
-            moved = (product.reshape(-1, k) @ self.model.move).reshape(n, k, k)
+            moved = np.matmul(self.model.move.T, product)
             if t == 0:
-                moved[self.starts] = product[self.starts]
-            moved *= self.emit[t][:, None, :]
-            moved[self.absent[t]] = product[self.absent[t]]
+                moved[:, :, self.starts] = product[:, :, self.starts]
+            moved *= self.emit[t]
+            moved[:, :, self.absent[t]] = product[:, :, self.absent[t]]
             product = moved
             if t % RESCALE == RESCALE - 1:
-                total = product.reshape(n, -1).sum(axis=1)
-                product /= total[:, None, None]
+                total = product.sum(axis=(0, 1))
+                product /= total
                 scale += np.log(total)
         return product, scale
 
     def forward(self) -> tuple[np.ndarray, np.ndarray]:
         """The state probabilities before each segment, and each text's log probability."""
-        before = np.empty((len(self.classes), len(self.model.start)))
+        before = np.empty((len(self.model.start), self.classes.shape[1]))
         logs = np.zeros(len(self.counts))
-        alive, now = np.arange(len(self.counts)), np.repeat(self.model.start[None], len(self.counts), axis=0)
+        alive, now = np.arange(len(self.counts)), np.repeat(self.model.start[:, None], len(self.counts), axis=1)
         for j in range(self.counts.max(initial=0)):
             keep = self.counts[alive] > j
-            alive, now = alive[keep], now[keep]
+            alive, now = alive[keep], now[:, keep]
             at = self.first[alive] + j
-            before[at] = now
-            now = np.einsum("sk,skl->sl", now, self.transfer[at])
-            total = now.sum(axis=1)
-            now /= total[:, None]
+            before[:, at] = now
+            now = np.einsum("ks,kls->ls", now, self.transfer[:, :, at])
+            total = now.sum(axis=0)
+            now /= total
             logs[alive] += np.log(total) + self.scale[at]
         return before, logs
 
     def _backward(self) -> np.ndarray:
         """What follows each segment, up to a factor."""
-        after = np.ones((len(self.classes), len(self.model.start)))
+        after = np.ones((len(self.model.start), self.classes.shape[1]))
         for j in range(self.counts.max(initial=0) - 2, -1, -1):
             at = self.first[:-1][self.counts > j + 1] + j
-            follows = np.einsum("skl,sl->sk", self.transfer[at + 1], after[at + 1])
+            follows = np.einsum("kls,ls->ks", self.transfer[:, :, at + 1], after[:, at + 1])
             # the next segment's product already holds the move into it
-            after[at] = follows / follows.sum(axis=1, keepdims=True)
+            after[:, at] = follows / follows.sum(axis=0)
         return after
 
     def expected(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Expected counts: start, moves, and (class, states) for each word."""
         k, move = len(self.model.start), self.model.move
         before, _ = self.forward()
-        alphas = np.empty((SEGMENT, len(self.classes), k))
+        alphas = np.empty((SEGMENT, k, self.classes.shape[1]))
         now, divided = before, {}
         for t in range(SEGMENT):
-            moved = now @ move
+            moved = np.matmul(move.T, now, out=alphas[t])
             if t == 0:
-                moved[self.starts] = now[self.starts]
+                moved[:, self.starts] = now[:, self.starts]
             moved *= self.emit[t]
-            moved[self.absent[t]] = now[self.absent[t]]
+            moved[:, self.absent[t]] = now[:, self.absent[t]]
             if t % RESCALE == RESCALE - 1:
-                divided[t] = moved.sum(axis=1)
-                moved /= divided[t][:, None]
-            alphas[t] = now = moved
+                divided[t] = moved.sum(axis=0)
+                moved /= divided[t]
+            now = moved
         beta, moves = self._backward(), np.zeros((k, k))
-        gammas = np.empty((SEGMENT, len(self.classes), k))
+        gammas = np.empty((SEGMENT, k, self.classes.shape[1]))
         for t in range(SEGMENT - 1, -1, -1):
-            gamma = alphas[t] * beta
-            total = gamma.sum(axis=1)
-            np.divide(gamma, total[:, None], out=gammas[t])
+            gamma = np.multiply(alphas[t], beta, out=gammas[t])
+            total = gamma.sum(axis=0)
+            gamma /= total
             ahead = self.emit[t] * beta
             # the sum over moves into this word is the same total, but for what was divided out
             weight = 1 / (total * divided[t] if t in divided else total)
             weight[self.absent[t]] = 0.0
             if t == 0:
                 weight[self.starts] = 0.0
-            moves += move * ((alphas[t - 1] if t else before).T @ (ahead * weight[:, None]))
-            back = ahead @ move.T
-            back[self.absent[t]] = beta[self.absent[t]]
+            moves += move * ((alphas[t - 1] if t else before) @ (ahead * weight).T)
+            back = move @ ahead
+            back[:, self.absent[t]] = beta[:, self.absent[t]]
             if t % RESCALE == 0:
-                back /= back.sum(axis=1, keepdims=True)
+                back /= back.sum(axis=0)
             beta = back
-        start = gammas[0][self.starts].sum(axis=0)
-        there = self.there.T
-        return start, moves, self.classes.T[there], gammas[there]
+        start = gammas[0][:, self.starts].sum(axis=1)
+        return start, moves, self.classes[self.there], np.array([gammas[:, i][self.there] for i in range(k)]).T
 
 
 class _Classes(dict):
