@@ -7,6 +7,9 @@ over its documents, Spark adds them up by class.  A word's share of its class co
 the corpus's word counts, which stay a distributed table.  The end of a text is a class of
 its own.  The scaled forward recursion gives a text's exact probability.
 
+Texts are split once.  The words of a bounded group of texts are numbered together, and texts
+are written as numbers; all rounds read those, and a word meets its count once for a group.
+
 A text is cut into short segments; each segment's transfer matrix is computed for all
 segments side by side, and the matrices are chained per text, so long texts take no longer
 loops than short ones.
@@ -14,13 +17,13 @@ loops than short ones.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,8 +37,10 @@ SEGMENT = 64
 RESCALE = 8
 #: So many words are worked on side by side; a longer text makes a batch of its own.
 BATCH_WORDS = 400_000
-#: Words that a task remembers or counts before it passes counts on.
-MAX_WORDS = 300_000
+#: Texts are numbered together up to so many words, or so many different ones; a longer text makes a group of its own.
+GROUP_WORDS, GROUP_DISTINCT = 1_000_000, 50_000
+#: Columns of the numbered texts: a row for each text, and one for each group's words.
+NUMBERED = ["group_id", "doc_id", "held_out", "n_tokens", "numbers", "classes", "words", "kinds", "times"]
 
 
 @dataclass
@@ -164,133 +169,127 @@ class _Segments:
         return start, moves, self.classes[self.there], np.array([gammas[:, i][self.there] for i in range(k)]).T
 
 
-class _Classes(dict):
-    """A word's class, found when first asked for."""
-
-    def __init__(self, classes: int):
-        super().__init__()
-        self.classes = classes
+class _Numbers(dict):
+    """Words numbered in the order of their first use."""
 
     def __missing__(self, word: bytes) -> int:
-        found = self[word] = xxhash.xxh3_64_intdigest(word) % self.classes
+        found = self[word] = len(self)
         return found
 
-    def __call__(self, words: list[bytes]) -> np.ndarray:
-        if len(self) > MAX_WORDS:
-            self.clear()
-        out = np.empty(len(words) + 1, np.int64)
-        out[:-1] = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-        out[-1] = self.classes
-        return out
-
 
 def words_of(text: str) -> list[bytes]:
     """A-Z in lower case, cut at ASCII white space."""
     return text.encode().lower().split()
 
 
-def _groups(column: Iterable, ids: Iterable) -> Iterator[tuple[list, list[list[bytes]]]]:
-    """Ids and words of some texts at a time, about BATCH_WORDS words."""
-    keys, texts, size = [], [], 0
-    for key, text in zip(ids, column):
-        words = words_of(text.as_py())
-        keys.append(key.as_py())
-        texts.append(words)
-        size += len(words) + 1
-        if size >= BATCH_WORDS:
-            yield keys, texts
-            keys, texts, size = [], [], 0
-    if keys:
-        yield keys, texts
+def class_of(word: bytes, classes: int) -> int:
+    """A word's class; the end is a class of its own, after all others."""
+    return xxhash.xxh3_64_intdigest(word) % classes if word else classes
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """(word, c): how often each word, and the end, occurs; combined within each task first."""
+def _number_kind(largest: int) -> type:
+    """The narrowest of two number types that holds ``largest``."""
+    return np.uint16 if largest < 1 << 16 else np.uint32
 
-    def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = Counter()
 
-        def flushed():
-            out = pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.binary()), pa.array(counts.values(), pa.int64())], ["word", "c"])
-            counts.clear()
-            return out
+class _Group:
+    """Some texts whose words are numbered together, so that each word is looked up once for all of them."""
 
-        for batch in batches:
-            for text in batch.column(1):
-                counts.update(words_of(text.as_py()))
-                counts[END] += 1
-                if len(counts) > MAX_WORDS:
-                    yield flushed()
-        yield flushed()
+    def __init__(self):
+        self.number, self.size = _Numbers(), 0
+        self.ids, self.held, self.texts = [], [], []
+
+    def add(self, doc_id, held: bool, text: str) -> None:
+        words = words_of(text)
+        words.append(END)
+        self.texts.append(np.fromiter(map(self.number.__getitem__, words), np.uint32, len(words)))
+        self.ids.append(doc_id)
+        self.held.append(held)
+        self.size += len(words)
+
+    def full(self) -> bool:
+        return self.size >= GROUP_WORDS or len(self.number) >= GROUP_DISTINCT
 
-    return docs.mapInArrow(work, "word binary, c bigint").groupBy("word").agg(F.sum("c").alias("c"))
+    def batches(self, group_id: int, classes: int, id_type: pa.DataType) -> Iterator[pa.RecordBatch]:
+        """The texts as word numbers and as class numbers, a row each, and one row of the group's words."""
+        count, kind = len(self.texts), _number_kind(len(self.number))
+        kinds = np.fromiter((class_of(w, classes) for w in self.number), np.int64, len(self.number))
+        train = [t for t, held in zip(self.texts, self.held) if not held]
+        times = np.bincount(np.concatenate(train), minlength=len(self.number)) if train else np.zeros(len(self.number), np.int64)
+        class_kind = _number_kind(classes - 1)
+        no = lambda kind, n: pa.nulls(n, kind)
+        listed = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([group_id] * count, pa.int64()), pa.array(self.ids, id_type), pa.array(self.held, pa.bool_()),
+             pa.array([len(t) for t in self.texts], pa.int64()),
+             pa.array([t.astype(kind).tobytes() for t in self.texts], pa.binary()),
+             pa.array([kinds[t[:-1]].astype(class_kind).tobytes() for t in self.texts], pa.binary()),
+             no(pa.list_(pa.binary()), count), no(pa.list_(pa.int32()), count), no(pa.list_(pa.int64()), count)], NUMBERED)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([group_id], pa.int64()), no(id_type, 1), no(pa.bool_(), 1), no(pa.int64(), 1), no(pa.binary(), 1), no(pa.binary(), 1),
+             listed(pa.array(self.number.keys(), pa.binary())), listed(pa.array(kinds, pa.int32())), listed(pa.array(times, pa.int64()))], NUMBERED)
 
 
-def _postings(docs: DataFrame) -> DataFrame:
-    """(word, docs, times) of (row_key, text): for each group of texts one row a word, with the keys
-    of the texts that hold it."""
+def _numbered(docs: DataFrame, classes: int) -> DataFrame:
+    """(doc_id, held_out, text) with words as numbers; the only place where texts are split.
+
+    A group's number is that of its task and its place there, so it is unique in a written table.
+    """
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group_id, group, id_type = TaskContext.get().partitionId() << 32, _Group(), None
         for batch in batches:
-            for keys, texts in _groups(batch.column(1), batch.column(0)):
-                numbers: dict[bytes, int] = {}
-                rows, cols = [], []
-                for i, words in enumerate(texts):
-                    seen = np.fromiter((numbers.setdefault(w, len(numbers)) for w in (*words, END)), np.int64, len(words) + 1)
-                    rows.append(seen)
-                    cols.append(np.full(len(seen), i))
-                pair, times = np.unique(np.concatenate(rows) * len(texts) + np.concatenate(cols), return_counts=True)
-                word, doc = pair // len(texts), pair % len(texts)
-                cuts = np.searchsorted(word, np.arange(len(numbers) + 1)).astype(np.int32)
-                ids = pa.array(keys, batch.schema.field(0).type).take(pa.array(doc))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(numbers.keys(), pa.binary()), pa.ListArray.from_arrays(pa.array(cuts), ids),
-                     pa.ListArray.from_arrays(pa.array(cuts), pa.array(times.astype(np.int32)))], ["word", "docs", "times"])
-
-    kind = docs.schema["row_key"].dataType.simpleString()
-    return docs.mapInArrow(work, f"word binary, docs array<{kind}>, times array<int>")
-
-
-def _word_sums(docs: DataFrame, counts: DataFrame) -> DataFrame:
-    """(id, rows, log_sum, end_log, n_known) of (row_key, text): sums over a text's words of log10(c + 1).
-
-    Words meet their counts once for each group of texts, not once for each token.
-    """
-    joined = _postings(docs).join(counts, "word", "left").withColumn("c", F.coalesce("c", F.lit(0)))
-    is_end = F.octet_length("word") == 0
-    each = (joined.select(is_end.alias("is_end"), F.log10(F.col("c") + 1).alias("lg"), (F.col("c") > 0).cast("int").alias("known"),
-                          F.explode(F.arrays_zip("docs", "times")).alias("x"))
-            .select("is_end", "lg", "known", F.col("x.docs").alias("id"), F.col("x.times").alias("n")))
-    return each.groupBy("id").agg(
-        F.sum(F.when(F.col("is_end"), F.col("n")).otherwise(0)).alias("rows"),
-        F.sum(F.col("n") * F.col("lg")).alias("log_sum"),
-        F.sum(F.when(F.col("is_end"), F.col("n") * F.col("lg")).otherwise(0.0)).alias("end_log"),
-        F.sum(F.col("n") * F.col("known")).alias("n_known"))
-
-
-def _expected_counts(docs: DataFrame, model: Model, classes: int) -> Model:
+            id_type = batch.schema.field(0).type
+            for doc_id, held, text in zip(*batch.columns):
+                group.add(doc_id.as_py(), held.as_py(), text.as_py())
+                if group.full():
+                    yield from group.batches(group_id, classes, id_type)
+                    group_id, group = group_id + 1, _Group()
+        if group.texts:
+            yield from group.batches(group_id, classes, id_type)
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "held_out", "text").mapInArrow(
+        work, f"group_id bigint, doc_id {kind}, held_out boolean, n_tokens bigint, numbers binary, classes binary, "
+              "words array<binary>, kinds array<int>, times array<bigint>")
+
+
+def _batched(texts: Iterable[np.ndarray]) -> Iterator[list[np.ndarray]]:
+    """Some texts at a time, about BATCH_WORDS words."""
+    some, size = [], 0
+    for text in texts:
+        some.append(text)
+        size += len(text)
+        if size >= BATCH_WORDS:
+            yield some
+            some, size = [], 0
+    if some:
+        yield some
+
+
+def _expected_counts(texts: DataFrame, model: Model, classes: int) -> Model:
     """One Baum-Welch step: each task's expected counts, added up by class (a fixed number of rows)."""
-    states = len(model.start)
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    states, kind = len(model.start), _number_kind(classes - 1)
+    sent = texts.sparkSession.sparkContext.broadcast(model)
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, model = _Classes(classes), sent.value
-        emit = np.zeros((classes + 1, states))
+        model = sent.value
+        emit = np.zeros((states, classes + 1))
         start, move = np.zeros(states), np.zeros((states, states))
-        for batch in batches:
-            for _, texts in _groups(batch.column(1), batch.column(0)):
-                s, m, seen, gamma = _Segments([number(w) for w in texts], model).expected()
-                start, move = start + s, move + m
-                for k in range(states):
-                    emit[:, k] += np.bincount(seen, gamma[:, k], classes + 1)
-        used = np.flatnonzero(emit.any(axis=1))
-        values = np.vstack([emit[used], start[None], move])
+        values = (value for batch in batches for value in batch.column(0))
+        for some in _batched(np.append(np.frombuffer(v.as_py(), kind), np.int64(classes)) for v in values):
+            s, m, seen, gamma = _Segments(some, model).expected()
+            start, move = start + s, move + m
+            for k in range(states):
+                emit[k] += np.bincount(seen, gamma[:, k], classes + 1)
+        used = np.flatnonzero(emit.any(axis=0))
+        sums = np.hstack([emit[:, used], start[:, None], move.T])
         index = np.concatenate([used, np.arange(classes + 1, classes + 2 + states)])
-        yield pa.RecordBatch.from_arrays([pa.array(index), *[pa.array(values[:, k]) for k in range(states)]],
+        yield pa.RecordBatch.from_arrays([pa.array(index, pa.int32()), *[pa.array(sums[k]) for k in range(states)]],
                                          ["i", *[f"s{k}" for k in range(states)]])
 
     cols = [f"s{k}" for k in range(states)]
-    sums = (docs.mapInArrow(work, "i bigint, " + ", ".join(f"{c} double" for c in cols))
+    sums = (texts.select("classes").mapInArrow(work, "i int, " + ", ".join(f"{c} double" for c in cols))
             .groupBy("i").agg(*[F.sum(c).alias(c) for c in cols]))
     table = np.zeros((classes + 2 + states, states))
     got = sums.toArrow()
@@ -299,26 +298,39 @@ def _expected_counts(docs: DataFrame, model: Model, classes: int) -> Model:
     return Model.from_counts(table[classes + 1], table[classes + 2:], table[:classes + 1])
 
 
-def _scored(docs: DataFrame, model: Model, class_logs: np.ndarray) -> DataFrame:
-    """(doc_id, held_out, row_key, n_tokens, hidden): log10 of a text's class sequence less its classes' totals."""
-    sent = docs.sparkSession.sparkContext.broadcast((model, class_logs))
+def _scored(texts: DataFrame, vocabulary: DataFrame, model: Model, class_logs: np.ndarray) -> DataFrame:
+    """(doc_id, held_out, n_tokens, n_known, log_sum, score) of texts and their groups' counted words.
 
-    def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, logs = sent.value
-        number = _Classes(len(logs))
-        for batch in batches:
-            n_tokens, hidden = [], []
-            for _, texts in _groups(batch.column(1), batch.column(0)):
-                numbered = [number(w) for w in texts]
-                n_tokens += [len(t) for t in numbered]
-                hidden += (_Segments(numbered, model).forward()[1] / np.log(10)
-                           - np.array([logs[t[:-1]].sum() for t in numbered])).tolist()
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), batch.column(3), pa.array(n_tokens, pa.int64()),
-                                              pa.array(hidden, pa.float64())],
-                                             ["doc_id", "held_out", "row_key", "n_tokens", "hidden"])
+    Each group's texts meet its words in one task: a group's size is bounded, but for a text that is longer.
+    ``log_sum`` adds up log10(c + 1) over all tokens.
+    """
+    sent = texts.sparkSession.sparkContext.broadcast((model, np.append(class_logs, 0.0)))
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(work, f"doc_id {kind}, held_out boolean, row_key bigint, n_tokens bigint, hidden double")
+    def work(texts: pa.Table, words: pa.Table) -> pa.Table:
+        model, logs = sent.value
+        number, c = np.asarray(words["number"]), np.asarray(words["c"])
+        kinds, lg = np.empty(len(number), np.int64), np.empty(len(number))
+        kinds[number], lg[number] = np.asarray(words["kind"]), np.log10(c + 1)
+        share = np.where(kinds < len(logs) - 1, lg - logs[kinds], 0.0)
+        sizes = texts["n_tokens"].to_pylist()
+        known, log_sum, score = [], [], []
+        coded = (np.frombuffer(v.as_py(), f"u{len(v.as_py()) // n}") for v, n in zip(texts["numbers"], sizes))
+        for some in _batched(coded):
+            tokens = np.concatenate(some)
+            at = np.cumsum([0, *map(len, some[:-1])])
+            known.append(np.add.reduceat((lg > 0)[tokens].astype(np.int64), at))
+            log_sum.append(np.add.reduceat(lg[tokens], at))
+            hidden = _Segments([kinds[t] for t in some], model).forward()[1] / np.log(10)
+            score.append(hidden + np.add.reduceat(share[tokens], at))
+        joined = lambda parts, kind: pa.array(np.concatenate(parts) if parts else np.empty(0), kind)
+        return pa.table({"doc_id": texts["doc_id"], "held_out": texts["held_out"], "n_tokens": texts["n_tokens"],
+                         "n_known": joined(known, pa.int64()), "log_sum": joined(log_sum, pa.float64()),
+                         "score": joined(score, pa.float64())})
+
+    kind = texts.schema["doc_id"].dataType.simpleString()
+    return (texts.select("group_id", "doc_id", "held_out", "n_tokens", "numbers").groupBy("group_id")
+            .cogroup(vocabulary.groupBy("of_group"))
+            .applyInArrow(work, f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, log_sum double, score double"))
 
 
 def score_documents(docs: DataFrame, *, states: int = 4, classes: int = 1 << 16, rounds: int = 4, seed: int = 7,
@@ -331,47 +343,29 @@ def score_documents(docs: DataFrame, *, states: int = 4, classes: int = 1 << 16,
     and V distinct words of the class in training, so unseen words have one share too.
 
     Null and empty texts are an end alone; a null doc_id trains; a word seen nowhere counts
-    as unseen; very long texts are scored whole; rows of equal doc_id and text are
-    repeated rows, others that share a doc_id (null too) are scored each by its own words; with nothing to train on all counts are zero; an empty table gives no
-    rows; other columns are ignored.
+    as unseen; very long texts are scored whole; repeated rows and rows that share a doc_id
+    (null too) are scored each by its own words, so ties do not arise; with nothing to train
+    on all counts are zero; an empty table gives no rows; other columns are ignored.
     """
     fold = F.coalesce(F.pmod(F.crc32(docs[id_col].cast("string")), F.lit(folds)), F.lit(held_fold + 1))
-    d = documents(docs, id_col, text_col, (fold == held_fold).alias("held_out"))
-    d = d.withColumn("row_key", F.xxhash64("doc_id", "text"))
-    train = d.filter(~F.col("held_out"))
-    counts = write_scratch(word_counts(train), "word_counts")
-    total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    class_of = _class_totals(counts, classes)
-    class_logs = np.log10(class_of.sum(axis=1) + 1)
-    ends = counts.filter(F.octet_length("word") == 0).agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
-    model = Model.first(states, np.append(class_of[:, 0], ends), seed)
+    numbered = write_scratch(_numbered(documents(docs, id_col, text_col, (fold == held_fold).alias("held_out")), classes), "numbered")
+    texts = numbered.filter(F.col("numbers").isNotNull())
+    train = texts.filter(~F.col("held_out"))
+    words = (numbered.filter(F.col("words").isNotNull())
+             .select("group_id", F.posexplode(F.arrays_zip("words", "kinds", "times")).alias("number", "x"))
+             .select(F.col("group_id").alias("of_group"), "number", F.col("x.words").alias("word"), F.col("x.kinds").alias("kind"), F.col("x.times").alias("times")))
+    counts = write_scratch(words.filter("times > 0").groupBy("word", "kind").agg(F.sum("times").alias("c")), "word_counts")
+    by_class = np.zeros((classes + 1, 2))
+    for kind, n, v in counts.groupBy("kind").agg(F.sum("c"), F.count("*")).collect():
+        by_class[kind] = n, v
+    total, distinct = by_class.sum(axis=0)
+    class_logs = np.log10(by_class[:classes].sum(axis=1) + 1)
+    model = Model.first(states, by_class[:, 0], seed)
     for _ in range(rounds):
         model = _expected_counts(train, model, classes)
-    sums = _word_sums(d.select("row_key", "text"), counts)
+    vocabulary = (words.select("of_group", "number", "word", "kind").join(counts.select("word", "c"), "word", "left")
+                  .select("of_group", "number", "kind", F.coalesce("c", F.lit(0)).alias("c")))
     unit = float(np.log10(total + distinct + 1))
-    return (_scored(d, model, class_logs).join(sums, F.col("row_key") == F.col("id"))
-            .select("doc_id", "held_out", "n_tokens", (F.col("n_known") / F.col("rows")).cast("bigint").alias("n_known"),
-                    F.lit(total).cast("bigint").alias("train_tokens"),
-                    (F.col("log_sum") / F.col("rows") - unit * F.col("n_tokens")).alias("base_score"),
-                    (F.col("hidden") + (F.col("log_sum") - F.col("end_log")) / F.col("rows")).alias("score")))
-
-
-def _class_totals(counts: DataFrame, classes: int) -> np.ndarray:
-    """Tokens and distinct words of each class: (classes, 2), a fixed size."""
-
-    def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals = np.zeros((classes, 2))
-        for batch in batches:
-            words = batch.column(0).to_pylist()
-            at = np.fromiter((xxhash.xxh3_64_intdigest(w) % classes for w in words), np.int64, len(words))
-            real = np.fromiter((len(w) > 0 for w in words), bool, len(words))
-            totals[:, 0] += np.bincount(at[real], np.asarray(batch.column(1))[real], classes)
-            totals[:, 1] += np.bincount(at[real], minlength=classes)
-        used = np.flatnonzero(totals[:, 1])
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(totals[used, 0]), pa.array(totals[used, 1])], ["i", "n", "v"])
-
-    got = (counts.mapInArrow(work, "i bigint, n double, v double").groupBy("i")
-           .agg(F.sum("n").alias("n"), F.sum("v").alias("v")).toArrow())
-    out = np.zeros((classes, 2))
-    out[np.asarray(got.column("i"))] = np.column_stack([np.asarray(got.column("n")), np.asarray(got.column("v"))]) if got.num_rows else 0.0
-    return out
+    return (_scored(texts, vocabulary, model, class_logs)
+            .select("doc_id", "held_out", "n_tokens", "n_known", F.lit(int(total)).cast("bigint").alias("train_tokens"),
+                    (F.col("log_sum") - unit * F.col("n_tokens")).alias("base_score"), "score"))

@@ -7,6 +7,8 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from helpers import CLASHING, SCHEMA, awkward_rows, frame, lower_az, space_words, unique, vocabulary
@@ -471,9 +473,82 @@ def test_hidden_markov_scores(docs, rows):
     assert got[23][0].score == pytest.approx(got[23][1].score)
 
 
+def plain_forward(text, start, move, emit):
+    """The scaled forward values of one text, step by step, and its log probability."""
+    alphas, log = [], 0.0
+    for t, c in enumerate(text):
+        now = (start if t == 0 else alphas[-1] @ move) * emit[c]
+        alphas.append(now / now.sum())
+        log += math.log(now.sum())
+    return alphas, log
+
+
+def plain_round(texts, start, move, emit):
+    """One Baum-Welch round over all texts, step by step."""
+    first, moves, seen = np.zeros_like(start), np.zeros_like(move), np.zeros_like(emit)
+    for text in texts:
+        alphas, _ = plain_forward(text, start, move, emit)
+        beta = np.ones(len(start))
+        for t in range(len(text) - 1, -1, -1):
+            gamma = alphas[t] * beta
+            seen[text[t]] += gamma / gamma.sum()
+            if t == 0:
+                first += gamma / gamma.sum()
+                break
+            step = alphas[t - 1][:, None] * move * (emit[text[t]] * beta)
+            moves += step / step.sum()
+            beta = move @ (emit[text[t]] * beta)
+            beta /= beta.sum()
+    return hmm.Model.from_counts(first, moves, seen)
+
+
+def test_hidden_markov_query_against_plain_model(spark):
+    """Scores of whole documents, held out or not, equal a plain model trained by plain rounds."""
+    rng, words = random.Random(11), vocabulary(5, 300)
+    texts = [" ".join(rng.choices(words[:200] if i % 2 else words[100:], k=rng.choice([0, 1, 5, 63, 64, 130]))) for i in range(50)]
+    classes, states, rounds = 32, 3, 2
+    got = by_id(hmm.score_documents(frame(spark, [(i, t, "en", "s") for i, t in enumerate(texts)]).repartition(3),
+                                    states=states, classes=classes, rounds=rounds))
+    token = [[w.encode() for w in t.split()] for t in texts]
+    coded = [np.array([xxhash.xxh3_64_intdigest(w) % classes for w in t] + [classes]) for t in token]
+    train = [i for i in range(50) if zlib.crc32(str(i).encode()) % 7 != 2]
+    counts = Counter(w for i in train for w in token[i])
+    totals, distinct = np.zeros(classes + 1), np.zeros(classes)
+    for w, n in counts.items():
+        totals[xxhash.xxh3_64_intdigest(w) % classes] += n
+        distinct[xxhash.xxh3_64_intdigest(w) % classes] += 1
+    totals[classes] = len(train)
+    model = hmm.Model.first(states, totals, 7)
+    for _ in range(rounds):
+        model = plain_round([coded[i] for i in train], model.start, model.move, model.emit)
+    for i in range(50):
+        score = plain_forward(coded[i], model.start, model.move, model.emit)[1] / math.log(10)
+        score += sum(math.log10((counts[w] + 1) / (totals[k] + distinct[k] + 1)) for w, k in zip(token[i], coded[i]))
+        assert got[i][0].score == pytest.approx(score, rel=1e-9), i
+        assert got[i][0].held_out == (i not in train)
+
+
+def test_hidden_markov_groups(spark, monkeypatch):
+    """Small groups of numbered texts, and a text beyond a group's bounds, give the same scores."""
+    rng, words = random.Random(12), vocabulary(6, 400)
+    docs = frame(spark, [(i, " ".join(rng.choices(words, k=300 if i == 5 else 12)), "en", "s") for i in range(30)])
+    whole = {i: r[0].score for i, r in by_id(hmm.score_documents(docs, classes=16, rounds=1)).items()}
+    monkeypatch.setattr(hmm, "GROUP_WORDS", 40)
+    monkeypatch.setattr(hmm, "GROUP_DISTINCT", 25)
+    group, made = hmm._Group(), []
+    for i, (_, text, *_) in enumerate(docs.collect()):
+        group.add(i, False, text)
+        if group.full():
+            made, group = [*made, group], hmm._Group()
+    assert len(made) > 8
+    rows = [b for g in made for b in g.batches(1, 16, pa.int64())]
+    assert all(b.num_rows for b in rows) and sum(b.num_rows for b in rows[::2]) + len(group.texts) == 30
+    parts = {i: r[0].score for i, r in by_id(hmm.score_documents(docs.repartition(30, "doc_id"), classes=16, rounds=1)).items()}
+    assert parts == pytest.approx(whole, rel=1e-12)
+
+
 def test_hidden_markov_recursions():
     """Segments against the plain recursions, and training against a rising likelihood."""
-    import numpy as np
 
     rng = np.random.default_rng(0)
     texts = [rng.integers(0, 6, n) for n in (1, 2, 63, 64, 65, 200, 129)]
@@ -519,8 +594,6 @@ def test_hidden_markov_probabilities_add_up():
     """Over all short texts of a small vocabulary the probability comes to one."""
     import itertools
 
-    import numpy as np
-
     model = hmm.Model.first(2, np.array([5.0, 3.0, 2.0]), 3)  # two classes and the end
     texts = [np.array([*t, 2]) for n in range(13) for t in itertools.product(range(2), repeat=n)]
     done = np.exp(hmm._Segments(texts, model).forward()[1]).sum()
