@@ -64,10 +64,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/sparkdesk/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def write_scratch(df: DataFrame, name: str) -> DataFrame:
+def write_scratch(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: lineage ends there,
-    so a lost executor costs no more than the tasks that read the table."""
+    so a lost executor costs no more than the tasks that read the table.
+    ``options`` are those of the Parquet writer, such as ``compression``."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
