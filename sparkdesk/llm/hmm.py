@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkdesk.llm.common import documents
@@ -38,9 +38,9 @@ RESCALE = 8
 #: So many words are worked on side by side; a longer text makes a batch of its own.
 BATCH_WORDS = 400_000
 #: Texts are numbered together up to so many words, or so many different ones; a longer text makes a group of its own.
-GROUP_WORDS, GROUP_DISTINCT = 1_000_000, 50_000
+GROUP_WORDS, GROUP_DISTINCT = 2_000_000, 400_000
 #: Columns of the numbered texts: a row for each text, and one for each group's words.
-NUMBERED = ["group_id", "doc_id", "held_out", "n_tokens", "numbers", "classes", "words", "kinds", "times"]
+NUMBERED = ["group_id", "doc_id", "held_out", "n_tokens", "classes", "ranks", "words", "kinds", "times"]
 
 
 @dataclass
@@ -211,23 +211,31 @@ class _Group:
         return self.size >= GROUP_WORDS or len(self.number) >= GROUP_DISTINCT
 
     def batches(self, group_id: int, classes: int, id_type: pa.DataType) -> Iterator[pa.RecordBatch]:
-        """The texts as word numbers and as class numbers, a row each, and one row of the group's words."""
-        count, kind = len(self.texts), _number_kind(len(self.number))
-        kinds = np.fromiter((class_of(w, classes) for w in self.number), np.int64, len(self.number))
+        """The texts, a row each, and one row of the group's words by class.
+
+        A token is its word's class and the word's rank among the group's words of that class; the end
+        that each text has is left out.
+        """
+        count, words = len(self.texts), list(self.number)
+        kinds = np.fromiter((class_of(w, classes) for w in words), np.int64, len(words))
+        order = np.argsort(kinds, kind="stable")
+        by_class = kinds[order]
+        ranks = np.empty(len(words), np.int64)
+        ranks[order] = np.arange(len(words)) - np.searchsorted(by_class, by_class)
         train = [t for t, held in zip(self.texts, self.held) if not held]
-        times = np.bincount(np.concatenate(train), minlength=len(self.number)) if train else np.zeros(len(self.number), np.int64)
-        class_kind = _number_kind(classes - 1)
+        times = np.bincount(np.concatenate(train), minlength=len(words)) if train else np.zeros(len(words), np.int64)
+        coded = lambda table, kind: pa.array([table[t[:-1]].astype(kind).tobytes() for t in self.texts], pa.binary())
         no = lambda kind, n: pa.nulls(n, kind)
         listed = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
         yield pa.RecordBatch.from_arrays(
             [pa.array([group_id] * count, pa.int64()), pa.array(self.ids, id_type), pa.array(self.held, pa.bool_()),
              pa.array([len(t) for t in self.texts], pa.int64()),
-             pa.array([t.astype(kind).tobytes() for t in self.texts], pa.binary()),
-             pa.array([kinds[t[:-1]].astype(class_kind).tobytes() for t in self.texts], pa.binary()),
+             coded(kinds, _number_kind(classes - 1)), coded(ranks, np.min_scalar_type(int(ranks.max()))),
              no(pa.list_(pa.binary()), count), no(pa.list_(pa.int32()), count), no(pa.list_(pa.int64()), count)], NUMBERED)
         yield pa.RecordBatch.from_arrays(
             [pa.array([group_id], pa.int64()), no(id_type, 1), no(pa.bool_(), 1), no(pa.int64(), 1), no(pa.binary(), 1), no(pa.binary(), 1),
-             listed(pa.array(self.number.keys(), pa.binary())), listed(pa.array(kinds, pa.int32())), listed(pa.array(times, pa.int64()))], NUMBERED)
+             listed(pa.array([words[i] for i in order], pa.binary())), listed(pa.array(by_class, pa.int32())),
+             listed(pa.array(times[order], pa.int64()))], NUMBERED)
 
 
 def _numbered(docs: DataFrame, classes: int) -> DataFrame:
@@ -250,7 +258,7 @@ def _numbered(docs: DataFrame, classes: int) -> DataFrame:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "held_out", "text").mapInArrow(
-        work, f"group_id bigint, doc_id {kind}, held_out boolean, n_tokens bigint, numbers binary, classes binary, "
+        work, f"group_id bigint, doc_id {kind}, held_out boolean, n_tokens bigint, classes binary, ranks binary, "
               "words array<binary>, kinds array<int>, times array<bigint>")
 
 
@@ -304,7 +312,7 @@ def _scored(texts: DataFrame, vocabulary: DataFrame, model: Model, class_logs: n
     Each group's texts meet its words in one task: a group's size is bounded, but for a text that is longer.
     ``log_sum`` adds up log10(c + 1) over all tokens.
     """
-    sent = texts.sparkSession.sparkContext.broadcast((model, np.append(class_logs, 0.0)))
+    sent, kind = texts.sparkSession.sparkContext.broadcast((model, np.append(class_logs, 0.0))), _number_kind(len(class_logs) - 1)
 
     def work(texts: pa.Table, words: pa.Table) -> pa.Table:
         model, logs = sent.value
@@ -312,9 +320,16 @@ def _scored(texts: DataFrame, vocabulary: DataFrame, model: Model, class_logs: n
         kinds, lg = np.empty(len(number), np.int64), np.empty(len(number))
         kinds[number], lg[number] = np.asarray(words["kind"]), np.log10(c + 1)
         share = np.where(kinds < len(logs) - 1, lg - logs[kinds], 0.0)
-        sizes = texts["n_tokens"].to_pylist()
+        first = np.searchsorted(kinds, np.arange(len(logs)))
         known, log_sum, score = [], [], []
-        coded = (np.frombuffer(v.as_py(), f"u{len(v.as_py()) // n}") for v, n in zip(texts["numbers"], sizes))
+
+        def numbers(of_class: bytes, ranks: bytes, n_tokens: int) -> np.ndarray:
+            out = np.full(n_tokens, len(number) - 1)  # the end is the last of a group's words
+            if n_tokens > 1:
+                out[:-1] = first[np.frombuffer(of_class, kind)] + np.frombuffer(ranks, f"u{len(ranks) // (n_tokens - 1)}")
+            return out
+
+        coded = map(numbers, *(texts[c].to_pylist() for c in ("classes", "ranks", "n_tokens")))
         for some in _batched(coded):
             tokens = np.concatenate(some)
             at = np.cumsum([0, *map(len, some[:-1])])
@@ -327,10 +342,10 @@ def _scored(texts: DataFrame, vocabulary: DataFrame, model: Model, class_logs: n
                          "n_known": joined(known, pa.int64()), "log_sum": joined(log_sum, pa.float64()),
                          "score": joined(score, pa.float64())})
 
-    kind = texts.schema["doc_id"].dataType.simpleString()
-    return (texts.select("group_id", "doc_id", "held_out", "n_tokens", "numbers").groupBy("group_id")
+    id_type = texts.schema["doc_id"].dataType.simpleString()
+    return (texts.select("group_id", "doc_id", "held_out", "n_tokens", "classes", "ranks").groupBy("group_id")
             .cogroup(vocabulary.groupBy("of_group"))
-            .applyInArrow(work, f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, log_sum double, score double"))
+            .applyInArrow(work, f"doc_id {id_type}, held_out boolean, n_tokens bigint, n_known bigint, log_sum double, score double"))
 
 
 def score_documents(docs: DataFrame, *, states: int = 4, classes: int = 1 << 16, rounds: int = 4, seed: int = 7,
@@ -348,24 +363,26 @@ def score_documents(docs: DataFrame, *, states: int = 4, classes: int = 1 << 16,
     on all counts are zero; an empty table gives no rows; other columns are ignored.
     """
     fold = F.coalesce(F.pmod(F.crc32(docs[id_col].cast("string")), F.lit(folds)), F.lit(held_fold + 1))
-    numbered = write_scratch(_numbered(documents(docs, id_col, text_col, (fold == held_fold).alias("held_out")), classes), "numbered")
-    texts = numbered.filter(F.col("numbers").isNotNull())
+    numbered = write_scratch(_numbered(documents(docs, id_col, text_col, (fold == held_fold).alias("held_out")), classes),
+                             "numbered", compression="zstd")
+    texts = numbered.filter(F.col("classes").isNotNull())
     train = texts.filter(~F.col("held_out"))
     words = (numbered.filter(F.col("words").isNotNull())
              .select("group_id", F.posexplode(F.arrays_zip("words", "kinds", "times")).alias("number", "x"))
              .select(F.col("group_id").alias("of_group"), "number", F.col("x.words").alias("word"), F.col("x.kinds").alias("kind"), F.col("x.times").alias("times")))
-    counts = write_scratch(words.filter("times > 0").groupBy("word", "kind").agg(F.sum("times").alias("c")), "word_counts")
+    alike = Window.partitionBy("word")
+    vocabulary = write_scratch(
+        words.select("of_group", "number", "kind", "times", F.sum("times").over(alike).alias("c"),
+                     (F.row_number().over(alike.orderBy("of_group")) == 1).alias("is_first")), "vocabulary", compression="zstd")
     by_class = np.zeros((classes + 1, 2))
-    for kind, n, v in counts.groupBy("kind").agg(F.sum("c"), F.count("*")).collect():
+    for kind, n, v in vocabulary.groupBy("kind").agg(F.sum("times"), F.count_if(F.col("is_first") & (F.col("c") > 0))).collect():
         by_class[kind] = n, v
     total, distinct = by_class.sum(axis=0)
     class_logs = np.log10(by_class[:classes].sum(axis=1) + 1)
     model = Model.first(states, by_class[:, 0], seed)
     for _ in range(rounds):
         model = _expected_counts(train, model, classes)
-    vocabulary = (words.select("of_group", "number", "word", "kind").join(counts.select("word", "c"), "word", "left")
-                  .select("of_group", "number", "kind", F.coalesce("c", F.lit(0)).alias("c")))
     unit = float(np.log10(total + distinct + 1))
-    return (_scored(texts, vocabulary, model, class_logs)
+    return (_scored(texts, vocabulary.select("of_group", "number", "kind", "c"), model, class_logs)
             .select("doc_id", "held_out", "n_tokens", "n_known", F.lit(int(total)).cast("bigint").alias("train_tokens"),
                     (F.col("log_sum") - unit * F.col("n_tokens")).alias("base_score"), "score"))
