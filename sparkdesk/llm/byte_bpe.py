@@ -12,7 +12,10 @@ is bounded: where only one is left, all tokens before it are settled and emitted
 from __future__ import annotations
 
 import base64
+import ctypes
+import gc
 import hashlib
+import threading
 from collections.abc import Iterable, Iterator
 from itertools import chain, islice
 
@@ -319,16 +322,55 @@ class Codec:
         return n, ids_sha.hexdigest(), bytes_sha.hexdigest(), same, ids if keep_ids else None
 
 
-_CODECS: dict[tuple[int, str], Codec] = {}
+#: A worker without a task for so many seconds gives the memory of its codec back.
+IDLE_SECONDS = 1.0
 
 
-def _codec(ranks: dict[bytes, int], pattern: str) -> Codec:
-    """One codec for each vocabulary and worker process, so that states are shared by its tasks."""
-    key = (hash(frozenset(ranks.items())), pattern)
-    if key not in _CODECS:
-        _CODECS.clear()
-        _CODECS[key] = Codec(ranks, pattern)
-    return _CODECS[key]
+class Keeper:
+    """One codec a worker process, so that what it has learnt is shared by the process's tasks.
+
+    An idle worker outlives its tasks; a timer drops the codec, so that later stages do not
+    run beside what the encoding remembered.
+    """
+
+    def __init__(self):
+        self.lock, self.users, self.timer = threading.Lock(), 0, None
+        self.key = self.codec = None
+
+    def take(self, ranks: dict[bytes, int], pattern: str) -> Codec:
+        with self.lock:
+            if self.timer:
+                self.timer.cancel()
+            self.users += 1
+            key = (hash(frozenset(ranks.items())), pattern)
+            if key != self.key:
+                self.key, self.codec = key, Codec(ranks, pattern)
+            return self.codec
+
+    def give_back(self) -> None:
+        with self.lock:
+            self.users -= 1
+            self.timer = threading.Timer(IDLE_SECONDS, self._drop)
+            self.timer.daemon = True
+            self.timer.start()
+
+    def _drop(self) -> None:
+        with self.lock:
+            if not self.users:
+                self.key = self.codec = None
+                gc.collect()  # the codec's parts refer to each other
+                pa.default_memory_pool().release_unused()
+                trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+                if trim:  # of the GNU C library: what was freed goes back to the machine
+                    trim(0)
+
+
+_KEEPER = Keeper()
+
+
+def worker_keeper() -> Keeper:
+    """The keeper of the process that calls this; tasks ask for it, as a keeper cannot be sent."""
+    return _KEEPER
 
 
 def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, *, keep_ids: bool = False,
@@ -349,14 +391,18 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, *, keep_ids
               + ", token_ids array<int>" * keep_ids)
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(sent.value, pattern)
-        for batch in batches:
-            done = [codec.digest(t.as_py(), keep_ids) for t in batch.column(1)]
-            cols = list(zip(*done)) if done else [()] * 5
-            types = [pa.int64(), pa.string(), pa.string(), pa.bool_(), pa.list_(pa.int32())]
-            arrays = [pa.array(c, type=t) for c, t in zip(cols[:4 + keep_ids], types)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *arrays],
-                                             ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "round_trip",
-                                              "token_ids"][:5 + keep_ids])
+        keeper = worker_keeper()
+        codec = keeper.take(sent.value, pattern)
+        try:
+            for batch in batches:
+                done = [codec.digest(t.as_py(), keep_ids) for t in batch.column(1)]
+                cols = list(zip(*done)) if done else [()] * 5
+                types = [pa.int64(), pa.string(), pa.string(), pa.bool_(), pa.list_(pa.int32())]
+                arrays = [pa.array(c, type=t) for c, t in zip(cols[:4 + keep_ids], types)]
+                yield pa.RecordBatch.from_arrays([batch.column(0), *arrays],
+                                                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "round_trip",
+                                                  "token_ids"][:5 + keep_ids])
+        finally:
+            keeper.give_back()
 
     return d.mapInArrow(work, schema)

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -654,3 +655,18 @@ def test_empty_tables(spark):
         assert df.collect() == []
     some = frame(spark, awkward_rows(), CLASHING)
     assert sum(r.n_hit for r in decontaminate.benchmark_overlap(some, items).collect()) == 0
+
+
+def test_idle_worker_forgets_its_codec(monkeypatch):
+    """A codec is shared while tasks follow each other, and dropped when none has come for a while."""
+    monkeypatch.setattr(byte_bpe, "IDLE_SECONDS", 0.2)
+    ranks, keeper = {bytes([i]): i for i in range(256)}, byte_bpe.Keeper()
+    codec = keeper.take(ranks, r"\S+|\s+")
+    keeper.give_back()
+    assert keeper.take(ranks, r"\S+|\s+") is codec
+    time.sleep(0.5)
+    assert keeper.codec is codec  # in use
+    keeper.give_back()
+    time.sleep(0.5)
+    assert keeper.codec is None
+    assert keeper.take(ranks, r"\S+|\s+").digest("a b", True)[4] == [97, 32, 98]
