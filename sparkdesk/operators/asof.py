@@ -12,6 +12,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from sparkdesk.operators.keyed_scan import Chunks, keyed_scan
 
@@ -30,7 +31,7 @@ def asof_join(facts: DataFrame, history: DataFrame, keys: Sequence[str] | str, f
 
     The new columns are named ``prefix`` + value, and ``prefix`` + "valid_from" has the history row's
     time; all are NULL for a fact without an earlier history row, or with a NULL key or time
-    (such facts skip the scan).  History rows with a NULL key or time are never in force.  A
+    (each such fact is a key of its own, so they are dealt evenly).  History rows with a NULL key or time are never in force.  A
     NULL value in force is NULL, not the value before it.  Of history rows at one time the one
     with the greatest ``tie`` counts.  ``chunk_of`` makes the chunks from the timeline's time
     column (see ``keyed_scan``).
@@ -46,16 +47,23 @@ def asof_join(facts: DataFrame, history: DataFrame, keys: Sequence[str] | str, f
         *[F.col(c).alias(k) for c, k in zip(history_keys, ks)], F.col(hist_ts).alias("__ts"), F.lit(0).alias("__side"),
         *[F.col(c).alias(t) for c, t in zip(tie, ties)], F.struct(*named).alias("__in_force"))
     placed = _all_set([F.col(c) for c in (*keys, fact_ts)])
-    on_line = facts.where(placed).select(
+    # key and time are on the line already; they are kept apart only if the history has another type
+    kind = lambda df, c: df.schema[c].dataType
+    held = {c: k for c, k in zip((*keys, fact_ts), (*ks, "__ts")) if kind(facts, c) == kind(in_force, k)}
+    on_line = facts.select(
         *[F.col(c).alias(k) for c, k in zip(keys, ks)], F.col(fact_ts).alias("__ts"), F.lit(1).alias("__side"),
-        F.struct(*facts.columns).alias("__fact"))
+        F.when(~placed, F.xxhash64(*[f.name for f in facts.schema if not isinstance(f.dataType, MapType)])).alias("__apart"),
+        F.struct(*[c for c in facts.columns if c not in held] or [F.lit(None).alias("__none")]).alias("__fact"))
     line = in_force.unionByName(on_line, allowMissingColumns=True)
+    chunk = chunk_of(F.col("__ts")) if chunk_of else None
+    if isinstance(chunk, Chunks) and chunk.counted is None:
+        # keys alone are counted, so the facts' other columns are not read for it
+        count = in_force.select(*ks).union(facts.where(placed).select(*keys))
+        chunk = chunk.counted_on(count.withColumn("__apart", F.lit(None).cast("bigint")))
     # a history row at a fact's own time is in force; facts of one time do not depend on each other
-    scanned = keyed_scan(line, ks, ["__ts", "__side", *ties], fill=["__in_force"],
-                         chunk=chunk_of(F.col("__ts")) if chunk_of else None)
-    matched = scanned.where("__side = 1").select("__fact.*", "__in_force.*")
-    none = F.lit(None).cast(in_force.schema["__in_force"].dataType).alias("__in_force")
-    return matched.unionByName(facts.where(~placed).select("*", none).select(*facts.columns, "__in_force.*"))
+    scanned = keyed_scan(line, [*ks, "__apart"], ["__ts", "__side", *ties], fill=["__in_force"], chunk=chunk)
+    return scanned.where("__side = 1").select(
+        *[F.col(held.get(c, f"__fact.`{c}`")).alias(c) for c in facts.columns], "__in_force.*")
 
 
 def link_intervals(links: DataFrame, child: str, parent: str, valid_from: str, valid_to: str) -> DataFrame:

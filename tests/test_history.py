@@ -52,6 +52,43 @@ def test_asof_join_of_empty_sides_and_clashing_names(spark):
         asof.asof_join(facts.withColumn("v", F.lit(1)), history, "k", "t", "s", ["v"])
 
 
+def shuffles(df):
+    """Shuffles in the plan that ran; one that is read twice counts once."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return plan.count(" Exchange hashpartitioning") - plan.count("ReusedExchange")
+
+
+@pytest.mark.parametrize("hot_rows, most", [(10**6, 1), (5, 3)], ids=["small keys", "cut into chunks"])
+def test_asof_join_shuffles_facts_once(spark, tmp_dir, hot_rows, most):
+    """Rows of small keys are shuffled once; keys that are cut add one row a chunk, to the carry and back."""
+    rng = random.Random(4)
+    rows = [(rng.choice("abc"), at(rng.randrange(200)), j) for j in range(300)]
+    for name, part in (("facts", rows), ("history", rows[::4])):
+        spark.createDataFrame(part, "k string, t timestamp_ntz, n int").write.parquet(f"{tmp_dir}/{name}")
+    facts, history = spark.read.parquet(f"{tmp_dir}/facts"), spark.read.parquet(f"{tmp_dir}/history")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = asof.asof_join(facts, history.withColumnsRenamed({"t": "since", "n": "v"}), "k", "t", "since", ["v"], tie=["v"],
+                                chunk_of=chunks(hot_rows))
+        assert shuffles(joined) <= most
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_facts_without_key_or_time_are_dealt_evenly(spark):
+    """They are many keys of their own, and come out as they went in; a key's type may differ between the sides."""
+    facts = spark.createDataFrame([(i, None if i % 2 else 7, None if i % 3 == 0 else at(5), {"m": i}) for i in range(60)],
+                                  "id int, k int, t timestamp_ntz, m map<string, int>")
+    history = spark.createDataFrame([(7, at(1), "v"), (None, at(1), "w")], "k bigint, s timestamp_ntz, v string")
+    got = asof.asof_join(facts, history, "k", "t", "s", ["v"], chunk_of=chunks(5))
+    assert got.schema[:4] == facts.schema[:4]
+    want = [(i, None if i % 2 else 7, None if i % 3 == 0 else at(5), {"m": i}, *(("v", at(1)) if i % 2 == 0 and i % 3 else (None, None)))
+            for i in range(60)]
+    assert sorted(map(tuple, got.collect()), key=lambda r: r[0]) == want
+
+
 def whole_history(rows):
     """Changes of (key, hour, tie, payload), each compared with the row before it."""
     out, last = [], {}
