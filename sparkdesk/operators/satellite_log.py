@@ -6,8 +6,8 @@ comes between stored ones and turns the next confirmation into a change, or the
 into a confirmation.  A stored row whose mark changes is not rewritten: the same row with a
 higher load number takes its place.
 
-A load reads what it needs: for keys whose new rows are all later than the stored ones the
-newest stored row alone, for the others their stored rows.  The same log serves links: the
+A load scans what it needs: of each key in the batch the stored rows from its first new row
+on, and the one before that.  The same log serves links: the
 driving key is the key, the partner is the payload, and a new partner closes the old one.
 """
 
@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 
 from sparkdesk.operators.keyed_scan import Chunks, keyed_scan
 from sparkdesk.operators.vault import validity_intervals
-from sparkdesk.session import write_scratch
 
 
 def _newest_version(log: DataFrame, place: Sequence[str], payload: Sequence[str]) -> DataFrame:
@@ -43,26 +42,21 @@ def increment(log: DataFrame | None, batch: DataFrame, hk: str, ts: str, payload
     (see ``keyed_scan``).
     """
     place, payload = [hk, ts, *tie], list(payload)
-    new = batch.where(F.col(hk).isNotNull() & F.col(ts).isNotNull()).groupBy(*place).agg(F.min(F.struct(*payload)).alias("__p"))
-    mark = lambda df, new, was: df.withColumns({"__new": F.lit(new), "__was": was})
-    line = mark(new, True, F.lit(None).cast("boolean"))
+    at = F.struct(ts, *tie)
+    line = batch.where(F.col(hk).isNotNull() & F.col(ts).isNotNull()).select(*place, F.struct(*payload).alias("__p"))
+    line = line.withColumns({"__new": F.lit(True), "__was": F.lit(None).cast("boolean")})
     if log is not None:
-        new = write_scratch(new, "satellite_batch")
-        first = new.groupBy(hk).agg(F.min(F.struct(ts, *tie)).alias("__first"))
-        row = F.struct(ts, *tie, F.struct(*payload).alias("__p"), "is_change")
-        newest = (log.join(first, hk, "left_semi").groupBy(hk)
-                  .agg(F.max_by(row, F.struct(ts, *tie, "load_seq")).alias("__newest")))
-        known = write_scratch(first.join(newest, hk).withColumn(
-            "__late", F.col("__first") <= F.struct(*[F.col(f"__newest.{c}").alias(c) for c in (ts, *tie)])), "satellite_keys")
-        late = _newest_version(log.join(known.where("__late"), hk, "left_semi"), place, payload)
-        late = write_scratch(late.select(*place, F.struct(*payload).alias("__p"), "is_change"), "satellite_stored")
-        tail = known.where("not __late").select(hk, "__newest.*")
-        stored = mark(late.unionByName(tail), False, F.col("is_change")).drop("is_change")
-        fresh = new.join(late.select(*place), place, "left_anti")
-        line = mark(fresh, True, F.lit(None).cast("boolean")).unionByName(stored)
-    scanned = keyed_scan(line, hk, [ts, *tie], prev={"__prev": ["__p"]}, chunk=chunk)
+        first = line.groupBy(hk).agg(F.min(at).alias("__first"))
+        # the rows before a key's first new one are one group, those from there on a group each:
+        # of every group the last row counts, and of its versions the newest
+        row = F.struct(*place, F.struct(*payload).alias("__p"), F.col("is_change").alias("__was"))
+        stored = (log.join(first, hk).groupBy(hk, F.when(at >= F.col("__first"), at).alias("__late"))
+                  .agg(F.max_by(row, F.struct(ts, *tie, "load_seq")).alias("__row")).select("__row.*"))
+        line = line.unionByName(stored.withColumn("__new", F.lit(False)))
+    # a stored row stays where a new one names the same place
+    scanned = keyed_scan(line, hk, [ts, *tie], prev={"__prev": ["__p"]}, chunk=chunk, least=["__new", "__p", "__was"])
     is_change = F.col("__prev").isNull() | ~F.col("__p").eqNullSafe(F.col("__prev.__p"))
-    # the row before a tail row is not on the line: its mark stands
+    # the stored row before the first new one has none before it on the line: its mark stands
     is_change = F.when(~F.col("__new") & F.col("__prev").isNull(), F.col("__was")).otherwise(is_change)
     return (scanned.withColumn("is_change", is_change).where(F.col("__new") | (F.col("__was") != F.col("is_change")))
             .select(*place, "__p.*", "is_change", F.lit(load_seq).cast("bigint").alias("load_seq")))

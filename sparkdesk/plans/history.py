@@ -86,13 +86,13 @@ BATCHES = ("event_id % 7 <> 3 AND ts < TIMESTAMP '2024-01-12 00:00:00'",
            "event_id % 7 <> 3 AND ts >= TIMESTAMP '2024-01-10 00:00:00'", "event_id % 7 = 3")
 
 
-def _loaded(rows, batches, payload, name):
+def _loaded(rows, batches, payload, name, chunk):
     """A log filled batch by batch."""
     spark, log = rows.sparkSession, None
     path = scratch_path(spark, name)
     for i, batch in enumerate(batches):
         writers.append(satellite_log.increment(log, rows.where(batch), "profile_hk", "ts", [payload], i, tie=["event_id"],
-                                               chunk=_days()), path)
+                                               chunk=chunk), path)
         log = spark.read.parquet(path)
     return log
 
@@ -104,7 +104,7 @@ FROM ({CHANGES_SQL.format(hk=_hk_sql('user_id'), col='event_type')}) c
 def satellite_increment(spark, sf_dir):
     """Three loads, the last one repeated, give the changes of the whole history."""
     ev = table(spark, sf_dir, "events").withColumn("profile_hk", hash_key("user_id"))
-    log = _loaded(ev, (*BATCHES, BATCHES[-1]), "event_type", "s_profile")
+    log = _loaded(ev, (*BATCHES, BATCHES[-1]), "event_type", "s_profile", _days().counted_on(ev.select("profile_hk")))
     return satellite_log.changes(log, "profile_hk", "ts", ["event_type"], tie=["event_id"]).select(
         "profile_hk", F.col("ts").alias("load_dttm"), "event_type")
 
@@ -118,8 +118,9 @@ def link_validity(spark, sf_dir):
     """A profile's link to its place closes when the profile appears elsewhere, and opens anew if it returns."""
     ev = table(spark, sf_dir, "events").select(hash_key("user_id").alias("profile_hk"), "ts", "event_id",
                                                hash_key("event_type").alias("place_hk"))
-    log = _loaded(ev, BATCHES, "place_hk", "l_profile_place")
-    return satellite_log.link_validity(log, "profile_hk", "place_hk", "ts", tie=["event_id"], chunk=_days())
+    chunk = _days().counted_on(ev.select("profile_hk"))
+    log = _loaded(ev, BATCHES, "place_hk", "l_profile_place", chunk)
+    return satellite_log.link_validity(log, "profile_hk", "place_hk", "ts", tie=["event_id"], chunk=chunk)
 
 
 @query("tie_asof", sql=f"""

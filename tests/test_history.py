@@ -119,6 +119,28 @@ def test_satellite_increments_equal_the_whole_history(spark, tmp_dir, seed, hot)
         assert satellite_log.increment(log, df, "hk", "ts", ["a", "b"], i + 100, tie=["n"], chunk=chunk).count() == 0
 
 
+@pytest.mark.parametrize("hot_rows", [10**6, 4])
+def test_a_load_shuffles_batch_and_log_once(spark, tmp_dir, hot_rows):
+    """One shuffle of the log, one of the batch's first rows by key, one of both to the scan, and nothing is written before."""
+    rows = [(k, at(h), h, "pq"[h % 3 == 0]) for k in "xy" for h in range(40)]
+    for i, part in enumerate((rows[::2], rows[1::2])):
+        spark.createDataFrame(part, "hk string, ts timestamp_ntz, n int, a string").write.parquet(f"{tmp_dir}/batch{i}")
+    first, second = (spark.read.parquet(f"{tmp_dir}/batch{i}") for i in range(2))
+    chunk = Chunks(F.date_trunc("day", "ts"), F.date_trunc("hour", "ts"), hot_rows).counted_on(first.union(second))
+    satellite_log.increment(None, first, "hk", "ts", ["a"], 0, tie=["n"], chunk=chunk).write.parquet(f"{tmp_dir}/log")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        new = satellite_log.increment(spark.read.parquet(f"{tmp_dir}/log"), second, "hk", "ts", ["a"], 1, tie=["n"], chunk=chunk)
+        assert shuffles(new) <= (3 if hot_rows > 40 else 5)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    new.write.mode("append").parquet(f"{tmp_dir}/log")
+    got = satellite_log.changes(spark.read.parquet(f"{tmp_dir}/log"), "hk", "ts", ["a"], tie=["n"])
+    want = [r for i, r in enumerate(rows) if i % 40 == 0 or r[3] != rows[i - 1][3]]
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
 def test_links_close_and_open_anew(spark, tmp_dir):
     """A profile that moves away and back, one that stays, one whose link ends; the move comes late."""
     schema = "profile string, ts timestamp_ntz, place string"
