@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from sparkdesk.functions.keys import hash_key
 from sparkdesk.operators import anchor, vault
-from sparkdesk.operators.keyed_scan import Chunks
+from sparkdesk.operators.keyed_scan import WHOLE_ROWS, Chunks
 from sparkdesk.plans.registry import query
 from sparkdesk.session import scratch_path
 from sparkdesk.sinks import writers
@@ -28,10 +28,10 @@ def _hk_sql(*cols: str) -> str:
 HOT_KEY_ROWS = 1_000_000
 
 
-def _day(col="ts"):
-    """Chunking of a profile's history: by day, by minute for a hot profile."""
+def _day(col="ts", whole_rows=WHOLE_ROWS):
+    """Chunking of a profile's history: a large one by day, a hot one by minute."""
     c = F.col(col) if isinstance(col, str) else col
-    return Chunks(F.date_trunc("day", c), F.date_trunc("minute", c), HOT_KEY_ROWS)
+    return Chunks(F.date_trunc("day", c), F.date_trunc("minute", c), HOT_KEY_ROWS, whole_rows=whole_rows)
 
 
 def _ts(v):
@@ -132,7 +132,8 @@ def pit_build(spark, sf_dir):
     sats = {name: h.where(F.col("event_type") == name).select("profile_hk", "load_dttm").distinct()
             for name in ("click", "purchase")}
     hot_from = h.select("profile_hk")     # raw rows: never fewer per profile than the points
-    pit = vault.pit_table("profile_hk", sats, chunk_of=lambda c: _day(c).counted_on(hot_from))
+    # every profile is cut into days, however few its points
+    pit = vault.pit_table("profile_hk", sats, chunk_of=lambda c: _day(c, whole_rows=0).counted_on(hot_from))
     return pit.select("profile_hk", "pit_dttm", "click_load_dttm", "purchase_load_dttm", "valid_to_dttm")
 
 
