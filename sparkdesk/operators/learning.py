@@ -49,6 +49,10 @@ def hash_split(df: DataFrame, weights: Sequence[float], seed: int = 42,
 TRAIN_PARTITIONS = 16
 
 
+#: Training partitions up to which candidates are fitted side by side.
+SIDE_BY_SIDE_PARTITIONS = 16
+
+
 def spread(df: DataFrame, partitions: int = TRAIN_PARTITIONS) -> DataFrame:
     """Deal a training frame into a fixed number of partitions by a hash of the row, in a
     fixed order within each: fitted trees depend on the partitioning, so it must not
@@ -106,7 +110,12 @@ def select_on_features(feature_stages: Sequence, model, values: Mapping[str, Seq
     fits just the learner on them (TrainValidationSplit caches its own
     80/20 split of that narrow frame).  Returns ``(pipeline_model, tvs_model)``:
     the feature stages followed by the best learner, refitted on all of ``train``.
+
+    ``parallelism`` holds for up to ``SIDE_BY_SIDE_PARTITIONS``.  A larger frame fills the cluster with
+    one candidate's tasks, and each forest keeps its own bagged copy of all rows while it is
+    fitted: side by side these copies would push each other out of memory.
     """
+    parallelism = parallelism if partitions <= SIDE_BY_SIDE_PARTITIONS else 1
     feats = Pipeline(stages=list(feature_stages)).fit(train)
     narrow = spread(feats.transform(train).select(model.getLabelCol(), "features"), partitions) \
         .persist(StorageLevel.MEMORY_AND_DISK)

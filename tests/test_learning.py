@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pytest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 
 from sparkdesk.operators import learning as ml
@@ -71,3 +72,14 @@ def test_hash_split_is_partition_independent_and_complete(spark):
     assert 0.75 < len(ids(a1)) / 5000 < 0.85
     parts = hash_split(df, [1, 1, 2], seed=3)
     assert sum(p.count() for p in parts) == 5000
+
+
+@pytest.mark.parametrize("partitions, side_by_side", [(4, 3), (ml.SIDE_BY_SIDE_PARTITIONS + 1, 1)])
+def test_large_frames_fit_one_candidate_at_a_time(spark, monkeypatch, partitions, side_by_side):
+    """A forest's bagged copy of a large frame has the cluster's memory to itself; all candidates are fitted."""
+    asked, select = [], ml.select_model
+    monkeypatch.setattr(ml, "select_model", lambda *a: asked.append(a[-1]) or select(*a))
+    train = spark.createDataFrame([(float(i % 5), float(i % 5 > 2)) for i in range(100)], "x double, y double")
+    _, tvs = ml.select_on_features([ml.assembler(["x"])], ml.learner("rf_regressor", "y", numTrees=2), {"maxDepth": [1, 2, 3]},
+                                   ml.regression_evaluator("y"), train, parallelism=3, partitions=partitions)
+    assert asked == [side_by_side] and len(tvs.validationMetrics) == 3
