@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sparkdesk.operators import anchor, asof, satellite_log
-from sparkdesk.operators.keyed_scan import Chunks
+from sparkdesk.operators.keyed_scan import Chunks, keyed_scan
 from sparkdesk.operators.marts import resolve_hierarchy
 
 T0 = dt.datetime(2024, 1, 1)
@@ -77,6 +77,19 @@ def test_asof_join_shuffles_facts_once(spark, tmp_dir, hot_rows, most):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
+def test_keys_scanned_whole_by_day_and_by_hour_side_by_side(spark):
+    """A few keys of each size, with NULL keys, times and values, against the single window."""
+    rng = random.Random(6)
+    sizes = {"whole": 4, "days": 15, "hot": 90, None: 12, "other": 3}
+    rows = [(k, at(rng.choice([None, *range(120)])), rng.choice([None, 1, 2]), i)
+            for i, k in enumerate(k for k, n in sizes.items() for _ in range(n))]
+    df = spark.createDataFrame(rows, "k string, ts timestamp_ntz, v int, id int")
+    scan = lambda chunk: sorted(map(str, keyed_scan(
+        df, "k", ["ts", "id"], prev={"p": ["v", "id"]}, next={"n": ["k", "id"]}, fill=["v"], chunk=chunk).collect()))
+    cut = Chunks(F.date_trunc("day", "ts"), F.date_trunc("hour", "ts"), 30, whole_rows=5)
+    assert scan(cut) == scan(None) and [r["__hot"] for r in cut.large(df, ["k"]).orderBy("__hot").collect()] == [False, False, True]
+
+
 def test_facts_without_key_or_time_are_dealt_evenly(spark):
     """They are many keys of their own, and come out as they went in; a key's type may differ between the sides."""
     facts = spark.createDataFrame([(i, None if i % 2 else 7, None if i % 3 == 0 else at(5), {"m": i}) for i in range(60)],
