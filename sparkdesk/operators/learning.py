@@ -21,6 +21,8 @@ from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkdesk.operators.binned_forest import BinnedForestRegressor
+
 # The metric names the classification reports log.
 CLF_METRICS = ("f1", "weightedPrecision", "weightedRecall", "accuracy")
 
@@ -114,7 +116,11 @@ def select_on_features(feature_stages: Sequence, model, values: Mapping[str, Seq
     ``parallelism`` holds for up to ``SIDE_BY_SIDE_PARTITIONS``.  A larger frame fills the cluster with
     one candidate's tasks, and each forest keeps its own bagged copy of all rows while it is
     fitted: side by side these copies would push each other out of memory.
+
+    Candidates of a regression forest share one pass over the rows (``binned_forest``).
     """
+    if isinstance(model, RandomForestRegressor):
+        model = BinnedForestRegressor.of(model)
     parallelism = parallelism if partitions <= SIDE_BY_SIDE_PARTITIONS else 1
     feats = Pipeline(stages=list(feature_stages)).fit(train)
     narrow = spread(feats.transform(train).select(model.getLabelCol(), "features"), partitions) \
