@@ -23,8 +23,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark import inheritable_thread_target
 from pyspark.ml.base import _FitMultipleIterator
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, RandomForestRegressionModel, RandomForestRegressor
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from sparkdesk.session import scratch_path, write_scratch
@@ -99,6 +100,24 @@ class Binning:
             out = out * size + b
         return out
 
+    def cell_of(self, x: str) -> Column:
+        """``cell`` of an array column; NULL for values outside the categories."""
+        out = F.lit(0)
+        for f, (cut, size) in enumerate(zip(self.cuts, self.sizes)):
+            v = F.col(x)[f]
+            if cut is None:
+                b = F.when((v >= 0) & (v < size) & (v == F.floor(v)), v.cast("int"))
+            else:
+                b = sum(((v > float(c)).cast("int") for c in cut), F.lit(0))
+            out = out * size + b
+        return out
+
+    def examples(self) -> np.ndarray:
+        """A vector of each cell, in their order: a bin ends with its threshold."""
+        ends = [np.arange(size, dtype=float) if cut is None else np.append(cut, np.nextafter(cut[-1], np.inf) if len(cut) else 0.0)
+                for cut, size in zip(self.cuts, self.sizes)]
+        return np.stack([g.ravel() for g in np.meshgrid(*ends, indexing="ij")], axis=1)
+
 
 def _read(batch: pa.RecordBatch, features: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(partition, label, features) of the rows; as in MLlib, none may be missing or infinite."""
@@ -242,6 +261,31 @@ def _pruned(nodes: list[dict]) -> list[dict]:
     return [nodes[i] | {"id": number[i], "left": number.get(nodes[i]["left"], -1), "right": number.get(nodes[i]["right"], -1)} for i in kept]
 
 
+class BinnedForestModel(RandomForestRegressionModel):
+    """The fitted forest; rows look their prediction up by cell (saved and loaded, it is Spark's own class)."""
+
+    @classmethod
+    def of(cls, model: RandomForestRegressionModel, binning: Binning, spark) -> BinnedForestModel:
+        """The same model, with its prediction for each cell."""
+        out = model._copyValues(cls(model._java_obj.copy(model._empty_java_param_map())))  # a Java object has one owner, who frees it
+        out._binning = binning
+        examples = pa.table({"cell": pa.array(range(binning.cells), pa.int32()), "x": pa.array(list(binning.examples()), pa.list_(pa.float64()))})
+        df = spark.createDataFrame(examples).select("cell", array_to_vector("x").alias(model.getFeaturesCol()))
+        found = model.transform(df).orderBy("cell").select(model.getPredictionCol()).collect()
+        out._predictions = ",".join(repr(r[0]) for r in found)
+        return out
+
+    def _transform(self, dataset):
+        if self.getLeafCol():
+            return super()._transform(dataset)
+        name, x, cell = self.getPredictionCol(), f"{self.uid}_x", f"{self.uid}_cell"
+        by_cell = F.split(F.lit(self._predictions), ",").cast("array<double>")
+        known = dataset.withColumn(x, vector_to_array(self.getFeaturesCol())).withColumn(cell, self._binning.cell_of(x))
+        # the trees themselves are only asked about values outside the categories
+        looked_up = F.when(F.col(cell).isNotNull(), F.get(by_cell, F.col(cell))).otherwise(F.col(name))
+        return super()._transform(known).withColumn(name, looked_up).drop(x, cell)
+
+
 class BinnedForestRegressor(RandomForestRegressor):
     """``RandomForestRegressor`` whose candidates share one pass over the rows."""
 
@@ -324,14 +368,14 @@ class BinnedForestRegressor(RandomForestRegressor):
         nodes = write_scratch(sums.groupBy("bins", "tree").applyInArrow(grow_all, NODES), "forest_nodes").persist()
         try:
             build = inheritable_thread_target(dataset.sparkSession)(
-                lambda i: candidates[i]._model(nodes.where(F.col("candidate") == i), features))
+                lambda i: candidates[i]._model(nodes.where(F.col("candidate") == i), binnings[widths.index(min(candidates[i].getMaxBins(), n))]))
             with ThreadPool(min(BUILDERS, len(candidates))) as pool:
                 models = pool.map(build, range(len(candidates)))
         finally:
             nodes.unpersist()
         return models.__getitem__
 
-    def _model(self, nodes, features: int) -> RandomForestRegressionModel:
+    def _model(self, nodes, binning: Binning) -> BinnedForestModel:
         """The model of these nodes, by way of Spark's format of saved forests."""
         spark, trees, now = nodes.sparkSession, self.getNumTrees(), int(time.time() * 1000)
         path = scratch_path(spark, "forest")
@@ -341,7 +385,7 @@ class BinnedForestRegressor(RandomForestRegressor):
             return json.dumps({"class": f"org.apache.spark.ml.regression.{kind}", "timestamp": now, "sparkVersion": spark.version, "uid": uid,
                                "paramMap": given, "defaultParamMap": default, **more})
 
-        whole = metadata("RandomForestRegressionModel", self.uid, {p.name for p in self.params}, numFeatures=features, numTrees=trees)
+        whole = metadata("RandomForestRegressionModel", self.uid, {p.name for p in self.params}, numFeatures=len(binning.sizes), numTrees=trees)
         known = {p.name for p in DecisionTreeRegressor().params}
         one = [metadata("DecisionTreeRegressionModel", f"{self.uid}_tree_{t}", known) for t in range(trees)]
         spark.createDataFrame(pa.table({"value": [whole]})).coalesce(1).write.text(f"{path}/metadata")
@@ -352,4 +396,4 @@ class BinnedForestRegressor(RandomForestRegressor):
         node = F.struct("id", "prediction", "impurity", F.col("stats").alias("impurityStats"), F.col("raw").alias("rawCount"), "gain",
                         F.col("left").alias("leftChild"), F.col("right").alias("rightChild"), split.alias("split"))
         nodes.select(F.col("tree").alias("treeID"), node.alias("nodeData")).coalesce(1).write.parquet(f"{path}/data")
-        return self._copyValues(RandomForestRegressionModel.load(path))
+        return BinnedForestModel.of(self._copyValues(RandomForestRegressionModel.load(path)), binning, spark)

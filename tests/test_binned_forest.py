@@ -113,3 +113,20 @@ def test_selection_reads_rows_once_for_all_candidates(rows, monkeypatch):
     assert not [name for name in fitted if "Forest" in name]
     assert len(tvs.validationMetrics) == 6 and best.stages[-1].getOrDefault("maxDepth") in (2, 4, 6)
     assert min(tvs.validationMetrics) < 0.7 * max(tvs.validationMetrics)
+
+
+def test_looked_up_predictions_equal_the_trees(spark, rows, tmp_dir):
+    """For rows on both sides of every threshold and for unknown categories, before and after it is saved."""
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.regression import RandomForestRegressionModel
+
+    model = bf.BinnedForestRegressor.of(ml.learner("rf_regressor", "y", numTrees=3, maxDepth=6)).fit(rows, {})
+    cuts = model._binning.cuts[0]
+    values = [*cuts, *np.nextafter(cuts, np.inf), -1e9, 1e9, float("nan")]
+    at = [([float(v), float(b), float(c)],) for v in values for b in (0, 0.5, 3, 9) for c in (0, 3, 4, -1, 0.5)]
+    df = spark.createDataFrame(at, "x array<double>").select("x", array_to_vector("x").alias("features")).repartition(2)
+    model.write().overwrite().save(tmp_dir + "/m")
+    plain = RandomForestRegressionModel.load(tmp_dir + "/m")
+    want, got = ({repr(r.x): r.prediction for r in m.transform(df).select("x", "prediction").collect()} for m in (plain, model))
+    assert type(plain) is RandomForestRegressionModel and got == want and len(set(want.values())) > 20
+    assert model.transform(df).columns == plain.transform(df).columns
