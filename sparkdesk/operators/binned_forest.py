@@ -96,7 +96,7 @@ class Binning:
                 if ((b != x[:, f]) | (b < 0) | (b >= size)).any():
                     raise ValueError(f"feature {f} has values outside its {size} categories")
             else:
-                b = np.searchsorted(cut, x[:, f], side="left")
+                b = sum((x[:, f] > c for c in cut), np.zeros(len(x), dtype=np.int64))
             out = out * size + b
         return out
 
@@ -139,6 +139,7 @@ def _add(binnings, trees, seed, rate, features):
 
         def step():
             y, x, k = (np.concatenate(c) for c in zip(*held))
+            x = np.asfortranarray(x)  # features are read one by one
             cells, k = [b.cell(x) for b in binnings], np.ascontiguousarray(k.T, dtype=float)
             for t in range(trees):
                 weights = k[t], k[t] * y, k[t] * y * y
@@ -271,8 +272,8 @@ class BinnedForestModel(RandomForestRegressionModel):
         out._binning = binning
         examples = pa.table({"cell": pa.array(range(binning.cells), pa.int32()), "x": pa.array(list(binning.examples()), pa.list_(pa.float64()))})
         df = spark.createDataFrame(examples).select("cell", array_to_vector("x").alias(model.getFeaturesCol()))
-        found = model.transform(df).orderBy("cell").select(model.getPredictionCol()).collect()
-        out._predictions = ",".join(repr(r[0]) for r in found)
+        found = sorted(model.transform(df).select("cell", model.getPredictionCol()).collect())
+        out._predictions = ",".join(repr(prediction) for _, prediction in found)
         return out
 
     def _transform(self, dataset):
